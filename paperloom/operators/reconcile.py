@@ -59,15 +59,14 @@ def contained_members(members: DataFrame, identifiers: DataFrame, member_key: st
     lengths = with_anchor.agg(
         F.coalesce(F.collect_set(F.length("_anchor")), F.array().cast("array<int>"))
     ).scalar()
-    starts = F.filter(lengths, lambda n: n <= F.length("_text"))
     pieces = F.flatten(F.transform(
-        starts,
+        F.filter("_lengths", lambda n: n <= F.length("_text")),
         lambda n: F.transform(
             F.sequence(F.lit(1), F.length("_text") - n + 1),
             lambda at: F.substring(F.col("_text"), at, n),
         ),
     ))
-    cut = texts.select("_text", F.explode(F.array_distinct(pieces)).alias("_anchor"))
+    cut = texts.withColumn("_lengths", lengths).select("_text", F.explode(F.array_distinct(pieces)).alias("_anchor"))
     matched = with_anchor.join(
         cut, (with_anchor["_anchor"] == cut["_anchor"]) & test, "left_semi"
     ).select("_id")

@@ -19,7 +19,8 @@ def query_vector(vectors: DataFrame, value, key: str = "doc_id", vector: str = "
 
 def distances(vectors: DataFrame, query: Column, vector: str = "vector", out: str = "distance") -> DataFrame:
     """Cosine distance of every row to the query vector."""
-    return vectors.withColumn(out, cosine_distance(F.col(vector), query))
+    beside = vectors.withColumn("_query", query)
+    return beside.withColumn(out, cosine_distance(F.col(vector), F.col("_query"))).drop("_query")
 
 
 def nearest(vectors: DataFrame, value, n: int = 10, key: str = "doc_id", vector: str = "vector") -> DataFrame:
@@ -28,9 +29,11 @@ def nearest(vectors: DataFrame, value, n: int = 10, key: str = "doc_id", vector:
     Each task keeps n rows, so only those reach the final merge.  Rows without a
     direction come last.
     """
-    others = vectors.filter(F.col(key) != value)
+    others = vectors.filter(F.col(key) != value).withColumn(
+        "_query", query_vector(vectors, value, key, vector)
+    )
     scored = others.select(
-        key, cosine_similarity(F.col(vector), query_vector(vectors, value, key, vector)).alias("similarity")
+        key, cosine_similarity(F.col(vector), F.col("_query")).alias("similarity")
     )
     ranked = scored.orderBy(F.desc(F.nanvl("similarity", F.lit(-2.0))), F.asc(key))
     return ranked.limit(n)
