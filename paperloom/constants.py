@@ -25,6 +25,7 @@ NUMBER_TOKEN = "<num>"
 # Character classes, in the spelling shared by Java and RE2.
 WORD_CHARS = r"[\p{L}\p{N}_]"
 DIGITS_ONLY = r"^\p{Nd}+$"
+FIRST_OTHER_DIGIT = "\u0660"  # the first decimal digit that is not ASCII
 ALPHABETIC_CHARS = r"[\p{L}\p{Nl}\p{No}_]"
 WHITESPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"

@@ -26,7 +26,10 @@ def meta_tokens(tokens) -> Column:
     """Digits become the number token, the math word becomes the math token."""
     return F.transform(
         _col(tokens),
-        lambda t: F.when(t.rlike(C.DIGITS_ONLY), C.NUMBER_TOKEN)
+        # every digit sorts outside ':' .. FIRST_OTHER_DIGIT, so most words skip the regex
+        lambda t: F.when(
+            ((t < ":") | (t >= C.FIRST_OTHER_DIGIT)) & t.rlike(C.DIGITS_ONLY), C.NUMBER_TOKEN
+        )
         .when(t == C.MATH_WORD, C.MATH_TOKEN)
         .otherwise(t),
     )

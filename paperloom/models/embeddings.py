@@ -8,7 +8,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.operators.bow import frequent_terms
-from paperloom.operators.skew import heavy_keys, salted_lookup
+from paperloom.operators.skew import lookup
 
 # The trainer keeps two float matrices of terms x width on the driver.
 DRIVER_VALUES = 400_000_000
@@ -59,7 +59,7 @@ def document_vectors(tokens: DataFrame, words: DataFrame, key: str = "doc_id", c
     table = words.select(
         "word", array_to_vector(F.col("vector").cast("array<double>")).alias("vector")
     )
-    found = salted_lookup(counts, table, "word", heavy_keys(counts, "word"), [key])
+    found = lookup(counts, table, "word", [key], broadcast_rows=100_000)
     if weights is not None:
         found = found.join(weights.select("word", "weight"), "word").withColumn(
             "n", F.col("n") * F.col("weight")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.operators.indexing import dense_index
-from paperloom.operators.skew import MAX_HEAVY, salted_lookup
+from paperloom.operators.skew import MAX_HEAVY, lookup
 
 
 def term_counts(tokens: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
@@ -51,13 +51,13 @@ def vocabulary(counts: DataFrame) -> DataFrame:
 def bag_of_words(counts: DataFrame, vocab: DataFrame, key: str = "doc_id") -> DataFrame:
     """(document, term_id, cnt); tokens outside the vocabulary are dropped.
 
-    A common term has one row in most documents, so the lookup spreads terms
-    whose document frequency makes them heavy.
+    A common term has one row in most documents, so a lookup too large to
+    broadcast spreads the terms whose document frequency makes them heavy.
     """
     total = vocab.agg(F.sum("doc_freq")).scalar()
     heavy = vocab.filter(F.col("doc_freq") * MAX_HEAVY > total).select(F.col("term").alias("token"))
     ids = vocab.select(F.col("term").alias("token"), "term_id")
-    found = salted_lookup(counts, ids, "token", heavy, [key])
+    found = lookup(counts, ids, "token", [key], heavy)
     return found.select(key, "term_id", "cnt")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.functions.text import noun_rule_candidates
-from paperloom.operators.skew import heavy_keys, salted_lookup
+from paperloom.operators.skew import lookup
 
 
 def lemma_table(words: DataFrame, lexicon: DataFrame, irregular: DataFrame | None = None) -> DataFrame:
@@ -31,12 +31,13 @@ def lemma_table(words: DataFrame, lexicon: DataFrame, irregular: DataFrame | Non
 def lemmatise(tokens: DataFrame, lemmas: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
     """Replace the tokens that have a lemma.
 
-    Only the distinct words of a document travel to the lookup; they come back
+    `lemmas` should be a stored table, as its size is looked at.  Only the
+    distinct words of a document travel to the lookup; they come back
     as one small map per document, applied in place, so token arrays keep their
     order and are never rebuilt from rows.
     """
     words = tokens.select(key, F.explode(F.array_distinct(column)).alias("word"))
-    found = salted_lookup(words, lemmas, "word", heavy_keys(words, "word"), [key])
+    found = lookup(words, lemmas, "word", [key])
     maps = found.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas")
     )

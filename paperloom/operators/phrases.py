@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.operators.bow import corpus_counts
-from paperloom.operators.skew import heavy_keys, salted_lookup
+from paperloom.operators.skew import fits_broadcast, heavy_keys, lookup
+from paperloom.session import staged
 
 MIN_COUNT = 5
 THRESHOLD = 10.0
@@ -31,102 +32,114 @@ def pair_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
 
 def phrase_scores(tokens: DataFrame, column: str = "tokens", min_count: int = MIN_COUNT,
                   threshold: float = THRESHOLD, vocabulary_counts_pairs: bool = True) -> DataFrame:
-    """Accepted pairs (left, right, cnt, score).
+    """Accepted pairs (left, right, cnt, score), as a stored table.
 
     score = (pair count - min_count) * vocabulary size / (left count * right count)
 
     The vocabulary size counts words and, by default, pairs as well.  Pairs that
     cannot pass a threshold of zero or more are dropped before the two lookups.
+    The two count tables are stored, as each is used more than once.
     """
-    words = corpus_counts(tokens, column)
-    pairs = pair_counts(tokens, column)
+    words = staged(corpus_counts(tokens, column), "words")
+    pairs = staged(pair_counts(tokens, column), "pairs")
     size = words.agg(F.count("*")).scalar()
     if vocabulary_counts_pairs:
         size = size + pairs.agg(F.count("*")).scalar()
     candidates = pairs.filter(F.col("cnt") > min_count) if threshold >= 0 else pairs
     left = words.select(F.col("token").alias("left"), F.col("cnt").alias("left_cnt"))
     right = words.select(F.col("token").alias("right"), F.col("cnt").alias("right_cnt"))
-    scored = salted_lookup(candidates, left, "left", heavy_keys(candidates, "left"), ["right"])
-    scored = salted_lookup(scored, right, "right", heavy_keys(candidates, "right"), ["left"])
+    scored = lookup(candidates, left, "left", ["right"])
+    scored = lookup(scored, right, "right", ["left"], None if fits_broadcast(right) else
+                    heavy_keys(candidates, "right"))
     score = (
         (F.col("cnt") - min_count).cast("double")
         / F.col("left_cnt") / F.col("right_cnt") * size
     )
-    return scored.select("left", "right", "cnt", score.alias("score")).filter(
-        F.col("score") > threshold
+    return staged(
+        scored.select("left", "right", "cnt", score.alias("score")).filter(F.col("score") > threshold),
+        "phrases",
     )
 
 
-def merge_marks(tokens, accepted) -> Column:
-    """One mark per token: `M` starts a phrase, `x` was absorbed by it, `0` stands alone.
+def accepted_positions(tokens: DataFrame, phrases: DataFrame, key: str = "doc_id",
+                       column: str = "tokens") -> DataFrame:
+    """(doc_id, positions): sorted 0-based positions where an accepted pair begins.
 
-    Accepted pairs are written as ones; scanning them left to right, each one
-    uses up the mark after it.  That is what a non-overlapping replacement does.
+    The phrase table may be of any size; only hits are grouped by document.
     """
-    flags = F.transform(
-        pairs_of(tokens), lambda p: F.when(F.array_contains(accepted, p), "1").otherwise("0")
+    each = tokens.select(key, F.posexplode(pairs_of(column)).alias("pos", "pair")).select(
+        key, "pos", "pair.left", "pair.right"
     )
-    code = F.concat(F.array_join(flags, ""), F.lit("0"))
-    return F.split(F.regexp_replace(code, "1.", "Mx"), "")
+    hits = lookup(each, phrases.select("left", "right"), ["left", "right"], [key, "pos"])
+    return hits.groupBy(key).agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
-def merge_phrases(tokens, accepted, delimiter: str = DELIMITER) -> Column:
-    """Tokens with the accepted pairs merged greedily from the left.
+def merge_starts(positions: Column) -> Column:
+    """Which accepted pairs are merged, going through the text from the left.
 
-    `accepted` is an array of (left, right) structs; null or empty leaves the
-    tokens as they are.
+    A merged pair uses up both its words, so of pairs that overlap in a chain
+    every other one is merged.  Written as text, a pair that overlaps the one
+    before it is `c` and any other is `s`; each pair then consumes the `c` after
+    it, which is what a replacement that does not overlap itself does.
     """
-    words = F.col(tokens) if isinstance(tokens, str) else tokens
-    following = F.concat(F.slice(words, F.lit(2), F.size(words)), F.array(F.lit("")))
-    joined = F.zip_with(words, following, lambda a, b: F.concat(a, F.lit(delimiter), b))
-    both = F.zip_with(words, joined, lambda w, j: F.struct(w.alias("w"), j.alias("j")))
-    chosen = F.zip_with(
-        both, merge_marks(words, accepted),
-        lambda b, m: F.when(m == "M", b.j).when(m == "0", b.w),
+    links = F.transform(
+        positions,
+        lambda p, i: F.when(F.get(positions, i - 1) == p - 1, "c").otherwise("s"),
     )
-    merged = F.filter(chosen, lambda t: t.isNotNull())
-    nothing = accepted.isNull() | (F.size(words) < 2) | (F.size(accepted) == 0)
-    return F.when(nothing, words).otherwise(merged)
-
+    marks = F.split(F.regexp_replace(F.array_join(links, ""), "[sc]c", "Mx"), "")
+    merged = F.zip_with(positions, marks, lambda p, m: F.when(m != "x", p))
+    return F.filter(merged, lambda p: p.isNotNull())
+
+
+def token_marks(size: Column, starts: Column) -> Column:
+    """One mark per word: `M` begins a phrase, `x` was absorbed, `0` stands alone."""
+    upto = F.transform(
+        starts,
+        lambda at, i: F.concat(
+            F.repeat(F.lit("0"), at - F.coalesce(F.get(starts, i - 1) + 2, F.lit(0))), F.lit("Mx")
+        ),
+    )
+    rest = F.repeat(F.lit("0"), size - F.coalesce(F.try_element_at(starts, F.lit(-1)) + 2, F.lit(0)))
+    return F.split(F.concat(F.array_join(upto, ""), rest), "")
 
-def accepted_per_document(tokens: DataFrame, phrases: DataFrame, key: str = "doc_id",
-                          column: str = "tokens") -> DataFrame:
-    """Documents with the accepted pairs they contain, as `accepted`.
 
-    The phrase table may be of any size: each distinct pair of a document looks
-    itself up, common pairs being spread, and only hits return.
-    """
-    seen = tokens.select(key, F.explode(F.array_distinct(pairs_of(column))).alias("pair"))
-    table = phrases.select(F.struct("left", "right").alias("pair")).distinct()
-    hits = salted_lookup(seen, table, "pair", heavy_keys(seen, "pair"), [key])
-    per_document = hits.groupBy(key).agg(F.collect_list("pair").alias("accepted"))
-    return tokens.join(per_document, key, "left")
+def with_merges(tokens: DataFrame, phrases: DataFrame, key: str = "doc_id",
+                column: str = "tokens") -> DataFrame:
+    """Documents that have accepted pairs, with the positions merged, as `starts`."""
+    found = accepted_positions(tokens, phrases, key, column)
+    starts = found.select(key, merge_starts(F.col("positions")).alias("starts"))
+    return tokens.join(starts, key, "left")
 
 
 def apply_phrases(tokens: DataFrame, phrases: DataFrame, key: str = "doc_id", column: str = "tokens",
                   delimiter: str = DELIMITER) -> DataFrame:
-    """Rewrite every document with the phrase table."""
-    matched = accepted_per_document(tokens, phrases, key, column)
-    return matched.withColumn(
-        column, merge_phrases(column, F.col("accepted"), delimiter)
-    ).drop("accepted")
+    """Rewrite every document: accepted pairs are joined, greedily from the left."""
+    marked = with_merges(tokens, phrases, key, column).withColumn(
+        "_marks", F.when(F.size("starts") > 0, token_marks(F.size(column), F.col("starts")))
+    )
+    following = F.concat(F.slice(column, F.lit(2), F.size(column)), F.array(F.lit("")))
+    joined = F.zip_with(column, following, lambda a, b: F.concat(a, F.lit(delimiter), b))
+    both = F.zip_with(column, joined, lambda w, j: F.struct(w.alias("w"), j.alias("j")))
+    chosen = F.zip_with(
+        both, F.col("_marks"), lambda b, m: F.when(m == "M", b.j).when(m == "0", b.w)
+    )
+    merged = F.filter(chosen, lambda t: t.isNotNull())
+    return marked.withColumn(
+        column, F.when(F.col("_marks").isNull(), F.col(column)).otherwise(merged)
+    ).drop("_marks", "starts")
 
 
 def phrase_report(tokens: DataFrame, phrases: DataFrame, key: str = "doc_id",
                   column: str = "tokens", delimiter: str = DELIMITER) -> DataFrame:
     """phrase -> (score, occurrences), counting merges as they happen in the text."""
-    matched = accepted_per_document(tokens, phrases, key, column).filter(
-        F.col("accepted").isNotNull()
-    )
-    starts = F.zip_with(
-        pairs_of(column), merge_marks(column, F.col("accepted")),
-        lambda p, m: F.when(m == "M", p),
-    )
-    each = matched.select(F.explode(F.filter(starts, lambda p: p.isNotNull())).alias("pair"))
-    counts = each.groupBy("pair").agg(F.count("*").alias("occurrences"))
-    scores = phrases.select(F.struct("left", "right").alias("pair"), "score")
-    return counts.join(scores, "pair").select(
-        F.concat_ws(delimiter, "pair.left", "pair.right").alias("phrase"), "score", "occurrences"
+    marked = with_merges(tokens, phrases, key, column).filter(F.size("starts") > 0)
+    each = marked.select(F.explode(F.transform(
+        "starts", lambda at: F.struct(
+            F.get(column, at).alias("left"), F.get(column, at + 1).alias("right"))
+    )).alias("pair")).select("pair.*")
+    counts = each.groupBy("left", "right").agg(F.count("*").alias("occurrences"))
+    return counts.join(phrases.select("left", "right", "score"), ["left", "right"]).select(
+        F.concat_ws(delimiter, "left", "right").alias("phrase"), "score", "occurrences"
     )
 
 
@@ -140,5 +153,5 @@ def detect_ngrams(tokens: DataFrame, rounds: int = 2, key: str = "doc_id", colum
     for _ in range(rounds):
         phrases = phrase_scores(tokens, column, min_count, threshold)
         tables.append(phrases)
-        tokens = apply_phrases(tokens, phrases, key, column)
+        tokens = staged(apply_phrases(tokens, phrases, key, column), "ngrams")
     return tokens, tables

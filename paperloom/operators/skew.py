@@ -6,39 +6,63 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_HEAVY = 512
 SALTS = 32
+BROADCAST_ROWS = 1_000_000
 
 
-def heavy_keys(facts: DataFrame, key: str, weight: Column | None = None,
+def heavy_keys(facts: DataFrame, keys, weight: Column | None = None,
                max_keys: int = MAX_HEAVY) -> DataFrame:
     """Keys that hold more than 1/max_keys of the rows (or of the weight).
 
     Fewer than `max_keys` keys can do so, whatever the size of the table, so the
     result is safe to broadcast.
     """
+    keys = [keys] if isinstance(keys, str) else list(keys)
     w = F.lit(1) if weight is None else weight
-    counts = facts.groupBy(key).agg(F.sum(w).alias("_n"))
+    counts = facts.groupBy(*keys).agg(F.sum(w).alias("_n"))
     total = facts.agg(F.sum(w)).scalar()
-    return counts.filter(F.col("_n") * max_keys > total).select(key)
+    return counts.filter(F.col("_n") * max_keys > total).select(*keys)
+
+
+def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """True if the table has at most `rows` rows; counting stops just beyond that."""
+    return dim.limit(rows + 1).count() <= rows
+
+
+def lookup(facts: DataFrame, dim: DataFrame, keys, salt_by: list, heavy: DataFrame | None = None,
+           how: str = "inner", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join `facts` to `dim`, which is unique on `keys`.
+
+    The size of `dim` is counted first (it should be a stored table).  Up to
+    `broadcast_rows` rows it is sent to every task and `facts` do not move;
+    beyond that the join is a shuffle with heavy keys spread over salts.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if fits_broadcast(dim, broadcast_rows):
+        return facts.join(F.broadcast(dim), keys, how)
+    if heavy is None:
+        heavy = heavy_keys(facts, keys)
+    return salted_lookup(facts, dim, keys, heavy, salt_by, how)
 
 
 def salted_lookup(
-    facts: DataFrame, dim: DataFrame, key: str, heavy: DataFrame, salt_by: list,
+    facts: DataFrame, dim: DataFrame, keys, heavy: DataFrame, salt_by: list,
     how: str = "inner", salts: int = SALTS,
 ) -> DataFrame:
-    """Join `facts` to `dim` (unique on `key`) with heavy keys spread over salts.
+    """Join `facts` to `dim` (unique on `keys`) with heavy keys spread over salts.
 
     Rows of a heavy key get a salt from a hash of `salt_by`; the one matching
     dimension row is repeated once per salt.  Only heavy dimension rows are
     repeated, so `dim` grows by less than max_keys x salts rows.  The salt is a
     hash, not a random number: a task that is run again gives the same rows.
     """
-    marks = F.broadcast(heavy.select(key).distinct().withColumn("_heavy", F.lit(True)))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    marks = F.broadcast(heavy.select(*keys).distinct().withColumn("_heavy", F.lit(True)))
     salt = F.when(
         F.col("_heavy"), F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
     ).otherwise(0)
-    left = facts.join(marks, key, "left").withColumn("_salt", salt).drop("_heavy")
+    left = facts.join(marks, keys, "left").withColumn("_salt", salt).drop("_heavy")
     copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    right = dim.join(marks, key, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    right = dim.join(marks, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -7,6 +7,11 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paperloom.session import spread
+
+# Rows of these tables are costly to process, so few splits would leave cores idle.
+TEXT_TABLES = {"documents", "pages"}
+
 _PLANS: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
 
@@ -20,7 +25,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._directory}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self._directory}/{name}.parquet")
+        return spread(table) if name in TEXT_TABLES else table
 
 
 def query(sql: str | None = None):

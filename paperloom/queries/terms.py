@@ -8,6 +8,7 @@ from paperloom.functions.text import word_runs
 from paperloom.operators import bow as B, lemmas as L, phrases as P
 from paperloom.queries.registry import query
 from paperloom.queries.texts import TOKENS_SQL, digest, token_table
+from paperloom.session import staged
 
 COUNTS_SQL = f"""
   SELECT doc_id, token, count(*) AS cnt
@@ -49,7 +50,7 @@ def vocab(t):
 WITH v AS ({VOCAB_SQL}), c AS ({COUNTS_SQL})
 SELECT doc_id, term_id, cnt FROM c JOIN v ON c.token = v.term""")
 def bow(t):
-    counts = B.term_counts(token_table(t))
+    counts = staged(B.term_counts(token_table(t)), "counts")
     return B.bag_of_words(counts, B.vocabulary(counts))
 
 
@@ -59,7 +60,7 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS terms,
        md5(string_agg(term_id || ':' || cnt, ' ' ORDER BY term_id)) AS digest
 FROM c JOIN v ON c.token = v.term GROUP BY doc_id""")
 def bow_arrays(t):
-    counts = B.term_counts(token_table(t))
+    counts = staged(B.term_counts(token_table(t)), "counts")
     arrays = B.bow_arrays(B.bag_of_words(counts, B.vocabulary(counts)))
     text = F.array_join(F.transform("bow", lambda e: F.concat_ws(":", e.term_id, e.cnt)), " ")
     return arrays.select("doc_id", F.size("bow").cast("bigint").alias("terms"), F.md5(text).alias("digest"))
@@ -97,7 +98,12 @@ merged AS (
 
 @query(f'{PHRASES_SQL}\nSELECT l AS "left", r AS "right", cnt, round(score, 6) AS score FROM accepted')
 def phrase_scores(t):
-    return P.phrase_scores(token_table(t)).withColumn("score", F.round("score", 6))
+    return P.phrase_scores(stored_tokens(t)).withColumn("score", F.round("score", 6))
+
+
+def stored_tokens(t):
+    """Tokens as a stored table: phrase detection reads them several times."""
+    return staged(token_table(t).select("doc_id", "tokens"), "tokens")
 
 
 @query(f"""{PHRASES_SQL}
@@ -106,7 +112,7 @@ SELECT doc_id, count(*) AS words,
                       ORDER BY pos)) AS digest
 FROM merged WHERE NOT absorbed GROUP BY doc_id""")
 def phrase_apply(t):
-    table = token_table(t)
+    table = stored_tokens(t)
     merged = P.apply_phrases(table, P.phrase_scores(table))
     return merged.filter(F.size("tokens") > 0).select("doc_id", *digest(F.col("tokens")))
 
@@ -115,7 +121,7 @@ def phrase_apply(t):
 SELECT token || '_' || following AS phrase, round(max(score), 6) AS score, count(*) AS occurrences
 FROM merged WHERE merges AND NOT absorbed GROUP BY token, following""")
 def phrase_report(t):
-    table = token_table(t)
+    table = stored_tokens(t)
     report = P.phrase_report(table, P.phrase_scores(table))
     return report.withColumn("score", F.round("score", 6))
 
@@ -123,7 +129,7 @@ def phrase_report(t):
 @query()
 def ngrams(t):
     """Two rounds; checked by tests against a loop on a small fixture."""
-    merged, _ = P.detect_ngrams(token_table(t))
+    merged, _ = P.detect_ngrams(stored_tokens(t))
     return merged.select("doc_id", *digest(F.col("tokens")))
 
 
@@ -153,7 +159,7 @@ def _words(t):
 
 @query(f"{LEMMA_SQL}\nSELECT word, lemma FROM best")
 def lemma_lookup(t):
-    words = _words(t)
+    words = staged(_words(t), "words")
     return L.lemma_table(words, words)
 
 
@@ -163,6 +169,7 @@ SELECT doc_id, count(*) AS words,
        md5(string_agg(coalesce(lemma, token), chr(1) ORDER BY pos)) AS digest
 FROM each LEFT JOIN best ON token = word GROUP BY doc_id""")
 def lemmatise(t):
-    words = _words(t)
-    replaced = L.lemmatise(token_table(t), L.lemma_table(words, words))
+    words = staged(_words(t), "words")
+    lemmas = staged(L.lemma_table(words, words), "lemmas")
+    replaced = L.lemmatise(token_table(t), lemmas)
     return replaced.filter(F.size("tokens") > 0).select("doc_id", *digest(F.col("tokens")))

@@ -66,3 +66,24 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so rows and partitions no longer change."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write `df` once below the shared folder and read it back.
+
+    For tables used several times: the lineage is cut, columns are pruned at
+    each use, and the file sizes let Spark choose joins by what is really there.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a scan that has fewer splits than there are cores.
+
+    A table in one small file with one row group is one task.  Tables with
+    enough splits, which large ones have, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
