@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.operators.bow import frequent_terms
+from paperloom.operators.bow import frequent_terms, term_counts
 from paperloom.operators.skew import lookup
 
 # The trainer keeps two float matrices of terms x width on the driver.
@@ -53,8 +53,8 @@ def document_vectors(tokens: DataFrame, words: DataFrame, key: str = "doc_id", c
     often as it occurs; `weights` (word, weight), such as idf, scales it.
     Documents without a known word get a null vector.
     """
-    counts = tokens.select(key, F.explode(column).alias("word")).groupBy(key, "word").agg(
-        F.count("*").cast("double").alias("n")
+    counts = term_counts(tokens, key, column).select(
+        key, F.col("token").alias("word"), F.col("cnt").cast("double").alias("n")
     )
     table = words.select(
         "word", array_to_vector(F.col("vector").cast("array<double>")).alias("vector")

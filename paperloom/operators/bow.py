@@ -8,9 +8,19 @@ from paperloom.operators.indexing import dense_index
 from paperloom.operators.skew import MAX_HEAVY, lookup
 
 
+def each_token(tokens: DataFrame, *keys: str, column: str = "tokens") -> DataFrame:
+    """One row per token.
+
+    The outer form is on purpose: for the inner one Spark infers a filter on the
+    array, and would tokenise a document twice if the array is not stored.
+    """
+    each = tokens.select(*keys, F.explode_outer(column).alias("token"))
+    return each.filter(F.col("token").isNotNull())
+
+
 def term_counts(tokens: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
     """(document, token, cnt).  Repeats are combined before the shuffle."""
-    each = tokens.select(key, F.explode(column).alias("token"))
+    each = each_token(tokens, key, column=column)
     return each.groupBy(key, "token").agg(F.count("*").alias("cnt"))
 
 
@@ -21,7 +31,7 @@ def sorted_term_counts(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def corpus_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     """Occurrences of every token in the corpus."""
-    each = tokens.select(F.explode(column).alias("token"))
+    each = each_token(tokens, column=column)
     return each.groupBy("token").agg(F.count("*").alias("cnt"))
 
 

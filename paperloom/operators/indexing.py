@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from paperloom.session import shared_checkpoint
+from paperloom.session import staged
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number here
 
@@ -12,16 +12,17 @@ _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row number he
 def dense_index(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """Number the rows start, start+1, ... in `order`, which must be unique.
 
-    Rows are range partitioned and sorted, then pinned by a reliable checkpoint,
-    so that positions do not move if a task is run again.  The offset of each
-    partition comes from one count per partition, the only thing broadcast.
+    Rows are range partitioned and sorted; each is written with its partition
+    and its place there, so these no longer change if a task is run again.  The
+    offset of a partition comes from one count per partition, the only thing
+    broadcast.
     """
-    pinned = shared_checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    placed = pinned.select(
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(ordered.select(
         "*",
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("_row"),
-    )
+    ), "index")
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

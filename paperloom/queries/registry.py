@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.session import spread
+from paperloom.session import ship_package, spread
 
 # Rows of these tables are costly to process, so few splits would leave cores idle.
 TEXT_TABLES = {"documents", "pages"}
@@ -21,6 +21,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self._directory = spark, directory.rstrip("/")
+        ship_package(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

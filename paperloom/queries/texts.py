@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from paperloom import constants as C
 from paperloom.functions import text as T
+from paperloom.operators.bow import each_token
+from paperloom.operators.topk import top_k_per_group
 from paperloom.queries.registry import query
 
 STOPWORDS = ("the", "of", "and", "in", "le", "la", "de", "et", "der", "die", "und", "el", "que")
@@ -53,9 +55,7 @@ SELECT lang, token, cnt, CAST(rank AS INTEGER) AS rank FROM (
   FROM (SELECT lang, unnest(tokens) AS token FROM ({TOKENS_SQL})) GROUP BY lang, token)
 WHERE rank <= 10""")
 def top_terms(t):
-    from paperloom.operators.topk import top_k_per_group
-
-    each = token_table(t).select("lang", F.explode("tokens").alias("token"))
+    each = each_token(token_table(t), "lang")
     counts = each.groupBy("lang", "token").agg(F.count("*").alias("cnt"))
     return top_k_per_group(counts, ["lang"], [F.desc("cnt"), F.asc("token")], 10)
 
@@ -72,8 +72,7 @@ SELECT lang, count(*) FILTER (WHERE token = '<num>') AS numbers,
        count(*) FILTER (WHERE token = '<latex>') AS formulas, count(*) AS tokens
 FROM (SELECT lang, unnest(tokens) AS token FROM ({TOKENS_SQL})) GROUP BY lang""")
 def num_metatoken(t):
-    marked = t.documents.select("lang", T.cleanse("text").alias("tokens"))
-    each = marked.select("lang", F.explode("tokens").alias("token"))
+    each = each_token(token_table(t), "lang")
     return each.groupBy("lang").agg(
         F.count_if(F.col("token") == C.NUMBER_TOKEN).alias("numbers"),
         F.count_if(F.col("token") == C.MATH_TOKEN).alias("formulas"),

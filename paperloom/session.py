@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,26 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context.
+
+    Needed where it is not installed on the executors, like --py-files.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_paperloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="paperloom-package-"), "paperloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._paperloom_shipped = True
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` once below the shared folder and read it back.
 
