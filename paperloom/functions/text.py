@@ -109,18 +109,36 @@ def clean_abstract(text, stopwords: Iterable[str]) -> Column:
     return F.array_join(drop_stopwords(words, stopwords), " ")
 
 
-def noun_rule_candidates(word) -> Column:
-    """Singular forms the noun ending rules allow for `word`, itself included."""
+def singular_forms(word) -> Column:
+    """What the noun ending rules make of a word, in rule order; may be empty."""
     w = _col(word)
-    forms = [w]
-    for ending, replacement in C.NOUN_ENDINGS:
-        forms.append(
-            F.when(
-                w.endswith(ending) & (F.length(w) > len(ending)),
-                F.concat(F.left(w, F.length(w) - len(ending)), F.lit(replacement)),
-            )
+    forms = [
+        F.when(
+            w.endswith(ending),
+            F.concat(F.left(w, F.length(w) - len(ending)), F.lit(replacement)),
         )
-    return F.array_distinct(F.array_compact(F.array(*forms)))
+        for ending, replacement in C.NOUN_ENDINGS
+    ]
+    return F.filter(F.array(*forms), lambda f: f.isNotNull() & (f != ""))
+
+
+def noun_rule_candidates(word, rounds: int = 3) -> Column:
+    """(round, form) structs in order of preference.
+
+    Round 1 holds the word itself and its singular forms; each further round,
+    used only where no earlier form is a known noun, applies the rules again.
+    """
+    w = _col(word)
+    forms = singular_forms(w)
+    steps = [F.concat(F.array(w), forms)]
+    for _ in range(rounds - 1):
+        forms = F.flatten(F.transform(forms, singular_forms))
+        steps.append(forms)
+
+    def numbered(step, n):
+        return F.transform(step, lambda f: F.struct(F.lit(n).alias("round"), f.alias("form")))
+
+    return F.concat(*[numbered(step, n) for n, step in enumerate(steps, 1)])
 
 
 def default_stopwords(spark: SparkSession, language: str = "english") -> list[str]:

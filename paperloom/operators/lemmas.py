@@ -1,8 +1,7 @@
 """Noun lemmas by table lookup.
 
 A lexicon of nouns (column `word`) and a table of irregular forms
-(`word`, `lemma`) are inputs.  Forms come from the published ending rules; a
-form counts only if the lexicon has it, and the shortest wins.
+(`word`, `lemma`) are inputs; forms come from the published ending rules.
 """
 
 from __future__ import annotations
@@ -14,17 +13,27 @@ from paperloom.operators.skew import lookup
 
 
 def lemma_table(words: DataFrame, lexicon: DataFrame, irregular: DataFrame | None = None) -> DataFrame:
-    """(word, lemma) for each distinct word that has a lemma other than itself."""
+    """(word, lemma) for each distinct word that has a lemma other than itself.
+
+    A word with irregular forms uses those instead of the rules.  Of the forms
+    the lexicon knows the shortest is taken, the first one on a tie.
+    """
     distinct = words.select("word").distinct()
-    forms = distinct.select("word", F.explode(noun_rule_candidates("word")).alias("lemma"))
-    known = forms.join(lexicon.select(F.col("word").alias("lemma")), "lemma", "left_semi")
-    if irregular is not None:
-        known = known.select("word", "lemma").unionByName(
-            distinct.join(irregular.select("word", "lemma"), "word")
-        )
-    best = known.groupBy("word").agg(
-        F.min(F.struct(F.length("lemma").alias("size"), F.col("lemma").alias("lemma"))).alias("best")
+    if irregular is None:
+        regular, odd = distinct, None
+    else:
+        regular = distinct.join(irregular.select("word"), "word", "left_anti")
+        odd = distinct.join(irregular.select("word", F.col("lemma").alias("form")), "word")
+        itself = odd.select("word", F.col("word").alias("form")).distinct()
+        odd = itself.withColumn("at", F.lit(0)).unionByName(odd.withColumn("at", F.lit(1)))
+    forms = regular.select("word", F.posexplode(noun_rule_candidates("word")).alias("at", "c")).select(
+        "word", "at", F.col("c.round").alias("round"), F.col("c.form").alias("form")
     )
+    if odd is not None:
+        forms = forms.unionByName(odd.withColumn("round", F.lit(1)))
+    known = forms.join(lexicon.select(F.col("word").alias("form")), "form", "left_semi")
+    rank = F.struct("round", F.length("form"), "at", F.col("form").alias("lemma"))
+    best = known.groupBy("word").agg(F.min(rank).alias("best"))
     return best.select("word", F.col("best.lemma").alias("lemma")).filter("word <> lemma")
 
 

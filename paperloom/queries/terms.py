@@ -136,19 +136,19 @@ def ngrams(t):
 LEMMA_SQL = r"""
 WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS word FROM documents),
 forms AS (
-  SELECT word, word AS lemma FROM words
-  UNION SELECT word, left(word, length(word) - 1) FROM words WHERE ends_with(word, 's') AND length(word) > 1
-  UNION SELECT word, left(word, length(word) - 3) || 's' FROM words WHERE ends_with(word, 'ses') AND length(word) > 3
-  UNION SELECT word, left(word, length(word) - 3) || 'f' FROM words WHERE ends_with(word, 'ves') AND length(word) > 3
-  UNION SELECT word, left(word, length(word) - 3) || 'x' FROM words WHERE ends_with(word, 'xes') AND length(word) > 3
-  UNION SELECT word, left(word, length(word) - 3) || 'z' FROM words WHERE ends_with(word, 'zes') AND length(word) > 3
-  UNION SELECT word, left(word, length(word) - 4) || 'ch' FROM words WHERE ends_with(word, 'ches') AND length(word) > 4
-  UNION SELECT word, left(word, length(word) - 4) || 'sh' FROM words WHERE ends_with(word, 'shes') AND length(word) > 4
-  UNION SELECT word, left(word, length(word) - 3) || 'man' FROM words WHERE ends_with(word, 'men') AND length(word) > 3
-  UNION SELECT word, left(word, length(word) - 3) || 'y' FROM words WHERE ends_with(word, 'ies') AND length(word) > 3),
+  SELECT word, word AS lemma, 0 AS at_ FROM words
+  UNION ALL SELECT word, left(word, length(word) - 1), 1 FROM words WHERE ends_with(word, 's')
+  UNION ALL SELECT word, left(word, length(word) - 3) || 's', 2 FROM words WHERE ends_with(word, 'ses')
+  UNION ALL SELECT word, left(word, length(word) - 3) || 'f', 3 FROM words WHERE ends_with(word, 'ves')
+  UNION ALL SELECT word, left(word, length(word) - 3) || 'x', 4 FROM words WHERE ends_with(word, 'xes')
+  UNION ALL SELECT word, left(word, length(word) - 3) || 'z', 5 FROM words WHERE ends_with(word, 'zes')
+  UNION ALL SELECT word, left(word, length(word) - 4) || 'ch', 6 FROM words WHERE ends_with(word, 'ches')
+  UNION ALL SELECT word, left(word, length(word) - 4) || 'sh', 7 FROM words WHERE ends_with(word, 'shes')
+  UNION ALL SELECT word, left(word, length(word) - 3) || 'man', 8 FROM words WHERE ends_with(word, 'men')
+  UNION ALL SELECT word, left(word, length(word) - 3) || 'y', 9 FROM words WHERE ends_with(word, 'ies')),
 best AS (
   SELECT word, lemma FROM (
-    SELECT word, lemma, row_number() OVER (PARTITION BY word ORDER BY length(lemma), lemma) AS rn
+    SELECT word, lemma, row_number() OVER (PARTITION BY word ORDER BY length(lemma), at_) AS rn
     FROM forms WHERE lemma IN (SELECT word FROM words)) WHERE rn = 1 AND lemma <> word)"""
 
 
