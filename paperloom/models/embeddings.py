@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -97,12 +98,10 @@ def load_words(path: str) -> Word2VecModel:
 
 def words_or_train(tokens: DataFrame, path: str, **settings) -> Word2VecModel:
     """Load the stored model if there is one, else train and store it."""
-    from py4j.protocol import Py4JJavaError
-
     try:
         return load_words(path)
-    except Py4JJavaError as missing:
-        if "does not exist" not in str(missing):
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
             raise
     model = train_words(tokens, **settings)
     save_words(model, path)

@@ -12,8 +12,8 @@ WIDTH = HEIGHT = 500
 
 def _pixel(value: str, low: Column, high: Column, pixels: int) -> Column:
     span = high - low
-    at = F.floor((F.col(value) - low) / F.nullif(span, F.lit(0.0)) * pixels)
-    return F.coalesce(F.least(at, F.lit(pixels - 1)), F.lit(0)).cast("int")
+    at = F.floor((F.col(value) - low) / span * pixels)
+    return F.when(span == 0, F.lit(0)).otherwise(F.least(at, F.lit(pixels - 1))).cast("int")
 
 
 def pixels(points: DataFrame, x: str = "x", y: str = "y", width: int = WIDTH,
