@@ -57,17 +57,15 @@ def document_vectors(tokens: DataFrame, words: DataFrame, key: str = "doc_id", c
     counts = term_counts(tokens, key, column).select(
         key, F.col("token").alias("word"), F.col("cnt").cast("double").alias("n")
     )
-    table = words.select(
-        "word", array_to_vector(F.col("vector").cast("array<double>")).alias("vector")
-    )
-    found = lookup(counts, table, "word", [key], broadcast_rows=100_000)
+    table = words.select("word", F.col("vector").cast("array<double>").alias("vector"))
+    found = lookup(counts, table, "word", [key])
     if weights is not None:
         found = found.join(weights.select("word", "weight"), "word").withColumn(
             "n", F.col("n") * F.col("weight")
         )
     # a JVM aggregate over whole vectors: rows are not multiplied by the width
     vectors = found.groupBy(key).agg(
-        Summarizer.mean(F.col("vector"), F.col("n")).alias("vector")
+        Summarizer.mean(array_to_vector("vector"), F.col("n")).alias("vector")
     ).select(key, vector_to_array("vector").alias("vector"))
     return tokens.select(key).join(vectors, key, "left")
 

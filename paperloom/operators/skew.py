@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MAX_HEAVY = 512
 SALTS = 32
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 << 20
 
 
 def heavy_keys(facts: DataFrame, keys, weight: Column | None = None,
@@ -23,18 +24,32 @@ def heavy_keys(facts: DataFrame, keys, weight: Column | None = None,
     return counts.filter(F.col("_n") * max_keys > total).select(*keys)
 
 
-def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most `rows` rows; counting stops just beyond that."""
-    return dim.limit(rows + 1).count() <= rows
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: text by its bytes, the rest by fixed widths."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
+        elif isinstance(f.dataType, T.ArrayType):
+            total = total + F.greatest(F.size(f.name), F.lit(0)) * 8 + 16
+        else:
+            total = total + 8
+    return total.cast("bigint")
+
+
+def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True if the table is within both bounds; reading stops just beyond the row bound."""
+    seen = dim.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(_row_bytes(dim)).alias("b")).first()
+    return seen.n <= rows and (seen.b or 0) <= size
 
 
 def lookup(facts: DataFrame, dim: DataFrame, keys, salt_by: list, heavy: DataFrame | None = None,
            how: str = "inner", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join `facts` to `dim`, which is unique on `keys`.
 
-    The size of `dim` is counted first (it should be a stored table).  Up to
-    `broadcast_rows` rows it is sent to every task and `facts` do not move;
-    beyond that the join is a shuffle with heavy keys spread over salts.
+    The size of `dim` is measured first (it should be a stored table).  Within
+    the row and byte bounds it is sent to every task and `facts` do not move;
+    beyond them the join is a shuffle with heavy keys spread over salts.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if fits_broadcast(dim, broadcast_rows):

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from paperloom.models import embeddings as E, layout as Y, topics
 from paperloom.operators import similarity as S
 from paperloom.queries.registry import query
-from paperloom.queries.texts import token_table
+from paperloom.queries.terms import stored_tokens
 from paperloom.queries.vectors import vectors
 
 
 @query()
 def lda_topics(t):
-    tokens = token_table(t).select("doc_id", "tokens")
+    tokens = stored_tokens(t)
     vectorizer, counted = topics.count_vectors(tokens, min_df=5.0, topics=3)
     model = topics.train_topics(counted, k=3, passes=1, seed=1, subsampling=0.2)
     terms = topics.topic_terms(model, topics.vocabulary_table(t.spark, vectorizer), 3)
@@ -21,8 +21,11 @@ def lda_topics(t):
 
 
 def _words(t):
-    tokens = token_table(t).select("doc_id", "tokens")
-    return tokens, E.train_words(tokens, width=16, window=5, min_count=5, iterations=1, partitions=4, seed=1)
+    tokens = stored_tokens(t)
+    workers = t.spark.sparkContext.defaultParallelism
+    return tokens, E.train_words(
+        tokens, width=16, window=5, min_count=5, iterations=1, partitions=workers, seed=1
+    )
 
 
 @query()
