@@ -17,7 +17,9 @@ def refresh_records(spark: SparkSession, pages: str, table: str, spec: str | Non
                     once_per_record: bool = False) -> int:
     """Read landed harvest pages and publish a new version of the record table.
 
-    New rows are appended; `once_per_record` keeps the latest row of each.
+    New rows are appended; `once_per_record` keeps the latest row of each.  The
+    table is rewritten, as suits a catalogue of records; where that is too much,
+    `paperloom.streaming.incremental.ingest_records` adds only what is new.
     """
     new = harvest_window(xml_records.read_records(spark, pages), spec=spec)
     if sinks.current_version(spark, table) is None:
