@@ -189,16 +189,16 @@ def titles_before(t):
 
 @query("""
 WITH inventory AS (
-  SELECT 'n' || n_nationkey AS id, n_name AS title, 'root' AS parent_id, 'folder' AS mime_type,
+  SELECT 'n' || n_nationkey AS id, n_name AS title, 'r' || n_regionkey AS parent_id, 'folder' AS mime_type,
          false AS trashed FROM nation
   UNION ALL
   SELECT 'c' || c_custkey, c_name, 'n' || c_nationkey, 'file', c_acctbal < 0 FROM customer)
 SELECT f.id, f.title FROM inventory f JOIN inventory d ON f.parent_id = d.id
-WHERE NOT f.trashed AND d.title = 'NATION_3' AND d.parent_id = 'root' AND d.mime_type = 'folder'""")
+WHERE NOT f.trashed AND d.title = 'NATION_3' AND d.parent_id = 'r3' AND d.mime_type = 'folder'""")
 def mirror_listing(t):
     folders = t.nation.select(
         F.concat(F.lit("n"), "n_nationkey").alias("id"), F.col("n_name").alias("title"),
-        F.lit("root").alias("parent_id"), F.lit("folder").alias("mime_type"),
+        F.concat(F.lit("r"), "n_regionkey").alias("parent_id"), F.lit("folder").alias("mime_type"),
         F.lit(False).alias("trashed"),
     )
     entries = t.customer.select(
@@ -206,7 +206,7 @@ def mirror_listing(t):
         F.concat(F.lit("n"), "c_nationkey").alias("parent_id"), F.lit("file").alias("mime_type"),
         (F.col("c_acctbal") < 0).alias("trashed"),
     )
-    listed = files.mirror_inventory(folders.unionByName(entries), "NATION_3", folder_mime="folder")
+    listed = files.mirror_inventory(folders.unionByName(entries), "NATION_3", root="r3", folder_mime="folder")
     return topk.sort_by_title(listed.select("id", "title"))
 
 
