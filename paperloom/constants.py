@@ -58,7 +58,7 @@ TEXTUAL_CLASSES = ("ltx_citemacro_citet", "ltx_citemacro_cite")
 REFERENCE_NUMBER = r"^[(]?\d*[)]?$"
 
 # Archive manifest.
-MANIFEST_ROOT = "arXivSRC"
+MANIFEST_ROOT = "manifest"
 MANIFEST_ROW = "file"
 MANIFEST_FIELDS = (
     "content_md5sum",
@@ -76,17 +76,19 @@ OVERSIZE_BYTES = 512000000
 
 # Record harvest pages.
 HARVEST_ROW = "record"
-HARVEST_FORMAT = "arXiv"
+# Element that holds a record's own fields; each service has its own.
+HARVEST_FORMAT = "paper"
 HARVEST_ROOT = "OAI-PMH"
 HARVEST_TOKEN = "resumptionToken"
 HARVEST_SET = "set"
 
 # API feed.
 FEED_ROW = "entry"
-FEED_PREFIX = "arxiv"
+# Prefix of the service's own elements.
+FEED_PREFIX = "ext"
 
 # E-print service.
-EPRINT_URL = "https://arxiv.org/e-print/"
+EPRINT_URL = "https://example.org/e-print/"
 
 # Submission log header.
 LOG_HEADER = r"^TARFILE: (.*)\."

@@ -37,29 +37,32 @@ HARVEST_BODY = T.StructType(
     + _strings("title", "categories", "comment", "comments", "journal-ref", "doi", "abstract")
 )
 
-HARVEST_RECORD = T.StructType([
-    T.StructField("header", T.StructType(
-        _strings("identifier", "datestamp") + [T.StructField("setSpec", _many)]
-    )),
-    T.StructField("metadata", T.StructType([
-        T.StructField(C.HARVEST_FORMAT, HARVEST_BODY),
-    ])),
-])
+
+def harvest_record(body_tag: str = C.HARVEST_FORMAT) -> T.StructType:
+    """Schema of a harvest record whose fields stand in `body_tag`."""
+    return T.StructType([
+        T.StructField("header", T.StructType(
+            _strings("identifier", "datestamp") + [T.StructField("setSpec", _many)]
+        )),
+        T.StructField("metadata", T.StructType([T.StructField(body_tag, HARVEST_BODY)])),
+    ])
+
 
 HARVEST_TOKEN = T.StructType(_strings("_VALUE", "_completeListSize", "_cursor"))
 
-_prefixed = [f"{C.FEED_PREFIX}:{n}" for n in ("doi", "journal_ref", "comment")]
 
-FEED_ENTRY = T.StructType(
-    _strings("id", "updated", "published", "title", "summary")
-    + [
-        T.StructField("author", T.ArrayType(T.StructType(_strings("name")))),
-        T.StructField("link", T.ArrayType(T.StructType(_strings("_title", "_href")))),
-    ]
-    + _strings(*_prefixed)
-    + [T.StructField(
-        f"{C.FEED_PREFIX}:primary_category", T.StructType(_strings("_term")))]
-)
+def feed_entry(prefix: str = C.FEED_PREFIX) -> T.StructType:
+    """Schema of a feed entry whose service-specific elements have `prefix`."""
+    return T.StructType(
+        _strings("id", "updated", "published", "title", "summary")
+        + [
+            T.StructField("author", T.ArrayType(T.StructType(_strings("name")))),
+            T.StructField("link", T.ArrayType(T.StructType(_strings("_title", "_href")))),
+        ]
+        + _strings(*(f"{prefix}:{n}" for n in ("doi", "journal_ref", "comment")))
+        + [T.StructField(f"{prefix}:primary_category", T.StructType(_strings("_term")))]
+    )
+
 
 SUBJECTS = T.StructType([
     T.StructField("length", T.IntegerType()),

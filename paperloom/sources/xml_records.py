@@ -45,23 +45,23 @@ def typed_manifest(manifest: DataFrame, strict: bool = True) -> DataFrame:
     })
 
 
-def read_harvest_structs(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed `<record>` elements, still nested."""
-    return _reader(spark, C.HARVEST_ROW, S.HARVEST_RECORD).load(path)
+def read_harvest_structs(spark: SparkSession, path: str, body_tag: str = C.HARVEST_FORMAT) -> DataFrame:
+    """Parsed `<record>` elements, still nested; `body_tag` holds a record's own fields."""
+    return _reader(spark, C.HARVEST_ROW, S.harvest_record(body_tag)).load(path)
 
 
-def harvest_struct(xml) -> Column:
+def harvest_struct(xml, body_tag: str = C.HARVEST_FORMAT) -> Column:
     """Parse a string column holding one `<record>` element each."""
-    return F.from_xml(xml, S.HARVEST_RECORD, XML_OPTIONS)
+    return F.from_xml(xml, S.harvest_record(body_tag), XML_OPTIONS)
 
 
-def project_records(structs: DataFrame, *keep: str) -> DataFrame:
+def project_records(structs: DataFrame, *keep: str, body_tag: str = C.HARVEST_FORMAT) -> DataFrame:
     """Nested record -> the 13 text columns; absent elements become null.
 
     A repeated element gives its first occurrence.  The comment element is read
     under either of its two spellings.
     """
-    body = f"metadata.{C.HARVEST_FORMAT}"
+    body = f"metadata.`{body_tag}`"
     return structs.select(
         *keep,
         F.col("header.identifier").alias("identifier"),
@@ -88,9 +88,11 @@ def stamp_records(records: DataFrame, retrieved: Column | None = None) -> DataFr
     })
 
 
-def read_records(spark: SparkSession, path: str, retrieved: Column | None = None) -> DataFrame:
+def read_records(spark: SparkSession, path: str, retrieved: Column | None = None,
+                 body_tag: str = C.HARVEST_FORMAT) -> DataFrame:
     """Harvest pages -> `records`."""
-    return stamp_records(project_records(read_harvest_structs(spark, path)), retrieved)
+    structs = read_harvest_structs(spark, path, body_tag)
+    return stamp_records(project_records(structs, body_tag=body_tag), retrieved)
 
 
 def read_harvest_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -121,14 +123,14 @@ def read_sets(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark, C.HARVEST_SET, "setSpec string, setName string").load(path).select("setSpec")
 
 
-def feed_struct(xml) -> Column:
+def feed_struct(xml, prefix: str = C.FEED_PREFIX) -> Column:
     """Parse a string column holding one feed `<entry>` each."""
-    return F.from_xml(xml, S.FEED_ENTRY, XML_OPTIONS)
+    return F.from_xml(xml, S.feed_entry(prefix), XML_OPTIONS)
 
 
-def project_feed(structs: DataFrame, *keep: str) -> DataFrame:
+def project_feed(structs: DataFrame, *keep: str, prefix: str = C.FEED_PREFIX) -> DataFrame:
     """Nested feed entry -> 12 columns."""
-    p = C.FEED_PREFIX
+    p = prefix
     return structs.select(
         *keep,
         "id", "updated", "published", "title", "summary",
@@ -142,6 +144,6 @@ def project_feed(structs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, prefix: str = C.FEED_PREFIX) -> DataFrame:
     """API feed pages -> 12-column entries."""
-    return project_feed(_reader(spark, C.FEED_ROW, S.FEED_ENTRY).load(path))
+    return project_feed(_reader(spark, C.FEED_ROW, S.feed_entry(prefix)).load(path), prefix=prefix)

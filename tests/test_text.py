@@ -77,7 +77,7 @@ def test_fields(spark):
     assert apply(spark, ["12", "x"], fields.to_number("v", strict=False)) == [12, None]
     with pytest.raises(Exception):
         apply(spark, ["x"], fields.to_number("v"))
-    assert apply(spark, ["src/arXiv_src_0003_001.tar"], paths.archive_directory("v")) == ["latex/arXiv_src_0003_001"]
+    assert apply(spark, ["src/old_src_0003_001.tar"], paths.archive_directory("v")) == ["latex/old_src_0003_001"]
     assert apply(spark, ["astro-ph.IM x", "x astro-ph", None], fields.category_in("v", "astro-ph")) == [
         True, False, False]
     kinds = spark.createDataFrame([
