@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.functions.paths import stem
 from paperloom.operators.filters import harvest_window
 from paperloom.operators.reconcile import conversion_outcome, known_members, pending, source_tier
 from paperloom.operators.sets import append_records, upsert
@@ -72,11 +71,7 @@ def ingest_archives(archives: DataFrame, identifiers: DataFrame, out: IngestTabl
     files_.write.parquet(unpacked)
     files_ = spark.read.parquet(unpacked)
     sinks.write_submissions(files_, out.submissions)
-    bad = members.filter(F.col("kind").isin("error", "not_tar")).select(
-        "tar_name", "member_name", "kind", "error"
-    ).unionByName(
-        files_.filter(F.col("kind") == "error").select("tar_name", "member_name", "kind", "error")
-    )
+    bad = files_.filter(F.col("kind").isin(*A.FAILURE_KINDS)).select("tar_name", "member_name", "kind", "error")
     sinks.append_failures(bad, out.failures)
 
 
@@ -94,7 +89,3 @@ def outcome_report(submissions: DataFrame, logs: DataFrame, outputs: DataFrame)
     """Counts of converted, failed and pending submissions."""
     state = conversion_outcome(submissions, logs, outputs)
     return state.groupBy("outcome").agg(F.count("*").alias("submissions"))
-
-
-def ids_of_paths(listing: DataFrame) -> DataFrame:
-    return listing.select(stem("path").alias("submission_id"))

@@ -24,6 +24,8 @@ from paperloom import schemas as S
 from paperloom.functions.paths import base_name, ends_with_any, member_kind, stem
 
 BATCH_BYTES = 32 << 20
+# Kinds of rows that report an archive or a member that could not be read.
+FAILURE_KINDS = ("not_tar", "error")
 _UNREADABLE = (tarfile.TarError, OSError, EOFError, zlib.error)
 
 
@@ -97,6 +99,21 @@ def pdf_only(members: DataFrame) -> DataFrame:
     return members.filter(F.col("kind") == "pdf").select("tar_name", "submission_id")
 
 
+def wanted_members(members: DataFrame, identifiers: DataFrame) -> DataFrame:
+    """Members of the known submissions, and the rows that report failures.
+
+    Failures have no submission id; they pass the join on a marker of their own,
+    so an archive is sliced once.
+    """
+    failed = F.col("kind").isin(*FAILURE_KINDS)
+    marker = "\x00failure"
+    keyed = members.withColumn("_known", F.when(failed, F.lit(marker)).otherwise(F.col("submission_id")))
+    ids = identifiers.select(F.col("filename_parsed").alias("_known")).unionByName(
+        identifiers.sparkSession.range(1).select(F.lit(marker).alias("_known"))
+    )
+    return keyed.join(ids, "_known", "left_semi").select(*members.columns)
+
+
 def spread_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rebalance members after the filter, as one archive is one scan task."""
     keys = [F.col("tar_name"), F.col("member_name")]
@@ -138,18 +155,22 @@ def unpack_member(name: str, content: bytes, recursive: bool = False):
 def inner_files(members: DataFrame, suffixes=None, recursive: bool = False) -> DataFrame:
     """Decompress members: one row per inner file.
 
-    `suffixes` keeps only such files.  A member that cannot be read gives a row
-    of kind `error` and does not stop the job; a member without a wanted file
-    gives no row.
+    `suffixes` keeps only such files.  Rows that report a failed archive are
+    passed on as they are.  A member that cannot be read gives a row of kind `error` and does not stop the job; a member without a wanted file
+    gives no row.  Rows that report a failure of an archive are passed on.
     """
     wanted = tuple(suffixes) if suffixes else None
 
     def unpack(frames):
         def rows():
             for frame in frames:
-                for tar_name, member, submission, content in zip(
-                    frame["tar_name"], frame["member_name"], frame["submission_id"], frame["content"]
+                for tar_name, member, submission, kind, error, content in zip(
+                    frame["tar_name"], frame["member_name"], frame["submission_id"], frame["kind"], frame["error"],
+                    frame["content"],
                 ):
+                    if kind in FAILURE_KINDS:
+                        yield tar_name, member, submission, None, kind, error, None
+                        continue
                     for path, body, problem in unpack_member(member, content, recursive):
                         if problem is not None:
                             yield tar_name, member, submission, path, "error", problem, None
@@ -157,27 +178,31 @@ def inner_files(members: DataFrame, suffixes=None, recursive: bool = False) -> D
                             yield tar_name, member, submission, path, "file", None, body
         yield from _batches(rows(), S.INNER_FILES.names)
 
-    packed = members.filter((F.col("kind") == "gz") & F.col("content").isNotNull())
-    return packed.select("tar_name", "member_name", "submission_id", "content").mapInPandas(
-        unpack, S.INNER_FILES
+    packed = members.filter(
+        ((F.col("kind") == "gz") & F.col("content").isNotNull()) | F.col("kind").isin(*FAILURE_KINDS)
     )
+    return packed.select(
+        "tar_name", "member_name", "submission_id", "kind", "error", "content"
+    ).mapInPandas(unpack, S.INNER_FILES)
 
 
 def tex_files(files: DataFrame, suffixes=(".tex", ".ltx")) -> DataFrame:
     """Only source text; error rows stay visible."""
-    return files.filter((F.col("kind") == "error") | ends_with_any("inner_path", suffixes))
+    return files.filter(F.col("kind").isin(*FAILURE_KINDS) | ends_with_any("inner_path", suffixes))
 
 
 def explode_archives(
     archives: DataFrame, identifiers: DataFrame | None = None, suffixes=None,
     recursive: bool = False, name_part: str | None = None,
 ) -> DataFrame:
-    """Archives -> inner files of the known submissions."""
-    from paperloom.operators.reconcile import known_members
+    """Archives -> inner files of the known submissions.
 
+    An archive that is no tar, or that breaks off, is reported by a row of kind
+    `not_tar` or `error`, whatever the identifiers.
+    """
     members = tar_members(archives, suffixes=(".gz",), name_part=name_part)
     if identifiers is not None:
-        members = known_members(members, identifiers)
+        members = wanted_members(members, identifiers)
     return inner_files(spread_members(members), suffixes, recursive)
 
 

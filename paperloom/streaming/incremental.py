@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom import constants as C, schemas as S
-from paperloom.operators.reconcile import known_members
+from paperloom.functions.paths import base_name
 from paperloom.operators.sets import latest
 from paperloom.sources import archives as A
+from paperloom.sources.files import read_archives
 from paperloom.sources.xml_records import XML_OPTIONS, project_records, stamp_records
 
 
@@ -35,21 +36,22 @@ def run_available(stream: DataFrame, write, checkpoint: str, name: str | None =
     return query
 
 
-def harvest_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
+def harvest_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None,
+                   body_tag: str = C.HARVEST_FORMAT) -> DataFrame:
     """New harvest pages of a landing directory as `records`."""
     reader = (
         spark.readStream.format("xml").options(**XML_OPTIONS)
-        .option("rowTag", C.HARVEST_ROW).schema(S.HARVEST_RECORD)
+        .option("rowTag", C.HARVEST_ROW).schema(S.harvest_record(body_tag))
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return stamp_records(project_records(reader.load(landing)))
+    return stamp_records(project_records(reader.load(landing), body_tag=body_tag))
 
 
 def ingest_records(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                   files_per_batch: int | None = None):
+                   files_per_batch: int | None = None, body_tag: str = C.HARVEST_FORMAT):
     """Append the records of pages that have not been read yet."""
-    stream = harvest_stream(spark, landing, files_per_batch)
+    stream = harvest_stream(spark, landing, files_per_batch, body_tag)
     return run_available(stream, batch_writer(table), checkpoint)
 
 
@@ -66,15 +68,44 @@ def archive_stream(spark: SparkSession, landing: str, archives_per_batch: int =
 
 def ingest_archives(spark: SparkSession, landing: str, identifiers: DataFrame, table: str,
                     checkpoint: str, suffixes=None, archives_per_batch: int = 64):
-    """Unpack the known submissions of every archive not seen before, once."""
+    """Unpack the known submissions of every archive not seen before, once.
+
+    Archives and members that cannot be read are rows of kind `not_tar` or
+    `error` of the same table; see `failed_archives` and `retry_archives`.
+    """
     def unpack(batch: DataFrame) -> DataFrame:
-        members = known_members(A.tar_members(batch, (".gz",)), identifiers)
-        return A.inner_files(A.spread_members(members), suffixes)
+        return A.explode_archives(batch, identifiers, suffixes)
 
     stream = archive_stream(spark, landing, archives_per_batch)
     return run_available(stream, batch_writer(table, unpack), checkpoint)
 
 
+def failed_archives(spark: SparkSession, table: str) -> DataFrame:
+    """(tar_name, failures) of the archives whose last try left failures.
+
+    Batches are numbered upwards and so are retries, which come after all of
+    them; an archive is judged by its last one.
+    """
+    rows = spark.read.option("basePath", table).parquet(f"{table}/batch=*").select("tar_name", "kind", "batch")
+    last = rows.groupBy("tar_name", "batch").agg(
+        F.count_if(F.col("kind").isin(*A.FAILURE_KINDS)).alias("failures"))
+    latest_try = last.groupBy("tar_name").agg(F.max_by("failures", "batch").alias("failures"))
+    return latest_try.filter(F.col("failures") > 0)
+
+
+def retry_archives(spark: SparkSession, landing: str, identifiers: DataFrame, table: str, suffixes=None) -> int:
+    """Read the failed archives of `table` again, as a batch after the last; returns its number."""
+    tried = spark.read.option("basePath", table).parquet(f"{table}/batch=*")
+    number = tried.agg(F.max("batch")).first()[0] + 1
+    failed = failed_archives(spark, table).select("tar_name")
+    again = (
+        read_archives(spark, landing).withColumn("tar_name", base_name("path"))
+        .join(failed, "tar_name", "left_semi").select("path", "content")
+    )
+    batch_writer(table, lambda rows: A.explode_archives(rows, identifiers, suffixes))(again, number)
+    return number
+
+
 def table_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
     """New Parquet files of a landing directory."""
     reader = spark.readStream.schema(schema)
@@ -99,8 +130,3 @@ def compact(spark: SparkSession, table: str, out: str, key: str = "identifier",
             recency=("date_retrieved", "datestamp")) -> None:
     """Write the resolved view as a table of its own."""
     latest_view(spark, table, key, recency).write.mode("overwrite").parquet(out)
-
-
-def upsert_counts(table: DataFrame, key: str) -> DataFrame:
-    """Records and rows: how much a compaction would save."""
-    return table.agg(F.count("*").alias("rows"), F.count_distinct(key).alias("records"))

@@ -88,4 +88,6 @@ def test_archive_stream_is_retried_whole(spark, tmp_path, archive_dir):  # noqa:
     I.ingest_archives(spark, archive_dir, ids(spark), files_, check2)
     got = spark.read.parquet(f"{files_}/batch=*")
     assert got.filter("kind = 'file'").select("submission_id").distinct().count() == 2
-    assert got.agg(F.count("*")).first()[0] == 5
+    failed = got.filter(F.col("kind") == "not_tar")
+    assert [r.tar_name for r in failed.collect()] == ["fake.tar"]  # reported, not dropped
+    assert got.count() == 5 + failed.count()
