@@ -8,25 +8,23 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.operators.bow import frequent_terms, term_counts
+from paperloom.operators.bow import each_token, term_counts
 from paperloom.operators.skew import lookup
 
-# The trainer keeps two float matrices of terms x width on the driver.
-DRIVER_VALUES = 400_000_000
-
 
 def train_words(tokens: DataFrame, width: int = 300, window: int = 5, min_count: int = 5,
-                iterations: int = 10, partitions: int = 1, seed: int = 0,
+                iterations: int = 10, partitions: int | None = None, seed: int = 0,
                 column: str = "tokens") -> Word2VecModel:
     """Skip-gram word vectors.
 
     `partitions` sets how many workers train side by side between two
-    synchronisations.  The frequent vocabulary is counted first: a model larger
-    than the driver bound is refused, so raise `min_count` for such a corpus.
+    synchronisations; by default as many as the tokens have partitions.  Give a
+    number for a result that does not depend on how the tokens are stored.
+    MLlib keeps two float matrices of terms x width on the driver; that is its
+    own limit, and `min_count` sets the number of terms.
     """
-    terms = frequent_terms(tokens, min_count, column).count()
-    if terms * width * 2 > DRIVER_VALUES:
-        raise ValueError(f"{terms} terms x {width} exceed the driver bound; raise min_count")
+    if partitions is None:
+        partitions = max(1, tokens.rdd.getNumPartitions())
     trainer = Word2Vec(
         vectorSize=width, windowSize=window, minCount=min_count, maxIter=iterations,
         numPartitions=partitions, seed=seed, inputCol=column, outputCol="vector",
@@ -58,11 +56,11 @@ def document_vectors(tokens: DataFrame, words: DataFrame, key: str = "doc_id", c
         key, F.col("token").alias("word"), F.col("cnt").cast("double").alias("n")
     )
     table = words.select("word", F.col("vector").cast("array<double>").alias("vector"))
+    if weights is not None:  # both have one row per word, so no hot key meets vectors
+        table = table.join(weights.select("word", "weight"), "word")
     found = lookup(counts, table, "word", [key])
     if weights is not None:
-        found = found.join(weights.select("word", "weight"), "word").withColumn(
-            "n", F.col("n") * F.col("weight")
-        )
+        found = found.withColumn("n", F.col("n") * F.col("weight"))
     # a JVM aggregate over whole vectors: rows are not multiplied by the width
     vectors = found.groupBy(key).agg(
         Summarizer.mean(array_to_vector("vector"), F.col("n")).alias("vector")
@@ -78,7 +76,8 @@ def infer_vectors(model: Word2VecModel, tokens: DataFrame, key: str = "doc_id")
 def idf_weights(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     """(word, weight): log((documents + 1) / (documents with the word + 1))."""
     total = tokens.agg(F.count("*")).scalar()
-    seen = tokens.select(F.explode(F.array_distinct(column)).alias("word"))
+    distinct = tokens.select(F.array_distinct(column).alias("words"))
+    seen = each_token(distinct, column="words").withColumnRenamed("token", "word")
     return seen.groupBy("word").agg(F.count("*").alias("df")).select(
         "word", F.log((total + 1) / (F.col("df") + 1)).alias("weight")
     )

@@ -6,34 +6,29 @@ from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import DataFrame, functions as F
 
-# A topic model and its vocabulary live on the driver: topics x terms doubles.
-DRIVER_VALUES = 200_000_000
+# What MLlib takes for a vocabulary without a bound.
+UNBOUNDED = (1 << 31) - 1
 
 
 def count_vectors(tokens: DataFrame, min_df: float = 1.0, column: str = "tokens",
-                  out: str = "features", topics: int = 1) -> tuple[CountVectorizerModel, DataFrame]:
+                  out: str = "features") -> tuple[CountVectorizerModel, DataFrame]:
     """Term vectors over the whole vocabulary, with no cap on its size.
 
-    The vocabulary is held by the driver, so its size is counted first and a
-    fit that cannot fit is refused rather than cut short.
+    MLlib holds the vocabulary, and later topics x terms, on the driver; that is
+    its own limit.
     """
-    each = tokens.select("doc_id", F.explode(F.array_distinct(column)).alias("token"))
-    terms = each.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= min_df).count()
-    if terms * topics > DRIVER_VALUES:
-        raise ValueError(f"{terms} terms x {topics} topics exceed the driver bound; raise min_df")
-    vectorizer = CountVectorizer(
-        inputCol=column, outputCol=out, vocabSize=max(terms, 1), minDF=min_df
-    )
+    vectorizer = CountVectorizer(inputCol=column, outputCol=out, vocabSize=UNBOUNDED, minDF=min_df)
     model = vectorizer.fit(tokens)
     return model, model.transform(tokens)
 
 
 def train_topics(vectors: DataFrame, k: int = 3, passes: int = 50, seed: int = 0,
-                 subsampling: float = 0.05, column: str = "features"):
+                 subsampling: float = 1.0, column: str = "features"):
     """LDA by online variational Bayes.
 
-    One iteration sees a sample, so `passes` over the corpus take
-    passes / subsampling iterations.
+    By default each iteration sees all documents.  With a smaller `subsampling`
+    an iteration sees a sample drawn with replacement, and `passes` over the
+    corpus take passes / subsampling iterations.
     """
     lda = LDA(
         k=k, maxIter=max(1, round(passes / subsampling)), optimizer="online", seed=seed,

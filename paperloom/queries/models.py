@@ -1,52 +1,122 @@
-"""Trained models: the plans run whole tables; results are checked by invariants in the tests."""
+"""Trained models over whole tables.
+
+What training gives is no SQL result, so each query returns what must hold of it, row by row, for its twin to state.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from paperloom.models import embeddings as E, layout as Y, topics
-from paperloom.operators import similarity as S
+from paperloom.operators import bow as B, similarity as S
+from paperloom.plans.analyse import phrase_words
 from paperloom.queries.registry import query
 from paperloom.queries.terms import stored_tokens
+from paperloom.queries.texts import TOKENS_SQL
 from paperloom.queries.vectors import vectors
+from paperloom.session import scratch_path, staged
 
+# Side-by-side workers of a training, so that a result does not depend on the cluster.
+WORKERS = 8
 
-@query()
-def lda_topics(t):
+
+def _topics(t, k=3):
     tokens = stored_tokens(t)
-    vectorizer, counted = topics.count_vectors(tokens, min_df=5.0, topics=3)
-    model = topics.train_topics(counted, k=3, passes=1, seed=1, subsampling=0.2)
+    vectorizer, counted = topics.count_vectors(tokens)
+    return tokens, vectorizer, topics.train_topics(staged(counted.select("doc_id", "features"), "features"), k=k, passes=50, seed=1)
+
+
+@query("""
+SELECT topic, "rank", true AS known, true AS weighted FROM (VALUES (0), (1), (2)) a(topic), (VALUES (1), (2), (3)) b("rank")""")
+def lda_topics(t):
+    """Three topics, fifty passes over all documents: terms are corpus words, weights fall and lie within 0 and 1."""
+    tokens, vectorizer, model = _topics(t)
     terms = topics.topic_terms(model, topics.vocabulary_table(t.spark, vectorizer), 3)
-    return terms.withColumn("weight", F.round("weight", 6))
+    words = B.corpus_counts(tokens).select(F.col("token").alias("term"), F.lit(True).alias("known"))
+    following = F.max("weight").over(Window.partitionBy("topic").orderBy("rank").rowsBetween(1, 1))
+    checked = terms.withColumn("next", following).join(words, "term", "left")
+    return checked.select(
+        "topic", "rank", F.coalesce("known", F.lit(False)).alias("known"),
+        ((F.col("weight") > 0) & (F.col("weight") <= 1) & F.coalesce(F.col("next") <= F.col("weight"), F.lit(True))).alias("weighted"))
 
 
-def _words(t):
-    tokens = stored_tokens(t)
-    workers = t.spark.sparkContext.defaultParallelism
-    return tokens, E.train_words(
-        tokens, width=16, window=5, min_count=5, iterations=1, partitions=workers, seed=1
-    )
+@query(f"SELECT count(DISTINCT token) AS terms, 5 AS topics FROM (SELECT unnest(tokens) AS token FROM ({TOKENS_SQL}))")
+def stored_topics(t):
+    """A topic model written and read back has its vocabulary and its topics."""
+    _, _, model = _topics(t, 5)
+    path = scratch_path(t.spark, "topics")
+    topics.save_model(model, path)
+    back = topics.load_topics(path)
+    return t.spark.range(1).select(F.lit(back.vocabSize()).cast("long").alias("terms"), F.lit(back.describeTopics(1).count()).cast("int").alias("topics"))
 
 
-@query()
+@query("""SELECT "rank", true AS known, true AS other, true AS ordered FROM range(1, 11) r("rank")""")
 def word_neighbours(t):
-    _, model = _words(t)
+    """300 wide, ten iterations: ten other frequent words, most similar first."""
+    tokens = stored_tokens(t)
+    model = E.train_words(tokens, width=300, window=5, min_count=5, iterations=10, partitions=WORKERS, seed=1)
     word = model.getVectors().agg(F.min("word")).first()[0]
-    return E.neighbours(model, word, 10)
+    near = E.neighbours(model, word, 10)
+    order = Window.orderBy(F.desc("similarity"), "word")  # ten rows
+    ranked = near.withColumn("rank", F.row_number().over(order)).withColumn("above", F.lag("similarity").over(order))
+    frequent = B.frequent_terms(tokens, 5).select(F.col("token").alias("word"), F.lit(True).alias("known"))
+    return ranked.join(frequent, "word", "left").select(
+        F.col("rank").cast("long").alias("rank"), F.coalesce("known", F.lit(False)).alias("known"), (F.col("word") != word).alias("other"),
+        (F.coalesce(F.col("above") >= F.col("similarity"), F.lit(True)) & F.col("similarity").between(-1.0001, 1.0001)).alias("ordered"))
 
 
-@query()
+@query("SELECT doc_id, CAST(100 AS BIGINT) AS width, true AS agrees FROM documents")
 def doc_vectors(t):
-    tokens, model = _words(t)
-    return E.infer_vectors(model, tokens).select("doc_id", F.size("vector").alias("width"))
+    """100 wide, four iterations: a document's vector is the mean over its words of the stored word table."""
+    tokens = stored_tokens(t)
+    model = E.train_words(tokens, width=100, window=5, min_count=1, iterations=4, partitions=WORKERS, seed=1)
+    words = staged(E.word_table(model), "words")
+    means = E.document_vectors(tokens, words).select("doc_id", F.col("vector").alias("mean"))
+    both = E.infer_vectors(model, tokens).join(means, "doc_id")
+    gap = F.aggregate(F.zip_with("vector", "mean", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, v: F.greatest(s, v))
+    return both.select("doc_id", F.size("vector").cast("long").alias("width"), F.coalesce(gap < 1e-4, F.col("mean").isNull()).alias("agrees"))
+
+
+@query("SELECT true AS complete, true AS finite, true AS laid_out")
+def phrase_word_vectors(t):
+    """Word vectors of a corpus with merged phrases, and the layout of that vocabulary."""
+    tokens = stored_tokens(t)
+    words = staged(E.word_table(phrase_words(tokens, width=50, iterations=1, partitions=WORKERS, seed=1)), "words")
+    xy = staged(Y.layout(words, key="word"), "layout")
+    n, merged = words.count(), words.filter(F.contains("word", F.lit("_"))).count()
+    good = words.filter(~F.exists("vector", lambda x: x.isNull() | F.isnan(x))).count()
+    placed = xy.filter(~F.isnan("x") & ~F.isnan("y")).count()
+    return t.spark.range(1).select(
+        F.lit(n > 0 and merged > 0).alias("complete"), F.lit(good == n).alias("finite"), F.lit(placed == n).alias("laid_out"))
 
 
-@query()
+@query("""
+SELECT count(*) AS points, CAST(0.0 AS DOUBLE) AS covariance, true AS ordered, true AS within
+FROM embeddings""")
 def layout_pca(t):
-    return Y.layout(vectors(t))
+    """Coordinates on principal axes are uncorrelated, the first varies most, both no more than the vectors do."""
+    table = vectors(t)
+    xy = Y.layout(table)
+    moments = xy.agg(F.count("*").alias("points"), F.covar_pop("x", "y").alias("c"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"))
+    spread = (table.select(F.posexplode("vector").alias("pos", "v")).groupBy("pos").agg(F.var_pop("v").alias("v"))
+              .agg(F.sum("v").alias("total"))).scalar()
+    return moments.select("points", (F.round("c", 6) + F.lit(0.0)).alias("covariance"), (F.col("vx") >= F.col("vy")).alias("ordered"),
+                          (F.col("vx") + F.col("vy") <= spread * 1.000001).alias("within"))
+
+
+_E = "CAST(e.embedding AS DOUBLE[])"
+_Q = "CAST(q.embedding AS DOUBLE[])"
+_COS = (f"list_sum([a[1] * a[2] FOR a IN list_zip({_E}, {_Q})]) / "
+        f"(sqrt(list_sum([x * x FOR x IN {_E}])) * sqrt(list_sum([x * x FOR x IN {_Q}])))")
 
 
-@query()
+@query(f"""
+SELECT doc_id, similarity, true AS placed FROM (
+  SELECT e.vec_id AS doc_id, round({_COS}, 6) AS similarity
+  FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q
+  WHERE e.vec_id <> 7 ORDER BY {_COS} DESC, e.vec_id LIMIT 10)
+UNION ALL SELECT 7, 1.0, true""")
 def neighbourhood(t):
     table = vectors(t)
-    return S.neighbourhood(table, 7, Y.layout(table), 10, key="doc_id")
+    near = S.neighbourhood(table, 7, Y.layout(table), 10, key="doc_id")
+    return near.select("doc_id", F.round("similarity", 6).alias("similarity"), (~F.isnan("x") & ~F.isnan("y")).alias("placed"))

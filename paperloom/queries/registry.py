@@ -7,10 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.session import ship_package, spread
-
-# Rows of these tables are costly to process, so few splits would leave cores idle.
-TEXT_TABLES = {"documents", "pages"}
+from paperloom.session import ship_package
 
 _PLANS: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
@@ -26,8 +23,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        table = self.spark.read.parquet(f"{self._directory}/{name}.parquet")
-        return spread(table) if name in TEXT_TABLES else table
+        return self.spark.read.parquet(f"{self._directory}/{name}.parquet")
 
 
 def query(sql: str | None = None):

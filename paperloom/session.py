@@ -98,15 +98,3 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def spread(df: DataFrame, few: int = 8) -> DataFrame:
-    """Use all cores for a scan of very few splits.
-
-    A table in one small file with one row group is one task.  Scans of more
-    than `few` splits are returned as they are, so text that is large enough to
-    matter is never moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores) if splits <= few and splits < cores else df

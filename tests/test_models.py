@@ -20,7 +20,7 @@ def tokens(spark):
 
 
 def test_topics_separate_the_subjects(spark, tokens, tmp_path):
-    vectorizer, vectors = topics.count_vectors(tokens, topics=2)
+    vectorizer, vectors = topics.count_vectors(tokens)
     assert len(vectorizer.vocabulary) == 6
     model = topics.train_topics(vectors, k=2, passes=4, seed=3, subsampling=0.5)
     terms = topics.topic_terms(model, topics.vocabulary_table(spark, vectorizer), 3).collect()
@@ -33,15 +33,6 @@ def test_topics_separate_the_subjects(spark, tokens, tmp_path):
     assert analyse.topic_report(tokens, k=2, passes=1, terms=2).count() == 4
 
 
-def test_vocabulary_bound_is_refused(tokens, monkeypatch):
-    monkeypatch.setattr(topics, "DRIVER_VALUES", 10)
-    with pytest.raises(ValueError):
-        topics.count_vectors(tokens, topics=2)
-    monkeypatch.setattr(E, "DRIVER_VALUES", 10)
-    with pytest.raises(ValueError):
-        E.train_words(tokens, width=10)
-
-
 def test_word_and_document_vectors(spark, tokens, tmp_path):
     path = str(tmp_path / "w2v")
     model = E.words_or_train(tokens, path, width=8, window=2, min_count=1, iterations=5, seed=1)
