@@ -25,8 +25,10 @@ def term_counts(tokens: DataFrame, key: str = "doc_id", column: str = "tokens")
 
 
 def sorted_term_counts(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Token counts of each document, ascending by (count, token)."""
-    return term_counts(tokens, key).orderBy(key, "cnt", "token")
+    """Token counts of each document, ascending by (count, token) within it."""
+    ordered = term_counts(tokens, key).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("cnt", "token"))).alias("terms"))
+    return ordered.select(key, F.explode_outer("terms").alias("t")).select(key, "t.token", "t.cnt")
 
 
 def corpus_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:

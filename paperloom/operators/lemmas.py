@@ -45,7 +45,7 @@ def lemmatise(tokens: DataFrame, lemmas: DataFrame, key: str = "doc_id", column:
     as one small map per document, applied in place, so token arrays keep their
     order and are never rebuilt from rows.
     """
-    words = tokens.select(key, F.explode(F.array_distinct(column)).alias("word"))
+    words = tokens.select(key, F.explode_outer(F.array_distinct(column)).alias("word")).filter(F.col("word").isNotNull())
     found = lookup(words, lemmas, "word", [key])
     maps = found.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas")

@@ -8,7 +8,6 @@ from paperloom import constants as C
 from paperloom.functions.fields import is_reference_number
 from paperloom.functions.markup import MarkupRules, markup_facts
 from paperloom.functions.text import cleanse
-from paperloom.operators.reconcile import resolve_citations
 
 
 def parse_documents(raw: DataFrame, rules: MarkupRules = MarkupRules(), key: str = "doc_id",
@@ -48,9 +47,28 @@ def classify_citations(resolved: DataFrame) -> DataFrame:
     return resolved.withColumn("use", use)
 
 
+def resolved_citations(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Citations with the label of the first bibliography item of that key.
+
+    Both lists stand in the document's row, so they meet there: no join, no
+    shuffle, and the markup is parsed once.  The outer form of explode is on
+    purpose: for the inner one Spark infers a filter that would parse again.
+    `found` tells an item without a label from no item at all.
+    """
+    def resolve(c):
+        item = F.get(F.filter("bibitems", lambda b: b["key"] == c["key"]), F.lit(0))
+        return F.struct(
+            c["pos"].alias("pos"), c["class"].alias("cite_class"), c["key"].alias("cite_key"),
+            item["label"].alias("label"), item.isNotNull().alias("found"),
+        )
+
+    each = parsed.select(key, F.explode_outer(F.transform("citations", resolve)).alias("c"))
+    return each.filter(F.col("c").isNotNull()).select(key, "c.*")
+
+
 def citation_counts(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
     """Parenthetical and in-text citations of each document that cites anything."""
-    resolved = resolve_citations(citations_of(parsed, key), bibitems_of(parsed, key), key)
+    resolved = resolved_citations(parsed, key)
     return classify_citations(resolved).groupBy(key).agg(
         F.count_if(F.col("use") == "parenthetical").alias("parenthetical"),
         F.count_if(F.col("use") == "in_text").alias("in_text"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.operators.bow import corpus_counts
-from paperloom.operators.skew import fits_broadcast, heavy_keys, lookup
+from paperloom.operators.skew import lookup
 from paperloom.session import staged
 
 MIN_COUNT = 5
@@ -26,7 +26,7 @@ def pairs_of(tokens) -> Column:
 
 def pair_counts(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     """(left, right, cnt) of adjacent pairs."""
-    each = tokens.select(F.explode(pairs_of(column)).alias("pair")).select("pair.*")
+    each = tokens.select(F.explode_outer(pairs_of(column)).alias("pair")).filter(F.col("pair").isNotNull()).select("pair.*")
     return each.groupBy("left", "right").agg(F.count("*").alias("cnt"))
 
 
@@ -49,8 +49,7 @@ def phrase_scores(tokens: DataFrame, column: str = "tokens", min_count: int = MI
     left = words.select(F.col("token").alias("left"), F.col("cnt").alias("left_cnt"))
     right = words.select(F.col("token").alias("right"), F.col("cnt").alias("right_cnt"))
     scored = lookup(candidates, left, "left", ["right"])
-    scored = lookup(scored, right, "right", ["left"], None if fits_broadcast(right) else
-                    heavy_keys(candidates, "right"))
+    scored = lookup(scored, right, "right", ["left"])
     score = (
         (F.col("cnt") - min_count).cast("double")
         / F.col("left_cnt") / F.col("right_cnt") * size
@@ -67,9 +66,8 @@ def accepted_positions(tokens: DataFrame, phrases: DataFrame, key: str = "doc_id
 
     The phrase table may be of any size; only hits are grouped by document.
     """
-    each = tokens.select(key, F.posexplode(pairs_of(column)).alias("pos", "pair")).select(
-        key, "pos", "pair.left", "pair.right"
-    )
+    each = tokens.select(key, F.posexplode_outer(pairs_of(column)).alias("pos", "pair")).filter(
+        F.col("pair").isNotNull()).select(key, "pos", "pair.left", "pair.right")
     hits = lookup(each, phrases.select("left", "right"), ["left", "right"], [key, "pos"])
     return hits.groupBy(key).agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 

@@ -6,7 +6,7 @@ submissions, orders for sized and dated archives, part names for categories.
 """
 
 from paperloom.queries import (  # noqa: F401  (importing registers the queries)
-    catalog, markup, models, reconciliation, sources, streams, terms, texts, vectors,
+    catalog, markup, models, reconciliation, scans, sources, streams, terms, texts, vectors,
 )
 from paperloom.queries.registry import oracle_sql, queries
 

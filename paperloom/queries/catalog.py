@@ -215,7 +215,7 @@ SELECT page_id, regexp_replace(url, '^.*/', '') AS base_name,
        regexp_replace(regexp_replace(url, '^.*/', ''), '^(\\.*[^.].*)\\.[^.]*$', '\\1') AS stem,
        replace(url, '/', '') AS compact_id,
        'xml/' || page_id || '.xml' AS markup_path,
-       'https://arxiv.org/e-print/' || page_id AS source_url,
+       'https://example.org/e-print/' || page_id AS source_url,
        'latex/' || regexp_replace(regexp_replace(url, '^.*/', ''), '^(\\.*[^.].*)\\.[^.]*$', '\\1')
          AS archive_directory
 FROM pages""")
@@ -262,12 +262,12 @@ def content_kind(t):
 
 
 @query("""
-SELECT o_orderkey, CAST(o_orderpriority[1:1] AS BIGINT) AS strict_number,
+SELECT o_orderkey, CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS strict_number,
        TRY_CAST(o_orderpriority AS BIGINT) AS lenient_number FROM orders""")
 def typed_columns(t):
     return t.orders.select(
         "o_orderkey",
-        fields.to_number(F.substring("o_orderpriority", 1, 1)).alias("strict_number"),
+        fields.to_number(F.split_part("o_orderpriority", F.lit("-"), F.lit(1))).alias("strict_number"),
         fields.to_number("o_orderpriority", strict=False).alias("lenient_number"),
     )
 

@@ -131,10 +131,10 @@ def empty_submissions(t):
 
 @query("""
 SELECT p_partkey AS filename_parsed, p_name AS categories, split_part(p_name, ' ', 1) AS category
-FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 50)""")
+FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""")
 def corpus_categories(t):
     records = t.part.select(F.col("p_partkey").alias("filename_parsed"), F.col("p_name").alias("categories"))
-    corpus = t.lineitem.filter(F.col("l_quantity") >= 50).select(F.col("l_partkey").alias("doc_id"))
+    corpus = t.lineitem.select(F.col("l_partkey").alias("doc_id"))
     return R.corpus_categories(records, corpus)
 
 

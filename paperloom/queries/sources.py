@@ -18,7 +18,7 @@ from paperloom.operators.aggregates import harvest_progress
 from paperloom.queries.markup import escaped
 from paperloom.queries.reconciliation import logged
 from paperloom.queries.registry import Tables, query
-from paperloom.session import scratch_path
+from paperloom.session import scratch_path, staged
 from paperloom.sources import archives as A, files, sinks, tables, xml_records as X
 
 
@@ -34,11 +34,11 @@ def record_xml(t: Tables):
     doi = F.when(n % 3 == 0, "").otherwise(F.concat(F.lit("<doi>10.1/"), number, F.lit("</doi>")))
     xml = F.concat(
         F.lit("<record><header><identifier>oai:"), number, F.lit("</identifier><datestamp>2018-01-02</datestamp>"
-              "<setSpec>physics:"), F.col("lang"), F.lit("</setSpec></header><metadata><arXiv><id>"),
+              "<setSpec>physics:"), F.col("lang"), F.lit("</setSpec></header><metadata><paper><id>"),
         F.col("source"), F.lit("/"), number, F.lit("</id><created>2017-05-06</created><updated>2017-06-01</updated>"
               "<updated>2017-07-01</updated>"), authors, F.lit("<title> T"), number,
         F.lit("</title><categories>"), F.col("lang"), F.lit(" x.Y</categories><comments>c</comments>"), doi,
-        F.lit("<abstract>"), escaped("text"), F.lit("</abstract></arXiv></metadata></record>"),
+        F.lit("<abstract>"), escaped("text"), F.lit("</abstract></paper></metadata></record>"),
     )
     return t.documents.select("doc_id", xml.alias("xml"))
 
@@ -120,9 +120,9 @@ def feed_entries(t):
               "</title><summary>"), escaped("text"), F.lit("</summary><author><name>A B</name></author><author>"
               "<name>"), F.col("source"), F.lit('</name></author><link href="http://old" title="pdf"/>'
               '<link href="http://page" rel="alternate"/><link title="pdf" href="http://pdf/'), number, F.lit('"/>'),
-        F.when(even, F.concat(F.lit('<link title="doi" href="http://doi/'), number, F.lit('"/><arxiv:doi>10.1/'),
-                              number, F.lit("</arxiv:doi>"))).otherwise(""),
-        F.lit('<arxiv:primary_category term="'), F.col("lang"), F.lit('"/></entry>'),
+        F.when(even, F.concat(F.lit('<link title="doi" href="http://doi/'), number, F.lit('"/><ext:doi>10.1/'),
+                              number, F.lit("</ext:doi>"))).otherwise(""),
+        F.lit('<ext:primary_category term="'), F.col("lang"), F.lit('"/></entry>'),
     )
     structs = t.documents.select(X.feed_struct(xml).alias("e")).select("e.*")
     return X.project_feed(structs).withColumn("summary", F.md5("summary"))
@@ -144,7 +144,7 @@ def manifest_file(t):
         F.date_format("o_orderdate", "yyMM").alias("yymm"),
     )
     files_.write.format("xml").option("rootTag", "files").option("rowTag", "file").save(f"{path}/files")
-    head = t.orders.agg(F.lit("<arXivSRC><timestamp>2018-06-09</timestamp></arXivSRC>").alias("value"))
+    head = t.orders.agg(F.lit("<manifest><timestamp>2018-06-09</timestamp></manifest>").alias("value"))
     head.write.text(f"{path}/head")
     edited = X.read_manifest_header(t.spark, f"{path}/head").agg(F.max("timestamp")).scalar()
     manifest = X.typed_manifest(X.read_manifest(t.spark, f"{path}/files"))
@@ -165,7 +165,10 @@ def records_csv(t):
         F.lit("2018-01-02 03:04:05").cast("timestamp").alias("date_retrieved"),
         F.concat("source", F.col("doc_id").cast("string")).alias("filename_parsed"),
     )
-    sinks.write_records(records, path, "csv")
+    even = F.col("filename_parsed").endswith("0")
+    sinks.write_records(records.filter(even), path, "csv")
+    other = records.filter(~even).select("filename_parsed", "date_retrieved", "abstract", "filename")  # another column order
+    other.write.mode("append").option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").options(**tables.CSV_OPTIONS).csv(path)
     back = tables.read_records_csv(t.spark, path)
     return back.select("filename_parsed", F.md5("abstract").alias("abstract"), "filename", "doi")
 
@@ -201,11 +204,9 @@ def layout_scan(t):
 @query("SELECT DISTINCT p_name AS word FROM part")
 def word_list_scan(t):
     path = scratch_path(t.spark, "words")
-    t.part.select(F.to_json(F.array("p_name", "p_name")).alias("value")).write.text(path)
-    # one JSON array per line here, one per file in a stop list
-    lines = t.spark.read.text(path)
-    listed = lines.select(F.explode(F.from_json("value", "array<string>")).alias("word"))
-    return listed.distinct()
+    lists = t.part.groupBy("p_brand").agg(F.to_json(F.collect_list("p_name")).alias("value"))
+    lists.repartition("p_brand").write.partitionBy("p_brand").text(path)  # one array per file
+    return tables.read_word_list(t.spark, path)
 
 
 @query("SELECT md5(replace(text, chr(10), ' ')) AS digest, count(*) AS n FROM documents GROUP BY 1")
@@ -232,15 +233,21 @@ def submission_log(t):
 @query("SELECT o_orderkey AS doc, o_custkey AS term_id, CAST(1 AS BIGINT) AS cnt FROM orders")
 def matrix_market(t):
     path = scratch_path(t.spark, "mm")
-    sizes = t.orders.agg(F.concat_ws(
-        " ", F.max("o_orderkey") + 1, F.max("o_custkey") + 1, F.count("*")).alias("value"))
-    head = sizes.select(F.lit(0).alias("p"), F.concat(
-        F.lit("%%MatrixMarket matrix coordinate real general\n"), "value").alias("value"))
-    body = t.orders.select(F.lit(1).alias("p"), F.concat_ws(
-        " ", F.col("o_orderkey") + 1, F.col("o_custkey") + 1, F.lit("1")).alias("value"))
-    # one file, as the format has a size line: the text is small next to the tokens it counts
-    head.unionByName(body).repartitionByRange(1, "p").sortWithinPartitions("p").select("value").write.text(path)
-    return tables.read_matrix_market(t.spark, path)
+    counts = t.orders.select(F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("term_id"), F.lit(1).alias("cnt"))
+    top = counts.agg(F.max("doc").alias("doc"), F.max("term_id").alias("term_id")).first()
+    sinks.write_matrix_market(counts, path, top.doc + 1, top.term_id + 1)
+    return tables.read_matrix_market(t.spark, f"{path}/body", sized=False)
+
+
+@query("""
+SELECT '%%MatrixMarket matrix coordinate real general' AS line UNION ALL
+SELECT (max(o_orderkey) + 1) || ' ' || (max(o_custkey) + 1) || ' ' || count(*) FROM orders""")
+def matrix_market_header(t):
+    path = scratch_path(t.spark, "mm")
+    counts = t.orders.select(F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("term_id"), F.lit(1).alias("cnt"))
+    top = counts.agg(F.max("doc").alias("doc"), F.max("term_id").alias("term_id")).first()
+    sinks.write_matrix_market(counts, path, top.doc + 1, top.term_id + 1)
+    return t.spark.read.text(f"{path}/header").select(F.col("value").alias("line"))
 
 
 def _pack(frames):
@@ -300,7 +307,7 @@ SELECT CAST(count(*) FILTER (WHERE doc_id % 4 <> 0) AS BIGINT) AS matched,
        CAST(count(*) FILTER (WHERE doc_id % 4 <> 0) AS BIGINT) AS extracted,
        count(*) FILTER (WHERE doc_id % 4 = 0) AS pdf_only FROM documents""")
 def extraction_counters(t):
-    members = A.tar_members(packed(t))
+    members = staged(A.tar_members(packed(t)), "members")  # sliced once, read three times
     counters = A.extraction_counters(members, A.tex_files(A.inner_files(members)))
     pdfs = A.pdf_only(members).agg(F.count("*")).scalar()
     return counters.agg(F.sum("matched").alias("matched"), F.sum("extracted").alias("extracted")).withColumn(

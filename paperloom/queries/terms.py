@@ -68,13 +68,14 @@ def bow_arrays(t):
 
 # Phrases.  The twin finds the merges with window functions: in each run of
 # consecutive accepted positions every other one is a merge.
-WORDS_SQL = f"""
-  SELECT doc_id, pos, token, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS following
-  FROM (SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos
-        FROM ({TOKENS_SQL}))"""
+EACH_SQL = f"SELECT doc_id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM ({TOKENS_SQL})"
 
-PHRASES_SQL = f"""
-WITH words AS ({WORDS_SQL}),
+
+def phrases_sql(each):
+    """Common table expressions up to `merged` over rows (doc_id, pos, token)."""
+    return f"""
+WITH words AS (
+  SELECT doc_id, pos, token, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM ({each})),
 uni AS (SELECT token, count(*) AS cnt FROM words GROUP BY token),
 pair AS (SELECT token AS l, following AS r, count(*) AS cnt FROM words
          WHERE following IS NOT NULL GROUP BY ALL),
@@ -96,6 +97,12 @@ merged AS (
   FROM numbered)"""
 
 
+PHRASES_SQL = phrases_sql(EACH_SQL)
+ONCE_SQL = f"""{PHRASES_SQL}
+SELECT doc_id, pos, CASE WHEN merges THEN token || '_' || following ELSE token END AS token
+FROM merged WHERE NOT absorbed"""
+
+
 @query(f'{PHRASES_SQL}\nSELECT l AS "left", r AS "right", cnt, round(score, 6) AS score FROM accepted')
 def phrase_scores(t):
     return P.phrase_scores(stored_tokens(t)).withColumn("score", F.round("score", 6))
@@ -126,11 +133,15 @@ def phrase_report(t):
     return report.withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(f"""{phrases_sql(ONCE_SQL)}
+SELECT doc_id, count(*) AS words,
+       md5(string_agg(CASE WHEN merges THEN token || '_' || following ELSE token END, chr(1)
+                      ORDER BY pos)) AS digest
+FROM merged WHERE NOT absorbed GROUP BY doc_id""")
 def ngrams(t):
-    """Two rounds; checked by tests against a loop on a small fixture."""
+    """Two rounds."""
     merged, _ = P.detect_ngrams(stored_tokens(t))
-    return merged.select("doc_id", *digest(F.col("tokens")))
+    return merged.filter(F.size("tokens") > 0).select("doc_id", *digest(F.col("tokens")))
 
 
 LEMMA_SQL = r"""
@@ -171,5 +182,5 @@ FROM each LEFT JOIN best ON token = word GROUP BY doc_id""")
 def lemmatise(t):
     words = staged(_words(t), "words")
     lemmas = staged(L.lemma_table(words, words), "lemmas")
-    replaced = L.lemmatise(token_table(t), lemmas)
+    replaced = L.lemmatise(stored_tokens(t), lemmas)
     return replaced.filter(F.size("tokens") > 0).select("doc_id", *digest(F.col("tokens")))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paperloom import constants as C
 from paperloom.functions import text as T
+from paperloom.functions.fields import has_preamble, is_reference_number
 from paperloom.operators.bow import each_token
 from paperloom.operators.topk import top_k_per_group
 from paperloom.queries.registry import query
@@ -139,12 +140,15 @@ def punctuation_free_words(t):
 
 
 @query("""
-SELECT doc_id, regexp_matches(text, '\\\\document(class|style)') AS preamble,
-       regexp_matches(trim(substr(text, 1, 3)), '^[(]?\\p{Nd}*[)]?$') AS number_like FROM documents""")
+SELECT doc_id, regexp_matches(text, '\\\\document(class|style)') AS preamble FROM documents""")
 def preamble_test(t):
-    from paperloom.functions.fields import has_preamble, is_reference_number
+    return t.documents.select("doc_id", has_preamble("text").alias("preamble"))
 
-    return t.documents.select(
-        "doc_id", has_preamble("text").alias("preamble"),
-        is_reference_number(F.substring("text", 1, 3)).alias("number_like"),
-    )
+
+@query("""
+SELECT page_id, unnest(string_split(url, '/')) AS piece,
+       regexp_matches(trim(unnest(string_split(url, '/'))), '^[(]?\\p{Nd}*[)]?$') AS number_like FROM pages""")
+def reference_numbers(t):
+    """Pieces of page addresses stand in for citation labels."""
+    pieces = t.pages.select("page_id", F.explode(F.split("url", "/")).alias("piece"))
+    return pieces.withColumn("number_like", is_reference_number("piece"))

@@ -40,10 +40,12 @@ def nearest_docs(t):
     return S.nearest(vectors(t), 7, 10).withColumn("similarity", F.round("similarity", 6))
 
 
-@query("SELECT vec_id AS doc_id, embedding[1] AS first, embedding[64] AS last FROM embeddings WHERE vec_id = 7")
+@query("""
+SELECT vec_id AS doc_id, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding) AS value
+FROM embeddings WHERE vec_id = 7""")
 def vector_lookup(t):
     row = S.vector_of(vectors(t), 7)
-    return row.select("doc_id", F.col("vector")[0].alias("first"), F.col("vector")[63].alias("last"))
+    return row.select("doc_id", F.posexplode("vector").alias("pos", "value"))
 
 
 @query("""

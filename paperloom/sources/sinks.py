@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.sources.tables import CSV_OPTIONS
@@ -21,12 +23,15 @@ def write_snapshot(df: DataFrame, root: str) -> int:
 
     The new data may derive from the current version.  A version becomes
     visible only when its entry in the version list is written, so a job that
-    dies half-way leaves the current version in place.
+    dies half-way leaves the current version in place.  Each writer has a folder
+    of its own: two that take the same number do not write over each other, and
+    readers agree on one of them.
     """
     spark = df.sparkSession
     version = (current_version(spark, root) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/data/version={version}")
-    entry = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    folder = f"version={version}-{os.urandom(6).hex()}"
+    df.write.parquet(f"{root}/data/{folder}")
+    entry = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(folder).alias("folder"))
     entry.write.mode("append").parquet(f"{root}/versions")
     return version
 
@@ -45,10 +50,11 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The published version of a table."""
-    version = current_version(spark, root)
-    if version is None:
+    if current_version(spark, root) is None:
         raise FileNotFoundError(f"no published version below {root}")
-    return spark.read.parquet(f"{root}/data/version={version}")
+    entries = spark.read.parquet(f"{root}/versions")
+    folder = entries.agg(F.max(F.struct("version", "folder"))["folder"]).first()[0]
+    return spark.read.parquet(f"{root}/data/{folder}")
 
 
 def write_tokens(tokens: DataFrame, path: str, mode: str = "append") -> None:
@@ -95,11 +101,36 @@ def vector_lines(vectors: DataFrame, vector: str = "vector", order: str | None =
 
 def write_vectors_tsv(vectors: DataFrame, path: str, vector: str = "vector",
                       order: str | None = None) -> None:
-    """Export vectors for an external layout program.
+    """Export vectors for an external layout program: `path/header` and `path/body`.
 
-    The sort is distributed; part files in name order, put one after the other,
-    are the whole export with its header first.
+    The body is written by all tasks, sorted only if `order` asks for it; the
+    header's file, then the body's files in name order, are the whole export.
     """
     lines = vector_lines(vectors, vector, order)
-    lines = lines.orderBy("part", "key") if order else lines.orderBy("part")
-    lines.select("value").write.mode("overwrite").text(path)
+    head, body = lines.filter("part = 0"), lines.filter("part = 1")
+    if order:
+        body = body.orderBy("key")
+    head.select("value").write.mode("overwrite").text(f"{path}/header")
+    body.select("value").write.mode("overwrite").text(f"{path}/body")
+
+
+def regroup_submissions(files: DataFrame) -> DataFrame:
+    """(submission_id, files): the extracted files of each submission, in path order.
+
+    A submission is what one author sent in, so its files fit a row together.
+    """
+    kept = files.filter(F.col("kind") == "file")
+    return kept.groupBy("submission_id").agg(
+        F.array_sort(F.collect_list(F.struct("inner_path", "tar_name", "content"))).alias("files"))
+
+
+def write_matrix_market(counts: DataFrame, path: str, documents: int, terms: int) -> None:
+    """(doc, term_id, cnt), 0-based, as coordinate text: `path/header` and `path/body`.
+
+    The header has the format line and the size line; the body is written by all tasks.
+    """
+    sizes = counts.agg(F.concat_ws(" ", F.lit(documents), F.lit(terms), F.count("*")).alias("value"))
+    head = sizes.select(F.explode(F.array(
+        F.lit("%%MatrixMarket matrix coordinate real general"), F.col("value"))).alias("value"))
+    head.write.mode("overwrite").text(f"{path}/header")
+    counts.select(F.concat_ws(" ", F.col("doc") + 1, F.col("term_id") + 1, "cnt")).write.mode("overwrite").text(f"{path}/body")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom import schemas as S
@@ -13,10 +15,25 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
 def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
     """Metadata CSV with every id a string and a parsed retrieval time.
 
-    Columns are matched by name, so files written with another column order
-    read the same.
+    Columns are matched by name, file by file: files are read in groups of equal
+    header lines, so a folder may hold several column orders.
     """
-    raw = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    heads = (
+        spark.read.option("wholetext", False).text(path)
+        .filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"), "value")
+        .groupBy("file").agg(F.min_by("value", "line").alias("header"))
+        .groupBy("header").agg(F.collect_list("file").alias("files"))
+    )
+    groups = heads.collect()  # a listing of the files, as Spark itself keeps one
+    if not groups:
+        return spark.createDataFrame([], S.RECORDS)
+    return reduce(DataFrame.unionByName, [_records_of(spark, g["files"]) for g in groups])
+
+
+def _records_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files of one column order."""
+    raw = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(paths)
     have = set(raw.columns)
     return raw.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -52,12 +69,13 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(F.from_json("value", "array<string>")).alias("word")).distinct()
 
 
-def load_stopwords(spark: SparkSession, path: str, at_most: int = 100_000) -> list[str]:
-    """A stop list for `drop_stopwords`; a list longer than the bound is refused."""
-    words = [row.word for row in read_word_list(spark, path).limit(at_most + 1).collect()]
-    if len(words) > at_most:
-        raise ValueError(f"more than {at_most} stopwords; anti-join the word table instead")
-    return sorted(words)
+def load_stopwords(spark: SparkSession, path: str) -> list[str]:
+    """A stop list as literals for `drop_stopwords`.
+
+    For a list too long to be part of an expression, pass `read_word_list` to
+    `paperloom.operators.filters.without_words`.
+    """
+    return sorted(row.word for row in read_word_list(spark, path).collect())
 
 
 def read_token_document(spark: SparkSession, path: str, doc_id: str) -> DataFrame:
@@ -65,9 +83,10 @@ def read_token_document(spark: SparkSession, path: str, doc_id: str) -> DataFram
     return spark.read.parquet(path).filter(F.col("doc_id") == doc_id)
 
 
-def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
+def read_matrix_market(spark: SparkSession, path: str, sized: bool = True) -> DataFrame:
     """Coordinate text of a document-term matrix -> (doc, term_id, cnt), 0-based.
 
+    The `body` folder of `write_matrix_market` has no size line: `sized=False`.
     Comment lines start with `%`.  The size line is told from the entries by
     being the first line of the file that is not a comment: it is the only one
     at the lowest position, found by an aggregate and not by a driver-side read.
@@ -83,9 +102,10 @@ def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
         )
         .filter(~F.col("value").startswith("%") & (F.trim("value") != ""))
     )
-    first = lines.agg(F.min("at")).scalar()
     parts = F.split(F.trim("value"), r"\s+")
-    return lines.filter(F.col("at") > first).select(
+    if sized:
+        lines = lines.filter(F.col("at") > lines.agg(F.min("at")).scalar())
+    return lines.select(
         (parts[0].cast("bigint") - 1).alias("doc"),
         (parts[1].cast("bigint") - 1).alias("term_id"),
         parts[2].cast("double").cast("bigint").alias("cnt"),

@@ -15,16 +15,16 @@ PAGE = """<?xml version="1.0" encoding="UTF-8"?>
 <OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><responseDate>2018-06-09T00:00:00Z</responseDate>
 <ListRecords>
 <record><header><identifier>oai:1</identifier><datestamp>2018-01-01</datestamp><setSpec>physics:a</setSpec></header>
-<metadata><arXiv xmlns="http://arxiv.org/OAI/arXiv/"><id>astro-ph/0001001</id><created>2000-01-01</created>
+<metadata><paper xmlns="http://example.org/paper/"><id>astro-ph/0001001</id><created>2000-01-01</created>
 <updated>2001-01-01</updated><updated>2002-01-01</updated>
 <authors><author><keyname>Doe</keyname><forenames> A.</forenames></author><author><keyname>Collab</keyname></author>
 <author><keyname>X</keyname><forenames></forenames></author></authors>
 <title>  A title
  of two lines</title><categories>astro-ph.GA hep-th</categories><comments>3 pages</comments>
-<abstract> Some text </abstract></arXiv></metadata></record>
+<abstract> Some text </abstract></paper></metadata></record>
 <record><header><identifier>oai:2</identifier><datestamp>2018-01-02</datestamp><setSpec>physics:a</setSpec></header>
-<metadata><arXiv xmlns="http://arxiv.org/OAI/arXiv/"><id>0704.0009</id><title>T</title><doi>10.1/2</doi>
-<journal-ref>J</journal-ref></arXiv></metadata></record>
+<metadata><paper xmlns="http://example.org/paper/"><id>0704.0009</id><title>T</title><doi>10.1/2</doi>
+<journal-ref>J</journal-ref></paper></metadata></record>
 {token}
 </ListRecords></OAI-PMH>"""
 
@@ -69,11 +69,11 @@ def test_feed(spark, tmp_path):
     path = write(str(tmp_path / "f" / "feed.xml"), """<feed xmlns="http://www.w3.org/2005/Atom">
 <entry><id>http://x/1</id><updated>u</updated><published>p</published><title>T</title><summary>S</summary>
 <author><name>A B</name></author><author><name>C D</name></author>
-<arxiv:doi xmlns:arxiv="http://arxiv.org/schemas/atom">10.1/1</arxiv:doi>
+<ext:doi xmlns:ext="http://example.org/schemas/atom">10.1/1</ext:doi>
 <link title="doi" href="http://doi/1" rel="related"/><link href="http://abs/1" rel="alternate"/>
 <link title="pdf" href="http://pdf/old"/><link title="pdf" href="http://pdf/1"/>
-<arxiv:comment xmlns:arxiv="http://arxiv.org/schemas/atom">5 pages</arxiv:comment>
-<arxiv:primary_category xmlns:arxiv="http://arxiv.org/schemas/atom" term="astro-ph.GA" scheme="s"/></entry>
+<ext:comment xmlns:ext="http://example.org/schemas/atom">5 pages</ext:comment>
+<ext:primary_category xmlns:ext="http://example.org/schemas/atom" term="astro-ph.GA" scheme="s"/></entry>
 <entry><id>http://x/2</id><title>U</title><author><name>E</name></author></entry></feed>""")
     one, two = sorted(xml_records.read_feed(spark, path).collect(), key=lambda r: r.id)
     assert one.authors == "A B, C D" and one.doi == "10.1/1" and one.doi_link == "http://doi/1"
@@ -84,10 +84,10 @@ def test_feed(spark, tmp_path):
 
 def test_manifest(spark, tmp_path):
     path = write(str(tmp_path / "m" / "manifest.xml"), """<?xml version="1.0"?>
-<arXivSRC><timestamp>Sat Jun 9 2018</timestamp>
+<manifest><timestamp>Sat Jun 9 2018</timestamp>
 <file><filename>a.tar</filename><size>512000001</size><timestamp>2018-01-02 03:04:05</timestamp><yymm>1801</yymm></file>
 <file><filename>b.tar</filename><size>100</size><timestamp>2010-05-06 00:00:00</timestamp><yymm>0001</yymm></file>
-</arXivSRC>""")
+</manifest>""")
     raw = xml_records.read_manifest(spark, path)
     by_name = {r.filename: r for r in raw.collect()}
     assert by_name["a.tar"].md5sum == "" and by_name["b.tar"].yymm == "0001"
@@ -113,11 +113,60 @@ def test_records_csv_keeps_ids_and_newlines(spark, tmp_path):
     assert [r[0] for r in tables.read_identifiers(spark, out).collect()] == ["0001"]
 
 
+def test_records_csv_of_several_column_orders(spark, tmp_path):
+    folder = tmp_path / "orders"
+    write(str(folder / "a.csv"), "identifier,filename,abstract\ni1,f1,x\n")
+    write(str(folder / "b.csv"), 'filename,identifier\nf2,i2\n"f\n3",i3\n')
+    rows = {r.identifier: (r.filename, r.abstract) for r in tables.read_records_csv(spark, str(folder)).collect()}
+    assert rows == {"i1": ("f1", "x"), "i2": ("f2", None), "i3": ("f\n3", None)}
+
+
+def test_words_of_a_table_are_removed(spark):
+    from paperloom.operators.filters import without_words
+
+    tokens = spark.createDataFrame([(1, ["a", "b", "a", "c"]), (2, ["b"]), (3, []), (4, None), (5, ["d", "d"])], "doc_id int, tokens array<string>")
+    listed = spark.createDataFrame([("a",), ("b",), ("a",)], "word string")
+    got = {r.doc_id: r.tokens for r in without_words(tokens, listed).collect()}
+    assert got == {1: ["c"], 2: [], 3: [], 4: None, 5: ["d", "d"]}
+
+
+def test_failed_archives_are_reported_and_tried_again(spark, tmp_path):
+    from paperloom.streaming import incremental
+
+    landing, table = tmp_path / "landing", str(tmp_path / "table")
+    good = io.BytesIO()
+    with tarfile.open(fileobj=good, mode="w") as tar:
+        data = gzip.compress(b"text")
+        info = tarfile.TarInfo("0704.0009.gz")
+        info.size = len(data)
+        tar.addfile(info, io.BytesIO(data))
+    write(str(landing / "a.tar"), good.getvalue(), "wb")
+    write(str(landing / "b.tar"), b"junk", "wb")
+    write(str(landing / "c.tar"), good.getvalue()[:600], "wb")
+    ids = spark.createDataFrame([("0704.0009",)], "filename_parsed string")
+    inner = archives.explode_archives(files.read_archives(spark, str(landing)), ids)
+    assert {(r.tar_name, r.kind) for r in inner.collect()} >= {("a.tar", "file"), ("b.tar", "not_tar")}
+    incremental.ingest_archives(spark, str(landing), ids, table, str(tmp_path / "checkpoint"))
+    failed = {r.tar_name for r in incremental.failed_archives(spark, table).collect()}
+    assert failed == {"b.tar", "c.tar"}
+    write(str(landing / "b.tar"), good.getvalue(), "wb")
+    incremental.retry_archives(spark, str(landing), ids, table)
+    assert {r.tar_name for r in incremental.failed_archives(spark, table).collect()} == {"c.tar"}
+
+
+def test_citations_are_resolved_in_the_row(spark):
+    from paperloom.operators import markup
+    from paperloom.queries.markup import papers
+    from paperloom.queries.registry import Tables
+
+    parsed = markup.parse_documents(papers(Tables(spark, "/root/testdata/sf0.001")))
+    plan = markup.citation_counts(parsed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Join" not in plan
+
+
 def test_small_tables(spark, tmp_path):
     words = write(str(tmp_path / "w" / "stop.json"), json.dumps(["the", "a", "the"]))
     assert tables.load_stopwords(spark, words) == ["a", "the"]
-    with pytest.raises(ValueError):
-        tables.load_stopwords(spark, words, at_most=1)
     layout = write(str(tmp_path / "l" / "layout.txt"), "2 2\n1.5 -2e-3\n0 4\n")
     assert [tuple(r) for r in tables.read_layout(spark, layout).collect()] == [(1.5, -0.002), (0.0, 4.0)]
     subjects = write(str(tmp_path / "s" / "s.csv"), "length,id,main,categories\n10,0704.0009,astro-ph,astro-ph x\n")
@@ -236,7 +285,7 @@ def test_archives(spark, archive_dir):
     deep = archives.explode_archives(source, ids, recursive=True)
     assert "more.tar.gz/deep.tex" in {r.inner_path for r in deep.collect()}
     named = archives.explode_archives(source, name_part="astro-ph")
-    assert {r.submission_id for r in named.collect()} == {"astro-ph0001001"}
+    assert {(r.submission_id, r.kind) for r in named.collect()} == {("astro-ph0001001", "file"), (None, "not_tar")}
     counters = archives.extraction_counters(members, archives.inner_files(members)).first()
     assert (counters.matched, counters.extracted) == (4, 3)
 
@@ -250,7 +299,8 @@ def test_snapshot_and_vector_lines(spark, tmp_path):
     vectors = spark.createDataFrame([("b", [1.0, 2.0]), ("a", [0.5, -1.0])], "doc_id string, vector array<double>")
     out = str(tmp_path / "tsv")
     sinks.write_vectors_tsv(vectors, out, order="doc_id")
-    text = "".join(open(f"{out}/{n}").read() for n in sorted(os.listdir(out)) if n.startswith("part"))
+    text = "".join(open(f"{out}/{part}/{n}").read() for part in ("header", "body")
+                   for n in sorted(os.listdir(f"{out}/{part}")) if n.startswith("part"))
     assert text == "2\t2\n0.5\t-1.0\n1.0\t2.0\n"
 
 
