@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.session import scratch_path, shared_dir, ship_package, staged
 
-__all__ = ["bounded_batches", "components", "read_table", "scratch_path", "shared_dir", "staged", "words_column"]
+__all__ = ["bounded", "bounded_batches", "components", "read_table", "scratch_path", "shared_dir", "staged", "words_column"]
 
 # Runs of ASCII letters and digits and of anything outside ASCII.
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Rows of a table of a few narrow columns that may be broadcast.
+BROADCAST_ROWS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -105,5 +105,6 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def any_of(conditions):
-    return reduce(lambda x, y: x | y, conditions)
+def bounded(table: DataFrame) -> DataFrame:
+    """`table`, marked for broadcast if it is small enough; meant for stored tables of a few narrow columns."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table

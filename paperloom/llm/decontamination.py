@@ -23,15 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import WORD_PATTERN, staged
+from paperloom.llm.common import WORD_PATTERN, bounded, staged
 
 WORDS, PERCENT, RADIUS = 5, 80, 19
-# Rows of a table of a few narrow columns that may be broadcast.
-BROADCAST_ROWS = 200_000
-
-
-def _bounded(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def shingles_of(text, k: int):
@@ -100,8 +94,8 @@ def contaminated(docs: DataFrame, items: DataFrame, radius: int = RADIUS) -> Dat
     together = found[0]
     for more in found[1:]:
         together = together.unionByName(more)
-    named = together.join(_bounded(items.select("item", "item_id")), "item")
-    owners = texts.select("doc_id", "mark").join(_bounded(staged(named.select("mark").distinct(), "marks")), "mark", "left_semi").distinct()
+    named = together.join(bounded(items.select("item", "item_id")), "item")
+    owners = texts.select("doc_id", "mark").join(bounded(staged(named.select("mark").distinct(), "marks")), "mark", "left_semi").distinct()
     return owners.join(named, "mark").select("doc_id", "mark", "item_id", "window_start", "similarity", "distance")
 
 
@@ -109,8 +103,8 @@ def _of_shingle_size(texts: DataFrame, items: DataFrame, k: int, radius: int) ->
     """(mark, item, window_start, similarity, distance) for the items that have shingles of k words."""
     parts = staged(_positions(items, ["item", "words"], k).select("item", "words", "pos", "h"), "shingles")
     known = parts.groupBy("item", "words", "h").agg(F.count("*").cast("int").alias("times"))
-    hits = (_positions(texts, ["mark"], k).join(_bounded(known.select("h").distinct()), "h", "left_semi").distinct())
-    hits = staged(hits, "hits").join(_bounded(known), "h")
+    hits = (_positions(texts, ["mark"], k).join(bounded(known.select("h").distinct()), "h", "left_semi").distinct())
+    hits = staged(hits, "hits").join(bounded(known), "h")
     n = (F.col("words") - (k - 1))
     own = F.least(n, F.col("n_words") - (k - 1))  # shingles of a window
     rows = hits.withColumn("n", n).withColumn("own", own)
@@ -124,14 +118,14 @@ def _of_shingle_size(texts: DataFrame, items: DataFrame, k: int, radius: int) ->
                .where(F.col("both") * 100 >= (F.col("n") + F.col("own") - F.col("both")) * PERCENT))
     windows = staged(windows, "windows")
     # Copies of a text give equal fingerprints; distinct drops them.
-    near = (_positions(texts.select("mark", "text").join(_bounded(windows.select("mark").distinct()), "mark", "left_semi"), ["mark"], k)
+    near = (_positions(texts.select("mark", "text").join(bounded(windows.select("mark").distinct()), "mark", "left_semi"), ["mark"], k)
             .select("mark", "pos", "h").distinct())
-    inside = (near.join(_bounded(windows.select("mark", "item", "start", "own")), "mark")
+    inside = (near.join(bounded(windows.select("mark", "item", "start", "own")), "mark")
               .where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("own"))))
     fingers = simhash(inside, ["mark", "item", "start"])
     wanted = simhash(parts.select("item", "h"), ["item"])
     met = (fingers.select("*", blocks(F.col("finger"), radius).alias("part")).select("mark", "item", "start", "finger", "part.*")
-           .join(_bounded(wanted.select("item", F.col("finger").alias("other"), blocks(F.col("finger"), radius).alias("part"))
+           .join(bounded(wanted.select("item", F.col("finger").alias("other"), blocks(F.col("finger"), radius).alias("part"))
                           .select("item", "other", "part.*")), ["item", "block", "value"])
            .select("mark", "item", "start", F.bit_count(F.col("finger").bitwiseXOR(F.col("other"))).alias("distance")).distinct()
            .where(F.col("distance") <= radius))
@@ -143,6 +137,7 @@ def _of_shingle_size(texts: DataFrame, items: DataFrame, k: int, radius: int) ->
 
 def clean(docs: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
     """`docs` without the contaminated ones, all columns kept."""
-    bad = contaminated(docs, items, radius).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    bad = bounded(staged(contaminated(docs, items, radius).select(
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "contaminated"))
     mark = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")) & (mark == F.col("_mark")), "left_anti")

@@ -24,18 +24,21 @@ has no other).  Repeated rows are members of one class.  Columns besides id and
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import Powers, components, mixed, staged
+from paperloom.llm.common import Powers, bounded, components, mixed, staged
 
 WORDS, PERCENT = 5, 80
 SKETCH = 1 << 18          # counters of the sketch
-STARS = 3                 # rounds of comparing with one member
-BITS = 1024               # parity bits of a set
+STARS = 1                 # rounds of comparing with one member
+BITS = 512                # parity bits of a set
+CHANCE = 0.05             # other documents that a shingle of ordinary text meets
 _powers = Powers(0x9E3779B97F4A7C15)
 
 
@@ -70,16 +73,23 @@ def base_prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def usual_share(n: int, percent: int) -> int:
+    """Prefix shingles to share where no shingle is frequent; by size, so that the least of a possible partner is known."""
+    return 1 if CHANCE * base_prefix(n, percent) <= 1 else 1 + n // 20
+
+
 def choose_prefix(shingles: np.ndarray, frequency: np.ndarray, usual: float, percent: int) -> tuple[np.ndarray, int]:
     """(prefix shingles, how many of them a partner has to share)."""
     n = len(shingles)
     seen = frequency[(shingles >> np.uint64(46)).astype(np.int64)]
-    heavy = seen > 4 * usual + 64
+    # What a counter holds beyond the usual and its scatter is the shingle's own.
+    own = np.maximum(seen - usual - 4 * math.sqrt(usual) - 8, 0)
+    heavy = own > 4 * usual + 64
     ordered = np.concatenate([shingles[~heavy], shingles[heavy]])
-    seen = np.concatenate([seen[~heavy], seen[heavy]])
+    own = np.concatenate([own[~heavy], own[heavy]])
     length = base_prefix(n, percent)
-    cost = np.maximum(seen[:length] - 2 * usual, 0).sum()
-    share = 1 if cost <= 256 else 1 + n // 10 if cost <= 65536 else 1 + n // 5
+    cost = own[:length].sum()  # documents that it would meet besides those of ordinary text
+    share = usual_share(n, percent) if cost <= 1024 else 1 + n // 10 if cost <= 65536 else 1 + n // 5
     return ordered[: length + share - 1], share
 
 
@@ -118,7 +128,10 @@ def classes_and_sketch(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def prefix_rows(docs: DataFrame, frequency: np.ndarray, usual: float, size: int, percent: int) -> DataFrame:
-    """(token, cid, share) of every class, once per task that sees it."""
+    """(token, cid, asks) of every class, once per task that sees it.
+
+    `asks` holds how many shingles the class wants to share, and below 32 bits how many any partner wants at least.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequency)
 
     def run(batches):
@@ -134,12 +147,12 @@ def prefix_rows(docs: DataFrame, frequency: np.ndarray, usual: float, size: int,
                 prefix, share = choose_prefix(shingles, shared.value, usual, percent)
                 tokens.append(prefix)
                 cids.append(np.full(len(prefix), cid))
-                shares.append(np.full(len(prefix), share, np.int32))
+                shares.append(np.full(len(prefix), share << 32 | usual_share(-(-percent * len(shingles) // 100), percent)))
             if tokens:
                 yield _arrow([_signed(np.concatenate(tokens)), np.concatenate(cids), np.concatenate(shares)],
-                             ["token", "cid", "share"], [pa.int64(), pa.int64(), pa.int32()])
+                             ["token", "cid", "asks"], [pa.int64()] * 3)
 
-    return docs.mapInArrow(run, "token long, cid long, share int")
+    return docs.mapInArrow(run, "token long, cid long, asks long")
 
 
 def _keys(batches):
@@ -148,10 +161,10 @@ def _keys(batches):
         tokens, cids = [], []
         for cid, rows in zip(batch.column(0).to_pylist(), batch.column(1)):
             rows = rows.values
-            token, df, least = (rows.field(i).to_numpy() for i in range(3))
+            token, df, least, asks = (rows.field(i).to_numpy() for i in range(4))
             token, first = np.unique(token, return_index=True)
             df, least = df[first], least[first]
-            ordered = np.sort(least)
+            ordered = np.sort(np.maximum(least >> 32, asks[0] & 0xFFFFFFFF))
             possible = np.flatnonzero(np.searchsorted(ordered, ordered, side="right") >= ordered)
             if not len(possible):
                 continue
@@ -180,13 +193,19 @@ def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     members = docs.join(wanted, docs["mark"].eqNullSafe(wanted["own"]) & docs["doc_id"].eqNullSafe(wanted["member"])).select("cid", "text")
 
     def run(batches):
+        known = set()  # repeated rows of a member meet in one task
         for batch in batches:
-            sets = [shingle_set(text, size) for text in batch.column(1).to_pylist()]
+            cids, sets = [], []
+            for cid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if cid not in known:
+                    known.add(cid)
+                    cids.append(cid)
+                    sets.append(shingle_set(text, size))
             bits = [np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1 == 1).view(np.int64) for s in sets]
-            yield _arrow([batch.column(0), [len(s) for s in sets], bits, [s.tobytes() for s in sets]],
+            yield _arrow([cids, [len(s) for s in sets], bits, [s.tobytes() for s in sets]],
                          ["cid", "n", "bits", "shingles"], [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()])
 
-    return staged(members.mapInArrow(run, "cid long, n long, bits array<long>, shingles binary").dropDuplicates(["cid"]), "sets")
+    return staged(members.mapInArrow(run, "cid long, n long, bits array<long>, shingles binary"), "sets")
 
 
 def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -201,16 +220,16 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
     prefixes = prefix_rows(narrow, counters, counters.mean(), size, percent)
 
     by_token = Window.partitionBy("token")
-    shared = (prefixes.select("token", "cid", F.count("*").over(by_token).alias("df"), F.min("share").over(by_token).alias("least"),
+    shared = (prefixes.select("token", "cid", "asks", F.count("*").over(by_token).alias("df"), F.min("asks").over(by_token).alias("least"),
                               (F.min("cid").over(by_token) != F.max("cid").over(by_token)).alias("several"))
               .where("several"))
-    keys = staged(shared.groupBy("cid").agg(F.collect_list(F.struct("token", "df", "least")).alias("rows"))
+    keys = staged(shared.groupBy("cid").agg(F.collect_list(F.struct("token", "df", "least", "asks")).alias("rows"))
                   .mapInArrow(_keys, "token long, cid long"), "keys")
     several = keys.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     wanted = (members.join(keys.join(several, "token", "left_semi").select("cid").distinct(), "cid", "left_semi").groupBy("cid")
               .agg(F.min(F.struct("mark", "doc_id")).alias("one"))
               .select("cid", F.col("one.mark").alias("own"), F.col("one.doc_id").alias("member")))
-    sets = class_sets(narrow, wanted, size)
+    sets = class_sets(narrow, bounded(staged(wanted, "wanted")), size)
     traits = sets.select("cid", "n", "bits")
     keyed = staged(keys.join(sets.select("cid", "n"), "cid"), "keyed")
 
@@ -224,12 +243,15 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
         return apart <= both - 2 * F.ceil(both * percent / F.lit(100.0 + percent))
 
     def verified(pairs):
+        """Pairs that link.  Only the sets that a plausible pair names are moved."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        x, y = sets.select(F.col("cid").alias("a"), "n", "bits", F.col("shingles").alias("x")), sets.select(F.col("cid").alias("b"), "n", "bits", F.col("shingles").alias("y"))
-        plausible = staged(pairs.join(traits.withColumnRenamed("cid", "a").alias("p"), "a").join(traits.withColumnRenamed("cid", "b").alias("q"), "b")
-                           .where(differ({"bits": F.col("p.bits"), "n": F.col("p.n")}, {"bits": F.col("q.bits"), "n": F.col("q.n")}))
-                           .select("a", "b"), "plausible")
-        return plausible.join(x.select("a", "x"), "a").join(y.select("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        p, q = traits.withColumnRenamed("cid", "a").alias("p"), traits.withColumnRenamed("cid", "b").alias("q")
+        plausible = staged(pairs.join(p, "a").join(q, "b").where(
+            differ({"bits": F.col("p.bits"), "n": F.col("p.n")}, {"bits": F.col("q.bits"), "n": F.col("q.n")})).select("a", "b"), "plausible")
+        named = plausible.select(F.col("a").alias("cid")).unionByName(plausible.select(F.col("b").alias("cid"))).distinct()
+        moved = sets.select("cid", "shingles").join(bounded(staged(named, "named")), "cid", "left_semi")
+        x, y = moved.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), moved.select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
+        return staged(plausible.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "edges")
 
     edges, labels = [], None
 
@@ -245,20 +267,20 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
             F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         pairs = (now.join(heads, "token").where("comp <> head.comp").where(fits(F.col("n"), F.col("head.n")))
                  .select(F.col("cid").alias("a"), F.col("head.cid").alias("b")))
-        edges.append(staged(verified(pairs), "edges"))
+        edges.append(verified(pairs))
         together = edges[0]
         for more in edges[1:]:
             together = together.unionByName(more)
         labels = components(together)
     now = labelled()
     mixed_groups = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    rest = staged(now.join(mixed_groups, "token").join(traits.select("cid", "bits"), "cid"), "rest")
+    rest = staged(now.join(mixed_groups, "token").join(bounded(traits.select("cid", "bits")), "cid"), "rest")
     p, q = rest.alias("p"), rest.alias("q")
     last = (p.join(q, F.col("p.token") == F.col("q.token"))
             .where(F.col("p.cid") < F.col("q.cid")).where(F.col("p.comp") != F.col("q.comp")).where(fits(F.col("p.n"), F.col("q.n")))
             .where(differ({"bits": F.col("p.bits"), "n": F.col("p.n")}, {"bits": F.col("q.bits"), "n": F.col("q.n")}))
             .select(F.col("p.cid").alias("a"), F.col("q.cid").alias("b")))
-    labels = components(together.unionByName(staged(verified(last), "edges")))
+    labels = components(together.unionByName(verified(last)))
 
     grouped = (members.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"))
                .join(labels, F.col("cid") == labels["node"], "left").select("cid", "least", F.coalesce("component", "cid").alias("comp")))
