@@ -36,8 +36,8 @@ from paperloom.llm.common import Powers, bounded, components, mixed, staged
 
 WORDS, PERCENT = 5, 80
 SKETCH = 1 << 18          # counters of the sketch
-STARS = 1                 # rounds of comparing with one member
-BITS = 512                # parity bits of a set
+STARS = 2                 # rounds of comparing with one member
+BITS = 1024               # parity bits of a set
 CHANCE = 0.05             # other documents that a shingle of ordinary text meets
 _powers = Powers(0x9E3779B97F4A7C15)
 
@@ -257,13 +257,18 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
 
     def labelled():
         if labels is None:
-            return keyed.withColumn("comp", F.col("cid"))
-        return keyed.join(labels, keyed["cid"] == labels["node"], "left").select("token", "cid", "n", F.coalesce("component", "cid").alias("comp"))
+            return keyed.withColumn("comp", F.col("cid")).withColumn("weight", F.lit(0))
+        weights = labels.groupBy("component").agg(F.count("*").alias("weight"))
+        known = labels.join(weights, "component").select("node", "component", "weight")
+        return keyed.join(known, keyed["cid"] == known["node"], "left").select(
+            "token", "cid", "n", F.coalesce("component", "cid").alias("comp"), F.coalesce("weight", F.lit(0)).alias("weight"))
 
     for turn in range(STARS):
+        # First one member for all the groups it is in, then a different one for each, out of the largest component.
+        order = F.xxhash64("cid", F.col("token") * min(turn, 1))
         now = labelled()
         heads = now.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), "cid", "n", "comp")).alias("head"),
+            F.min(F.struct((-F.col("weight")).alias("w"), order.alias("h"), "cid", "n", "comp")).alias("head"),
             F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
         pairs = (now.join(heads, "token").where("comp <> head.comp").where(fits(F.col("n"), F.col("head.n")))
                  .select(F.col("cid").alias("a"), F.col("head.cid").alias("b")))
@@ -274,7 +279,7 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
         labels = components(together)
     now = labelled()
     mixed_groups = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    rest = staged(now.join(mixed_groups, "token").join(bounded(traits.select("cid", "bits")), "cid"), "rest")
+    rest = staged(now.drop("weight").join(mixed_groups, "token").join(bounded(traits.select("cid", "bits")), "cid"), "rest")
     p, q = rest.alias("p"), rest.alias("q")
     last = (p.join(q, F.col("p.token") == F.col("q.token"))
             .where(F.col("p.cid") < F.col("q.cid")).where(F.col("p.comp") != F.col("q.comp")).where(fits(F.col("p.n"), F.col("q.n")))
