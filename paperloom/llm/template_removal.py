@@ -173,8 +173,8 @@ class Page:
                 pieces.append(" ")
             if closing:
                 if open_tags.get(tag):
-                    if tag in _DROPPED or stack[-1][0] != tag:
-                        flush()
+                    if hidden:
+                        flush()  # what stands in a hidden inline element goes with it
                     close((tag,))
                 continue
             attributes = token[3] or token[6] or ""
