@@ -66,7 +66,7 @@ def op5_url_lists(spark, sf_dir):
 OP5_SQL = r"""
 WITH p AS (SELECT page_id, url, DATE '2024-01-01' + CAST(((page_id % 365) + 365) % 365 AS INTEGER) AS fetched,
     lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)', 1)) AS host,
-    list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), x -> x <> '') AS parts FROM pages),
+    [x FOR x IN string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/') IF x <> ''] AS parts FROM pages),
 h AS (SELECT host, CAST('0x' || substr(md5(host), 1, 7) AS BIGINT) AS h FROM (SELECT DISTINCT host FROM p WHERE host <> '')),
 e AS (SELECT 'hosts' AS list, host AS pattern, 'add' AS action, DATE '2024-01-01' + CAST(h % 200 AS INTEGER) AS day FROM h WHERE h % 3 = 0
   UNION ALL SELECT 'hosts', host, 'remove', DATE '2024-01-01' + CAST(h % 200 + 40 AS INTEGER) FROM h WHERE h % 3 = 0
@@ -76,8 +76,8 @@ e AS (SELECT 'hosts' AS list, host AS pattern, 'add' AS action, DATE '2024-01-01
 d AS (SELECT list, pattern, day, max(action) AS action FROM e GROUP BY ALL),
 v AS (SELECT * FROM (SELECT list, pattern, action, day AS since, lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS until FROM d) WHERE action = 'add'),
 k AS (SELECT DISTINCT url, fetched, unnest(list_concat(
-    list_transform(range(1, len(string_split(host, '.')) + 1), i -> array_to_string(string_split(host, '.')[i:], '.')),
-    list_transform(range(1, len(parts) + 1), i -> host || '/' || array_to_string(parts[1:i], '/')))) AS key FROM p WHERE host <> ''),
+    [array_to_string(string_split(host, '.')[i:], '.') FOR i IN range(1, len(string_split(host, '.')) + 1)],
+    [host || '/' || array_to_string(parts[1:i], '/') FOR i IN range(1, len(parts) + 1)])) AS key FROM p WHERE host <> ''),
 a AS (SELECT url, fetched, list, key AS pattern, since, count(*) OVER w AS n_entries,
     row_number() OVER (PARTITION BY url, fetched ORDER BY length(key) DESC, list, key, since) AS r
     FROM k JOIN v ON key = pattern AND since <= fetched AND (until IS NULL OR fetched < until) WINDOW w AS (PARTITION BY url, fetched))
