@@ -227,13 +227,15 @@ def train(labelled: DataFrame) -> Model:
     return model
 
 
-def score(docs: DataFrame, model: Model, slack: float = 2.0, width: float = 8.0) -> DataFrame:
-    """(doc_id, other columns of `docs` but the text, lang_pred, score, entropy, rejected) for each row.
+def score(docs: DataFrame, model: Model, slack: float = 2.0, width: float = 8.0, keep_text: bool = False) -> DataFrame:
+    """The columns of `docs`, the text only if `keep_text`, with lang_pred, score, entropy and rejected for each row.
 
     `docs` has a column text; the model travels as one broadcast of at most MOST_NGRAMS keys.
     """
+    docs = docs.drop("lang_pred", "score", "entropy", "rejected")
     others = [c for c in docs.columns if c != "text"]
     narrow = docs.select(F.col("text").cast("string").alias("text"), *others)
+    first = 0 if keep_text else 1
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -255,7 +257,8 @@ def score(docs: DataFrame, model: Model, slack: float = 2.0, width: float = 8.0)
                 out.append((known.languages[best], float(sure), float(bits[best]), bool(bits[best] > most)))
             cols = list(zip(*out)) if out else [[], [], [], []]
             made = [pa.array(list(c), k) for c, k in zip(cols, (pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], [*others, "lang_pred", "score", "entropy", "rejected"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *made],
+                                             [*["text", *others][first:], "lang_pred", "score", "entropy", "rejected"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[1:])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[first:])
     return narrow.mapInArrow(run, f"{kinds}, lang_pred string, score double, entropy double, rejected boolean")
