@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.token_ids import Encoder
+from paperloom.llm.token_ids import shared_encoder
 
 LENGTH, SEGMENTS, POOL = 2048, 256, 2048
 _PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = LE
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 33
-        encoder, packer = Encoder(tokenizer_path), Packer(limits)
+        encoder, packer = shared_encoder(tokenizer_path), Packer(limits)
 
         def out():
             done, packer.ready = packer.ready, []

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.llm.common import scratch_path
-from paperloom.llm.token_ids import Encoder
+from paperloom.llm.token_ids import shared_encoder
 
 LIMIT = 18
 CHECKPOINT = 256
@@ -143,7 +143,7 @@ def decode_ids(payload: bytes, checkpoints: bytes, sizes: np.ndarray, n_bytes: n
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
     """(doc_id, ids as little-endian unsigned 16-bit integers) of docs (doc_id, text)."""
     def run(batches):
-        encoder = Encoder(tokenizer_path)
+        encoder = shared_encoder(tokenizer_path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for k in range(0, max(len(texts), 1), 250):

@@ -1,21 +1,41 @@
-"""Token ids of whole texts by a public tokenizer file, each distinct piece of text encoded once per task.
+"""Token ids of whole texts by a public tokenizer file, each distinct piece of text encoded once per worker.
 
 Both kinds of file used here cut a text before merging, and never between a character that is not blank and the
-blanks after it.  So a text is cut there, and the ids of each distinct piece are looked up; a text with other
-white space or with a special token's marks is encoded as a whole.
+blanks after it.  So a text is cut there, and the ids of each distinct piece are looked up.  Where blanks stand alone between other
+characters, a text is cut at its blanks.  Within a piece, a word of Latin letters, with the blank before it, is one
+unit of the merges, and so are the ASCII marks after it: these are looked up apart, and a new word goes to the merges
+directly.  A text with other white space or with a special token's marks is encoded as a whole.  Ids are those of
+the tokenizer itself in every case.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 
-_PIECES = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+\Z")
-_WHOLE = re.compile(r"[^\S \n\t\r]|<\|")
+_L, _P, _END = "A-Za-zÀ-ÖØ-öø-ÿ", "!-/:-@\\[-`{-~", "(?=[ \\n\\t\\r]|\\Z)"
+_PIECES = re.compile(
+    rf" ?[{_L}]+(?=[{_P}]*(?:[ \n\t\r]|\Z))"  # a word with at most marks behind it
+    rf"|[{_P}]+{_END}|\n(?=[{_L}]+[{_P}]*(?:[ \n\t\r]|\Z))"  # those marks; a line end before such a word
+    r"|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+\Z")
+_WORD = re.compile(rf" ?[{_L}]+").fullmatch
+# White space besides blanks, tabs and line ends, and how a special token begins.
+_WHOLE = ("<|", *(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n\t\r"))
+_TRIAL = ["The", " word", " Straße", "été", " ÑANDÚ", " A", "x", " naïveté"]
+_UNEVEN = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ", "\0")
 #: Pieces remembered before the table starts anew; bounds a worker's memory.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level files write for each byte (fixed by the file format)."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class Encoder:
@@ -24,20 +44,48 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._letters = _byte_letters()
+        self._merge = self._tokenizer.model.tokenize
+        self._lower = self._tokenizer.normalizer is not None
+        self._blank = "" if self._lower else self._letters[32]
+        self._direct = all(self._words([w]) == self._plain([w]) for w in _TRIAL)
         self._reset()
 
     def _reset(self):
         self._known: dict[str, int] = {}
+        self._units: dict[str, list[int]] = {}
         self._ids = np.empty(1 << 20, np.uint32)
-        self._starts = np.zeros(1 << 17, np.int64)
+        self._starts = np.zeros(1 << 18, np.int64)
         self._filled = 0
 
+    def _words(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of Latin letters straight from the merges."""
+        merge, letters, blank, out = self._merge, self._letters, self._blank, []
+        for word in words:
+            form = word[1:] if word[0] == " " else word
+            if self._lower:
+                form = form.lower()
+            if not form.isascii():
+                form = form.encode().decode("latin-1").translate(letters)
+            out.append([t.id for t in merge(blank + form if word[0] == " " else form)])
+        return out
+
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, pieces: list[str]) -> None:
-        for k in range(0, len(pieces), 4096):
-            part = pieces[k: k + 4096]
-            encoded = [x.ids for x in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(lengths.sum()))
+        """Remember pieces: those after a blank as they are, others behind a zero character."""
+        units = self._units
+        for k in range(0, len(pieces), 8192):
+            part = pieces[k: k + 8192]
+            cut = [_PIECES.findall(x[1:] if x[:1] == "\0" else " " + x) for x in part]
+            new = list(dict.fromkeys(u for own in cut for u in own if u not in units))
+            words = [u for u in new if self._direct and _WORD(u)]
+            units.update(zip(words, self._words(words)))
+            others = [u for u in new if u not in units]
+            units.update(zip(others, self._plain(others)))
+            lengths = np.fromiter((sum(len(units[u]) for u in own) for own in cut), np.int64, len(cut))
+            flat = np.fromiter(chain.from_iterable(units[u] for own in cut for u in own), np.uint32, int(lengths.sum()))
             n = len(self._known)
             while len(self._starts) < n + len(part) + 1:
                 self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
@@ -51,28 +99,43 @@ class Encoder:
     def encode(self, texts: list[str | None], end_id: int | None = 1) -> list[np.ndarray]:
         """Ids of each text (null: empty) with `end_id` appended."""
         tail = np.array([] if end_id is None else [end_id], np.uint32)
+        if len(self._known) > REMEMBERED:
+            self._reset()
         out: list = [None] * len(texts)
-        cut = []
+        pieces, sizes, places = [], [], []
         for k, text in enumerate(texts):
             if not text:
                 out[k] = tail
-            elif _WHOLE.search(text):
+            elif any(c in text for c in _WHOLE):
                 out[k] = np.concatenate([np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32), tail])
             else:
-                cut.append((k, _PIECES.findall(text)))
-        if len(self._known) > REMEMBERED:
-            self._reset()
-        new = dict.fromkeys(x for _, pieces in cut for x in pieces if x not in self._known)
-        self._learn(list(new))
-        place = self._known.__getitem__
-        for k, pieces in cut:
-            at = np.fromiter(map(place, pieces), np.int64, len(pieces))
-            starts = self._starts[at]
-            lengths = self._starts[at + 1] - starts
-            ends = np.cumsum(lengths)
-            n = int(ends[-1])
-            ids = np.empty(n + len(tail), np.uint32)
-            ids[:n] = self._ids[np.arange(n) + np.repeat(starts - (ends - lengths), lengths)]
-            ids[n:] = tail
-            out[k] = ids
+                if text[0] == " " or text[-1] == " " or any(c in text for c in _UNEVEN):
+                    own = ["\0" + x for x in _PIECES.findall(text)]
+                else:
+                    own = text.split(" ")
+                    own[0] = "\0" + own[0]
+                pieces += own
+                sizes.append(len(own))
+                places.append(k)
+        if not pieces:
+            return out
+        at = np.fromiter(map(self._known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(new)))
+            at[missing] = [self._known[x] for x in new]
+        starts = self._starts[at]
+        lengths = self._starts[at + 1] - starts
+        ends = np.cumsum(lengths)
+        ids = self._ids[np.arange(int(ends[-1])) + np.repeat(starts - (ends - lengths), lengths)]
+        last = np.concatenate([[0], ends[np.cumsum(sizes) - 1]]).tolist()
+        for j, k in enumerate(places):
+            out[k] = np.concatenate([ids[last[j]: last[j + 1]], tail])
         return out
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str) -> Encoder:
+    """One encoder per worker process, so that what a task has learnt serves the next."""
+    return Encoder(path)
