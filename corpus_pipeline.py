@@ -21,16 +21,18 @@ def _learned(docs):
 
 def identify_language(spark, docs, sf_dir):
     """Documents whose language the models recognise; those they reject go."""
-    scored = language_id.score(docs.select(*COLUMNS[:1], "text", F.struct(*COLUMNS).alias("own")), _learned(docs))
-    return scored.where("not rejected").select("own.*")
+    scored = language_id.score(docs.select(*COLUMNS), _learned(docs), keep_text=True)
+    return scored.where("not rejected").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """One document of each group of near duplicates: that of the least doc_id, once per text.  Rows without a doc_id stay."""
     groups = jaccard_join.near_duplicate_components(docs.select("doc_id", "text"))
-    first = groups.where("n_shingles = 0 or doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, docs["doc_id"].eqNullSafe(first["doc_id"]), "left_semi")
-    return kept.withColumn("mark", F.xxhash64("text")).dropDuplicates(["doc_id", "mark"]).drop("mark")
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.select(*COLUMNS).where("doc_id is not null").join(first, "doc_id", "left_semi")
+    # the join has dealt rows by doc_id, so repeated rows meet without another shuffle
+    once = named.withColumn("mark", F.xxhash64("text")).dropDuplicates(["doc_id", "mark"]).drop("mark")
+    return once.unionByName(docs.select(*COLUMNS).where("doc_id is null"))
 
 
 def cut_repeats(spark, docs, sf_dir):
