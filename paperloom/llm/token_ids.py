@@ -1,11 +1,10 @@
 """Token ids of whole texts by a public tokenizer file, each distinct piece of text encoded once per worker.
 
 Both kinds of file used here cut a text before merging, and never between a character that is not blank and the
-blanks after it.  So a text is cut there, and the ids of each distinct piece are looked up.  Where blanks stand alone between other
-characters, a text is cut at its blanks.  Within a piece, a word of Latin letters, with the blank before it, is one
-unit of the merges, and so are the ASCII marks after it: these are looked up apart, and a new word goes to the merges
-directly.  A text with other white space or with a special token's marks is encoded as a whole.  Ids are those of
-the tokenizer itself in every case.
+blanks after it.  So a text is cut there, and the ids of each distinct piece are looked up.  A word of Latin
+letters, with the blank before it, is one unit of the merges, and so are the ASCII marks after it: these are cut apart
+and a word goes to the merges directly.  A text with other white space or with a special token's marks is
+encoded as a whole.  Ids are those of the tokenizer itself in every case.
 """
 
 from __future__ import annotations
@@ -26,9 +25,8 @@ _WORD = re.compile(rf" ?[{_L}]+").fullmatch
 # White space besides blanks, tabs and line ends, and how a special token begins.
 _WHOLE = ("<|", *(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n\t\r"))
 _TRIAL = ["The", " word", " Straße", "été", " ÑANDÚ", " A", "x", " naïveté"]
-_UNEVEN = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ", "\0")
-#: Pieces remembered before the table starts anew; bounds a worker's memory.
-REMEMBERED = 1_200_000
+#: Pieces remembered before those seen but once are forgotten; bounds a worker's memory.
+REMEMBERED = 300_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,11 +51,36 @@ class Encoder:
 
     def _reset(self):
         self._known: dict[str, int] = {}
-        self._units: dict[str, list[int]] = {}
         self._ids = np.empty(1 << 20, np.uint32)
         self._starts = np.zeros(1 << 18, np.int64)
+        self._seen = np.zeros(1 << 18, np.int64)
         self._filled = 0
 
+    def _forget(self):
+        """Keep the pieces seen more than once, the most frequent ones at most half of what is remembered."""
+        pieces, seen = list(self._known), self._seen[: len(self._known)]
+        kept = np.flatnonzero(seen > 1)
+        kept = np.sort(kept[np.argsort(-seen[kept], kind="stable")[: REMEMBERED // 2]])
+        starts, lengths = self._starts[kept], self._starts[kept + 1] - self._starts[kept]
+        ends = np.cumsum(lengths)
+        ids = self._ids[np.arange(int(lengths.sum())) + np.repeat(starts - (ends - lengths), lengths)]
+        counts = seen[kept] // 2
+        self._reset()
+        self._append([pieces[k] for k in kept.tolist()], ids, lengths)
+        self._seen[: len(kept)] = counts
+
+    def _append(self, pieces, flat, lengths):
+        n = len(self._known)
+        while len(self._starts) < n + len(pieces) + 1:
+            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
+            self._seen = np.concatenate([self._seen, np.zeros_like(self._seen)])
+        while len(self._ids) < self._filled + len(flat):
+            self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
+        self._ids[self._filled: self._filled + len(flat)] = flat
+        self._starts[n + 1: n + len(pieces) + 1] = self._filled + np.cumsum(lengths)
+        self._filled += len(flat)
+        self._known.update(zip(pieces, range(n, n + len(pieces))))
+
     def _words(self, words: list[str]) -> list[list[int]]:
         """Ids of words of Latin letters straight from the merges."""
         merge, letters, blank, out = self._merge, self._letters, self._blank, []
@@ -74,33 +97,21 @@ class Encoder:
         return [x.ids for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remember pieces: those after a blank as they are, others behind a zero character."""
-        units = self._units
         for k in range(0, len(pieces), 8192):
             part = pieces[k: k + 8192]
-            cut = [_PIECES.findall(x[1:] if x[:1] == "\0" else " " + x) for x in part]
-            new = list(dict.fromkeys(u for own in cut for u in own if u not in units))
-            words = [u for u in new if self._direct and _WORD(u)]
-            units.update(zip(words, self._words(words)))
-            others = [u for u in new if u not in units]
-            units.update(zip(others, self._plain(others)))
-            lengths = np.fromiter((sum(len(units[u]) for u in own) for own in cut), np.int64, len(cut))
-            flat = np.fromiter(chain.from_iterable(units[u] for own in cut for u in own), np.uint32, int(lengths.sum()))
-            n = len(self._known)
-            while len(self._starts) < n + len(part) + 1:
-                self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-            while len(self._ids) < self._filled + len(flat):
-                self._ids = np.concatenate([self._ids, np.empty_like(self._ids)])
-            self._ids[self._filled: self._filled + len(flat)] = flat
-            self._starts[n + 1: n + len(part) + 1] = self._filled + np.cumsum(lengths)
-            self._filled += len(flat)
-            self._known.update(zip(part, range(n, n + len(part))))
+            words = [x for x in part if _WORD(x)] if self._direct else []
+            found = dict(zip(words, self._words(words)))
+            others = [x for x in part if x not in found]
+            found.update(zip(others, self._plain(others)))
+            encoded = [found[x] for x in part]
+            lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+            self._append(part, np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum())), lengths)
 
     def encode(self, texts: list[str | None], end_id: int | None = 1) -> list[np.ndarray]:
         """Ids of each text (null: empty) with `end_id` appended."""
         tail = np.array([] if end_id is None else [end_id], np.uint32)
         if len(self._known) > REMEMBERED:
-            self._reset()
+            self._forget()
         out: list = [None] * len(texts)
         pieces, sizes, places = [], [], []
         for k, text in enumerate(texts):
@@ -109,11 +120,7 @@ class Encoder:
             elif any(c in text for c in _WHOLE):
                 out[k] = np.concatenate([np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.uint32), tail])
             else:
-                if text[0] == " " or text[-1] == " " or any(c in text for c in _UNEVEN):
-                    own = ["\0" + x for x in _PIECES.findall(text)]
-                else:
-                    own = text.split(" ")
-                    own[0] = "\0" + own[0]
+                own = _PIECES.findall(text)
                 pieces += own
                 sizes.append(len(own))
                 places.append(k)
@@ -125,6 +132,8 @@ class Encoder:
             new = [pieces[i] for i in missing.tolist()]
             self._learn(list(dict.fromkeys(new)))
             at[missing] = [self._known[x] for x in new]
+        found = np.bincount(at)
+        self._seen[: len(found)] += found
         starts = self._starts[at]
         lengths = self._starts[at + 1] - starts
         ends = np.cumsum(lengths)
