@@ -141,25 +141,37 @@ def decode_ids(payload: bytes, checkpoints: bytes, sizes: np.ndarray, n_bytes: n
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
-    """(doc_id, ids as little-endian unsigned 16-bit integers) of docs (doc_id, text)."""
+    """(doc_id, ids as little-endian unsigned 16-bit integers, counts) of docs (doc_id, text).
+
+    Each task adds one row that has only `counts`: how often it has met each id, as 64-bit integers.
+    """
+    kinds = [("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]
+
+    def made(*columns):
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, (_, k) in zip(columns, kinds)], [n for n, _ in kinds])
+
     def run(batches):
-        encoder = shared_encoder(tokenizer_path)
+        encoder, total = shared_encoder(tokenizer_path), np.zeros(1 << 16, np.int64)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for k in range(0, max(len(texts), 1), 250):
-                ids = [x.astype("<u2").tobytes() for x in encoder.encode(texts[k: k + 250], end_id)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 250), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for k in range(0, len(texts), 250):
+                ids = [x.astype("<u2") for x in encoder.encode(texts[k: k + 250], end_id)]
+                found = np.bincount(np.concatenate(ids))
+                total[: len(found)] += found
+                yield made(batch.column(0).slice(k, 250), [x.tobytes() for x in ids], pa.nulls(len(ids), pa.binary()))
+        if total.any():
+            yield made([None], [None], [total.tobytes()])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, ids binary")
+    return narrow.mapInArrow(run, "doc_id long, ids binary, counts binary")
 
 
 def _count(batches):
+    """One row per id that occurs: the sum of the counts of several tasks."""
     total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for ids in batch.column(0).to_pylist():
-            found = np.bincount(np.frombuffer(ids, "<u2"))
-            total[: len(found)] += found
+        for counts in batch.column(0).to_pylist():
+            total += np.frombuffer(counts, np.int64)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], ["id", "n"])
 
@@ -170,20 +182,20 @@ _BLOCK = [("file_key", pa.int32()), ("block", pa.int32()), ("cut", pa.bool_()),
 
 
 def write_corpus(ids: DataFrame, path: str, file_ids: int = FILE_IDS) -> None:
-    """Write (doc_id, ids) as block files in ascending doc_id order under `path`, and the code under `path`-code.
+    """Write what `tokenize` gives as block files in ascending doc_id order under `path`, and the code under `path`-code.
 
     `ids` is read three times, so it should be a stored table.  Documents are coded before they are dealt out, so
     the shuffle carries code words.
     """
     spark = ids.sparkSession
-    found = ids.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    found = ids.where("counts is not null").select("counts").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 << 16, np.int64)  # one row per id of the vocabulary at most
     for row in found:
         counts[row.id] = row.n
     lengths = code_lengths(counts)
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}-code")
     files = int(counts.sum()) // file_ids + 1
-    bounds = ids.agg(F.percentile_approx("doc_id", [k / files for k in range(1, files)], 20 * files).alias("b")).first()["b"] if files > 1 else []
+    bounds = ids.where("counts is null").agg(F.percentile_approx("doc_id", [k / files for k in range(1, files)], 20 * files).alias("b")).first()["b"] if files > 1 else []
     shared = spark.sparkContext.broadcast((canonical_codes(lengths), lengths, np.unique(np.array(bounds or [], np.int64))))
 
     def code(batches):
@@ -226,7 +238,7 @@ def write_corpus(ids: DataFrame, path: str, file_ids: int = FILE_IDS) -> None:
             yield made()
 
     kinds = "file_key int, block int, cut boolean, first long, docs array<struct<doc_id: bigint, n: bigint, n_bytes: bigint>>, n_ids long, checkpoints binary, payload binary"
-    (ids.select("doc_id", "ids").mapInArrow(code, "file_key int, doc_id long, cut boolean, mark long, first long, n long, checkpoints binary, payload binary")
+    (ids.where("counts is null").select("doc_id", "ids").mapInArrow(code, "file_key int, doc_id long, cut boolean, mark long, first long, n long, checkpoints binary, payload binary")
      .repartition(files, "file_key").sortWithinPartitions("file_key", "doc_id", "mark", "first")
      .mapInArrow(blocks, kinds).write.option("compression", "uncompressed").parquet(path))
 
