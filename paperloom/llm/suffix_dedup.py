@@ -12,7 +12,8 @@ trigger that all its windows contain, then by the whole phrase.  In that order
   * a phrase that occurs more than once is removed as a whole;
   * where a core has several different phrases, one occurrence of each of them (the dictionary) has its windows
     sorted, which finds the parts that different phrases share.
-Occurrences need no further work: only dictionary phrases are looked at byte by byte, whatever the repetition.
+Occurrences need no further work: only dictionary phrases are looked at window by window, whatever the repetition.
+Equal fingerprints are taken for equal strings: 64 bits for a core, 64 more for a phrase in it, twice 64 for a window.
 
 Texts are UTF-8 bytes; matches never cross documents.  Equal texts are found by their hashes first, and a task
 parses each text once, so copies cost one row each.  Null text is empty; a text shorter than a window is kept whole.
