@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.token_ids import shared_encoder
+from paperloom.llm.token_ids import Encoder, shared_encoder
 
 LENGTH, SEGMENTS, POOL = 2048, 256, 2048
 _PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
@@ -149,11 +149,13 @@ class Packer:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = LENGTH, segments: int = SEGMENTS,
-         loss_tokens: int | None = None, loss_column: str | None = None) -> DataFrame:
+         loss_tokens: int | None = None, loss_column: str | None = None, keep_encoder: bool = True) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, loss_tokens, ids) of docs (doc_id, text).
 
     `ids` are the piece's ids as little-endian unsigned 32-bit integers.  `loss_tokens` limits the loss-bearing
     tokens of a sequence; `loss_column` has how many tokens at the end of an example bear loss (all without it).
+    With `keep_encoder` a worker process keeps tokenizer and learnt words for its next tasks; without, each task
+    frees them, which suits a pipeline whose other stages use the same workers.
     """
     limits = (length, segments, length if loss_tokens is None else loss_tokens)
     bears = F.col(loss_column).cast("long") if loss_column else F.lit(-1).cast("long")
@@ -164,7 +166,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = LE
         from pyspark import TaskContext
 
         base = TaskContext.get().partitionId() << 33
-        encoder, packer = shared_encoder(tokenizer_path), Packer(limits)
+        encoder, packer = (shared_encoder if keep_encoder else Encoder)(tokenizer_path), Packer(limits)
 
         def out():
             done, packer.ready = packer.ready, []
