@@ -50,7 +50,7 @@ def drop_benchmark_leaks(spark, docs, sf_dir):
 
 def pack_sequences(spark, docs, sf_dir):
     """Pieces of training sequences with their token ids."""
-    return packing.pack(docs.select("doc_id", "text"), tokenizer("byte_bpe_50k.json"))
+    return packing.pack(docs.select("doc_id", "text"), tokenizer("byte_bpe_50k.json"), keep_encoder=False)
 
 
 STAGES = [
