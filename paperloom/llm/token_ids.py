@@ -25,8 +25,9 @@ _WORD = re.compile(rf" ?[{_L}]+").fullmatch
 # White space besides blanks, tabs and line ends, and how a special token begins.
 _WHOLE = ("<|", *(c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n\t\r"))
 _TRIAL = ["The", " word", " Straße", "été", " ÑANDÚ", " A", "x", " naïveté"]
-#: Pieces remembered before those seen but once are forgotten; bounds a worker's memory.
-REMEMBERED = 300_000
+#: Pieces remembered before those seen but once are forgotten, by one task's encoder and by one that a worker
+#: keeps; bounds a worker's memory.
+REMEMBERED, KEPT = 300_000, 1_000_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,7 +38,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
+        self._most = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,7 +62,7 @@ class Encoder:
         """Keep the pieces seen more than once, the most frequent ones at most half of what is remembered."""
         pieces, seen = list(self._known), self._seen[: len(self._known)]
         kept = np.flatnonzero(seen > 1)
-        kept = np.sort(kept[np.argsort(-seen[kept], kind="stable")[: REMEMBERED // 2]])
+        kept = np.sort(kept[np.argsort(-seen[kept], kind="stable")[: (self._most or REMEMBERED) // 2]])
         starts, lengths = self._starts[kept], self._starts[kept + 1] - self._starts[kept]
         ends = np.cumsum(lengths)
         ids = self._ids[np.arange(int(lengths.sum())) + np.repeat(starts - (ends - lengths), lengths)]
@@ -110,7 +112,7 @@ class Encoder:
     def encode(self, texts: list[str | None], end_id: int | None = 1) -> list[np.ndarray]:
         """Ids of each text (null: empty) with `end_id` appended."""
         tail = np.array([] if end_id is None else [end_id], np.uint32)
-        if len(self._known) > REMEMBERED:
+        if len(self._known) > (self._most or REMEMBERED):
             self._forget()
         out: list = [None] * len(texts)
         pieces, sizes, places = [], [], []
@@ -147,4 +149,4 @@ class Encoder:
 @lru_cache(maxsize=2)
 def shared_encoder(path: str) -> Encoder:
     """One encoder per worker process, so that what a task has learnt serves the next."""
-    return Encoder(path)
+    return Encoder(path, KEPT)
