@@ -18,7 +18,8 @@ Equal fingerprints are taken for equal strings: 64 bits for a core, 64 more for
 Texts are UTF-8 bytes; matches never cross documents.  Equal texts are found by their hashes first, and a task
 parses each text once, so copies cost one row each.  Null text is empty; a text shorter than a window is kept whole.
 Null or repeated doc_ids do no harm, as texts are told apart by hashes (64 bits, and 128 where a text is removed as
-a copy).  Columns besides id and text are not read.  Memory is bounded by one batch and, per text, by segments.
+a copy).  Columns besides id and text are not read.  A text is parsed by segments, but its phrases are counted over all of
+them.  Memory is bounded by one batch and, per text, by one segment and the phrases of the text (40 bytes each).
 """
 
 from __future__ import annotations
@@ -72,9 +73,27 @@ def _sliding_least(key: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(raw: np.ndarray, window: int, reach: int):
-    """(offset, Parse) of pieces of a text that hold all its windows."""
-    for offset in range(0, len(raw) - window + 1, SEGMENT):
-        yield offset, Parse(raw[offset: offset + SEGMENT + window - 1], window, reach)
+    """(offset, Parse) of pieces of a text.
+
+    A piece ends with a whole phrase, so that pieces together hold the phrases of the whole text, each once.
+    """
+    offset, end = 0, len(raw) - window + 1
+    size = max(SEGMENT, 2 * reach + 2)
+    while offset < end:
+        parse = Parse(raw[offset: offset + size + window - 1], window, reach)
+        ahead = size
+        if offset + size < end:  # windows that follow may belong to the last phrase
+            ahead = int(parse.first[-1])
+            parse.first, parse.last, parse.at, parse.core, parse.phrase = (
+                x[:-1] for x in (parse.first, parse.last, parse.at, parse.core, parse.phrase))
+        yield offset, parse
+        offset += ahead
+
+
+def phrase_table(raw: np.ndarray, window: int, reach: int):
+    """(core, phrase, at, first, last) of all phrases of a text, whatever its segments."""
+    parts = [(p.core, p.phrase, p.at + offset, p.first + offset, p.last + offset) for offset, p in segments(raw, window, reach)]
+    return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _bytes(text):
@@ -99,9 +118,12 @@ def phrases(texts: DataFrame, window: int, reach: int) -> DataFrame:
                 if mark in known or len(text) * 4 < window:
                     continue
                 known.add(mark)
-                for offset, parse in segments(_bytes(text), window, reach):
-                    _, once = np.unique(parse.phrase, return_index=True)
-                    parts.append((parse.core[once], parse.phrase[once], np.full(len(once), mark), parse.at[once] + offset))
+                raw = _bytes(text)
+                if len(raw) < window:
+                    continue
+                core, phrase, at, _, _ = phrase_table(raw, window, reach)
+                _, once = np.unique(phrase, return_index=True)
+                parts.append((core[once], phrase[once], np.full(len(once), mark), at[once]))
             if parts:
                 core, phrase, mark, at = (np.concatenate(x) for x in zip(*parts))
                 yield _rows([_signed(core), _signed(phrase), mark, at], ["core", "phrase", "mark", "at"], [pa.int64()] * 4)
@@ -228,14 +250,14 @@ def removed_bytes(text: str | None, window: int, reach: int, whole: bool, phrase
         return raw, np.zeros(1, np.int64), np.full(1, len(raw), np.int64)
     cover = np.zeros(len(raw) + 1, np.int32)
     found = np.array(phrase_at if phrase_at is not None else [], np.int64)
-    for offset, parse in segments(raw, window, reach):
-        _, which, times = np.unique(parse.phrase, return_inverse=True, return_counts=True)
-        hit = times > 1
-        if len(found):
-            hit[which[np.isin(parse.at + offset, found)]] = True
-        own = hit[which]
-        np.add.at(cover, parse.first[own] + offset, 1)
-        np.add.at(cover, parse.last[own] + window + offset, -1)
+    _, phrase, at, first, last = phrase_table(raw, window, reach)
+    _, which, times = np.unique(phrase, return_inverse=True, return_counts=True)
+    hit = times > 1
+    if len(found):
+        hit[which[np.isin(at, found)]] = True
+    own = hit[which]
+    np.add.at(cover, first[own], 1)
+    np.add.at(cover, last[own] + window, -1)
     if runs:
         begin, size = (np.array([r[k] for r in runs], np.int64) for k in ("start", "n"))
         np.add.at(cover, begin, 1)

@@ -61,6 +61,26 @@ def test_segments_of_long_texts(spark, monkeypatch):
     assert found == dict(enumerate(brute(texts, 200)))
 
 
+def test_repeats_across_segments_of_one_text(spark):
+    """A passage that stands twice in a single document, once in each of two real segments, and nowhere else."""
+    rng = random.Random(9)
+    passage, parts = sentence(rng, 400), [sentence(rng, n) for n in (500, 250_000, 500)]
+    text = f"{parts[0]}A{passage}B{parts[1]}C{passage}D{parts[2]}"
+    assert len(parts[1]) > dedup.SEGMENT
+    first = len(parts[0]) + 1
+    second = first + len(passage) + 2 + len(parts[1])
+    row, = dedup.find_repeats(docs(spark, [(1, text)])).collect()
+    assert [(s["start"], s["end"]) for s in row.spans] == [(x, x + len(passage)) for x in (first, second)]
+
+
+def test_segments_hold_the_phrases_of_the_whole_text(monkeypatch):
+    raw = np.frombuffer((sentence(random.Random(4), 900) + "ab" * 700 + "a" * 700).encode(), np.uint8)
+    whole = dedup.phrase_table(raw, 200, 120)
+    for size in (242, 500, 3001):
+        monkeypatch.setattr(dedup, "SEGMENT", size)
+        assert all((x == y).all() for x, y in zip(dedup.phrase_table(raw, 200, 120), whole))
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     got = sorted((str(r.doc_id), r.n_bytes, bytes(r.kept)) for r in dedup.find_repeats(docs(spark, rows)).collect())
