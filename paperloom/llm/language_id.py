@@ -6,9 +6,10 @@ share sorted key arrays, one per order, with a column of probabilities per langu
 all languages by one binary search per character and order needed.  The language with the lowest
 length-normalised cross-entropy wins.
 
-Symbols: the `SYMBOLS` most frequent lower-cased letters of the training texts have a symbol each, other letters share
-one, and every run of other characters is one blank.  With 8 bits a symbol and 4-grams, a model has at most
-`MOST_NGRAMS` keys: only if the corpus has more distinct ones are those of the lowest counts left out.
+Symbols: every lower-cased letter of the training texts has a symbol of its own, and every run of other characters is
+one blank.  Up to `SYMBOLS` different letters, a symbol is a byte and a 4-gram 32 bits; with more letters a symbol is a
+UTF-16 unit and a 4-gram 64 bits (a letter beyond the basic plane is two symbols).  No n-gram is left out, whatever its
+count: the driver holds 16 bytes for each (language, 4-gram), and the model a probability per distinct n-gram and language.
 
 Calibration: per language, mean and standard deviation of the cross-entropy of the calibration texts under
 their own language.  A text is rejected when it has no letter, or its entropy exceeds the mean by more than
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 ORDER = 4
 SYMBOLS = 200
 DISCOUNT = 0.75
-MOST_NGRAMS = 2_000_000
 UNDETERMINED = "und"
 _POINTS = sys.maxunicode + 1
 
@@ -58,27 +58,50 @@ def _codes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
 
 
-def symbol_table(frequent: list[int]) -> np.ndarray:
-    """Code point -> symbol: 0 for no letter, 1 for a rare letter, 2... for the frequent ones."""
+def symbol_table(seen: list[int]) -> np.ndarray:
+    """Code point -> symbol: 0 for no letter, 1 for an unseen letter, 2... for the seen ones; of more than `SYMBOLS`
+    seen ones, the lower-cased letters themselves."""
     lower, letter = _letters()
+    if len(seen) > SYMBOLS:
+        return np.where(letter, lower, np.uint32(0))
     own = np.ones(_POINTS, np.uint8)
-    own[np.asarray(frequent, np.int64)] = np.arange(2, 2 + len(frequent), dtype=np.uint8)
+    own[np.asarray(seen, np.int64)] = np.arange(2, 2 + len(seen), dtype=np.uint8)
     return np.where(letter, own[lower], 0).astype(np.uint8)
 
 
+def _kind(table: np.ndarray) -> tuple[type, int]:
+    """Integer type of the keys that a symbol table leads to, and bits of a symbol."""
+    return (np.uint32, 8) if table.dtype == np.uint8 else (np.uint64, 16)
+
+
+def _units(codes: np.ndarray) -> np.ndarray:
+    """UTF-16 units of code points."""
+    far = codes > 0xFFFF
+    if not far.any():
+        return codes
+    at = np.cumsum(far + 1) - 1  # last unit of each
+    out = np.empty(at[-1] + 1, np.uint32)
+    out[at] = np.where(far, (codes - 0x10000 & 0x3FF) + 0xDC00, codes)
+    out[at[far] - 1] = (codes[far] - 0x10000 >> 10) + 0xD800
+    return out
+
+
 def grams(text: str | None, table: np.ndarray) -> np.ndarray:
     """Keys of the ORDER-grams that end at each letter or blank after the first; runs of blanks count once."""
+    kind, bits = _kind(table)
     codes = table[_codes(text)]
     if not codes.any():
-        return np.empty(0, np.uint32)
+        return np.empty(0, kind)
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
     codes = codes[keep]
-    padded = np.zeros(len(codes) + ORDER - 1, np.uint32)
+    if bits == 16:
+        codes = _units(codes)
+    padded = np.zeros(len(codes) + ORDER - 1, kind)
     padded[ORDER - 1:] = codes
     key = padded[: len(codes)].copy()
     for k in range(1, ORDER):
-        key = (key << np.uint32(8)) | padded[k: k + len(codes)]
+        key = (key << kind(bits)) | padded[k: k + len(codes)]
     return key
 
 
@@ -87,26 +110,32 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, np.bincount(where, weights, minlength=len(distinct))
 
 
-def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _tail(keys: np.ndarray, order: int, bits: int) -> np.ndarray:
+    """The last `order` symbols of keys."""
+    return keys & keys.dtype.type((1 << bits * order) - 1)
+
+
+def kneser_ney(keys: np.ndarray, counts: np.ndarray, uniform: float = 1 / 256) -> list[tuple[np.ndarray, np.ndarray]]:
     """Interpolated log2 probabilities of the seen n-grams of one language, for orders 1 to ORDER."""
+    bits = keys.dtype.itemsize * 8 // ORDER
     levels = []
     for order in range(ORDER, 0, -1):
         if order == ORDER:
-            levels.append((keys.astype(np.uint32), counts.astype(float)))
+            levels.append((keys, counts.astype(float)))
         else:  # in how many different contexts the shorter gram was seen
             longer = levels[-1][0]
-            levels.append(_summed(longer & np.uint32((1 << 8 * order) - 1), np.ones(len(longer))))
+            levels.append(_summed(_tail(longer, order, bits), np.ones(len(longer))))
     levels.reverse()
     out, lower = [], None
     for order, (grams_, seen) in enumerate(levels, 1):
-        context, where = np.unique(grams_ >> np.uint32(8), return_inverse=True)
+        context, where = np.unique(grams_ >> keys.dtype.type(bits), return_inverse=True)
         total, kinds = np.bincount(where, seen), np.bincount(where)
         share = np.maximum(seen - DISCOUNT, 0) / total[where]
         rest = DISCOUNT * kinds[where] / total[where]
         if order == 1:
-            below = np.full(len(grams_), 1 / 256)
+            below = np.full(len(grams_), uniform)
         else:
-            below = lower[1][np.searchsorted(lower[0], grams_ & np.uint32((1 << 8 * (order - 1)) - 1))]
+            below = lower[1][np.searchsorted(lower[0], _tail(grams_, order - 1, bits))]
         lower = (grams_, share + rest * below, context, DISCOUNT * kinds / total)
         out.append(lower)
     return out
@@ -122,21 +151,23 @@ class Model:
     weights: list[np.ndarray]   # per order, log2 weight that a context leaves to shorter grams: context x language
     mean: np.ndarray | None = None
     deviation: np.ndarray | None = None
+    uniform: float = 1 / 256    # probability below the lowest order
 
     def entropies(self, key: np.ndarray) -> np.ndarray:
         """Mean bits per symbol under each language."""
         total, left = np.zeros(len(self.languages)), key
+        bits = _kind(self.table)[1]
         for order in range(ORDER, 0, -1):
             if not len(left):
                 break
-            part = left & np.uint32((1 << 8 * order) - 1) if order < ORDER else left
+            part = _tail(left, order, bits) if order < ORDER else left
             place, hit = _find(self.keys[order - 1], part)
             total += self.values[order - 1][place[hit]].sum(axis=0)
             left, part = left[~hit], part[~hit]
             if len(part) and len(self.contexts[order - 1]):
-                place, hit = _find(self.contexts[order - 1], part >> np.uint32(8))
+                place, hit = _find(self.contexts[order - 1], part >> part.dtype.type(bits))
                 total += self.weights[order - 1][place[hit]].sum(axis=0)
-        total -= 8 * len(left)
+        total += np.log2(self.uniform) * len(left)
         return -total / max(len(key), 1)
 
 
@@ -145,30 +176,30 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return place, keys[place] == wanted
 
 
-def build_model(rows: list[tuple[str, int, int]], frequent: list[int]) -> Model:
-    """Model of (language, key, count) rows.
+def build_model(counts: dict[str, tuple[np.ndarray, np.ndarray]], table_: np.ndarray) -> Model:
+    """Model of each language's keys and their counts, in order of keys.
 
     A key of any language has a value for all of them: where a language has not seen it, the value is its
     shorter gram's probability times the weight that the language's context leaves to shorter grams.
     """
-    languages = sorted({lang for lang, _, _ in rows})
-    per = []
-    for lang in languages:
-        own = sorted((k, c) for g, k, c in rows if g == lang)
-        per.append(kneser_ney(np.array([k for k, _ in own], np.uint32), np.array([c for _, c in own], float)))
+    languages = sorted(counts)
+    kind, bits = _kind(table_)
+    known = np.unique(np.concatenate([np.unique(_tail(counts[lang][0], 1, bits)) for lang in languages])) if languages else ()
+    uniform = 1 / max(256, len(known) + 1)  # the seen symbols, and one for all others
+    per = [kneser_ney(*counts[lang], uniform) for lang in languages]
     keys, values, contexts, weights, below = [], [], [], [], None
     for order in range(1, ORDER + 1):
-        merged = np.unique(np.concatenate([levels[order - 1][0] for levels in per])) if per else np.empty(0, np.uint32)
+        merged = np.unique(np.concatenate([levels[order - 1][0] for levels in per])) if per else np.empty(0, kind)
         table = np.empty((len(merged), len(languages)))
-        seen = np.unique(np.concatenate([levels[order - 1][2] for levels in per])) if per else np.empty(0, np.uint32)
+        seen = np.unique(np.concatenate([levels[order - 1][2] for levels in per])) if per else np.empty(0, kind)
         left = np.zeros((len(seen), len(languages)))
         for j, levels in enumerate(per):
             own, chance, context, rest = levels[order - 1]
             if order == 1:
-                short = np.full(len(merged), 1 / 256)
+                short = np.full(len(merged), uniform)
             else:
-                short = 2.0 ** below[np.searchsorted(keys[-1], merged & np.uint32((1 << 8 * (order - 1)) - 1)), j]
-            place, hit = _find(context, merged >> np.uint32(8))
+                short = 2.0 ** below[np.searchsorted(keys[-1], _tail(merged, order - 1, bits)), j]
+            place, hit = _find(context, merged >> kind(bits))
             weight = np.where(hit, rest[place], 1.0)
             at, hit = _find(own, merged)
             table[:, j] = np.log2(np.where(hit, chance[at], weight * short))
@@ -179,7 +210,7 @@ def build_model(rows: list[tuple[str, int, int]], frequent: list[int]) -> Model:
         contexts.append(seen)
         weights.append(left)
         below = table
-    return Model(languages, symbol_table(frequent), keys, values, contexts, weights)
+    return Model(languages, table_, keys, values, contexts, weights, uniform=uniform)
 
 
 def _letter_counts(batches):
@@ -202,23 +233,41 @@ def train(labelled: DataFrame) -> Model:
     """Model of a DataFrame (lang, text): all its rows are counted, rows of null language left aside."""
     known = labelled.where("lang is not null").select("lang", F.col("text").cast("string").alias("text"))
     letters = (known.select("text").mapInArrow(_letter_counts, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "point").limit(SYMBOLS))
-    frequent = [row.point for row in letters.collect()]
+               .orderBy(F.desc("n"), "point"))
+    seen = [row.point for row in letters.collect()]  # no more than there are letters
+    kind = _kind(symbol_table(seen))[0]
 
     def count(batches):
-        table = symbol_table(frequent)
+        table = symbol_table(seen)
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in sorted(set(langs)):
                 parts = [grams(t, table) for g, t in zip(langs, texts) if g == lang]
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())],
+                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(counts, pa.int64())],
                     ["lang", "gram", "n"])
 
-    counted = (known.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "lang", "gram").limit(MOST_NGRAMS))
-    model = build_model([tuple(row) for row in counted.collect()], frequent)
+    def pack(batches):
+        """The grams of each language in a batch as bytes, which the driver holds without an object per gram."""
+        for batch in batches:
+            langs, (keys, counts) = np.array(batch.column(0).to_pylist()), (batch.column(k).to_numpy() for k in (1, 2))
+            own = [(lang, langs == lang) for lang in np.unique(langs).tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang for lang, _ in own], pa.string()), pa.array([keys[x].tobytes() for _, x in own], pa.binary()),
+                 pa.array([counts[x].tobytes() for _, x in own], pa.binary())], ["lang", "grams", "counts"])
+
+    counted = known.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    parts = {}
+    for row in counted.mapInArrow(pack, "lang string, grams binary, counts binary").collect():
+        parts.setdefault(row.lang, []).append((row.grams, row.counts))
+    tables = {}
+    for lang in sorted(parts):
+        grams_, counts = (np.frombuffer(b"".join(x), np.int64) for x in zip(*parts.pop(lang)))
+        keys = grams_.view(np.uint64).astype(kind)
+        order = np.argsort(keys)
+        tables[lang] = keys[order], counts[order].astype(float)
+    model = build_model(tables, symbol_table(seen))
     scored = score(known.select(F.lit(None).cast("long").alias("doc_id"), "text", F.col("lang").alias("own")), model)
     stats = {row.own: (row.m, row.s) for row in scored.where("lang_pred <> 'und' and lang_pred = own").groupBy("own").agg(
         F.avg("entropy").alias("m"), F.stddev_pop("entropy").alias("s")).collect()} if model.languages else {}
@@ -230,7 +279,7 @@ def train(labelled: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model, slack: float = 2.0, width: float = 8.0, keep_text: bool = False) -> DataFrame:
     """The columns of `docs`, the text only if `keep_text`, with lang_pred, score, entropy and rejected for each row.
 
-    `docs` has a column text; the model travels as one broadcast of at most MOST_NGRAMS keys.
+    `docs` has a column text; the model travels as one broadcast.
     """
     docs = docs.drop("lang_pred", "score", "entropy", "rejected")
     others = [c for c in docs.columns if c != "text"]
@@ -243,7 +292,7 @@ def score(docs: DataFrame, model: Model, slack: float = 2.0, width: float = 8.0,
         for batch in batches:
             out = []
             for text in batch.column(0).to_pylist():
-                key = grams(text, known.table) if known.languages else np.empty(0, np.uint32)
+                key = grams(text, known.table) if known.languages else ()
                 if not len(key):
                     out.append((UNDETERMINED, 0.0, None, True))
                     continue

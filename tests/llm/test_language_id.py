@@ -76,6 +76,37 @@ def test_awkward_rows(spark, model):
     assert len({(r.lang_pred, r.score) for r in out.where("doc_id in (7, 8)").collect()}) == 1
 
 
+def test_rare_scripts_are_told_apart(spark):
+    """Two languages in rarer letters, one beyond the basic plane, next to 400 letters that are all more frequent."""
+    rng = random.Random(6)
+    common = [chr(0x4E00 + k) for k in range(400)]
+    rare = {"dd": ["\u10d0\u10d1", "\u10d2\u10d3"], "ee": ["\u10d4\u10d5", "\u10d6\u10d7"],
+            "ff": ["\U00010481\U00010482", "\U00010483"], "gg": ["\U00010491\U00010492", "\U00010493"]}
+    make = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+    rows = [(k, make(common, 400), "zz") for k in range(40)]
+    rows += [(100 + k, make(rare[code], 10), code) for k, code in enumerate(list(rare) * 8)]
+    model = lang.train(docs(spark, rows).select("lang", "text"))
+    assert model.table.dtype == np.uint32
+    asked = [(k, make(rare[code], 6), code) for k, code in enumerate(list(rare) * 5)]
+    out = lang.score(docs(spark, asked), model).collect()
+    assert all(r.lang == r.lang_pred and not r.rejected for r in out)
+    for context in rng.sample(model.contexts[-1].tolist(), 5):  # the seen symbols and one for all others
+        keys = np.array([context << 16 | int(x) for x in model.keys[0].tolist() + [0xFFFF]], np.uint64)
+        for j in range(len(model.languages)):
+            assert math.isclose(sum(2.0 ** -model.entropies(keys[k: k + 1])[j] for k in range(len(keys))), 1, rel_tol=1e-9)
+
+
+def test_all_counts_are_kept(spark, monkeypatch):
+    """A small language next to a large one keeps each of its n-grams, also where few fit a bound on both."""
+    monkeypatch.setattr(lang, "MOST_NGRAMS", 50, raising=False)
+    rng = random.Random(8)
+    rows = [(k, text(rng, "aa", 60), "aa") for k in range(30)] + [(50, "strößen ungquälte vögel", "zz")]
+    model = lang.train(docs(spark, rows).select("lang", "text"))
+    assert model.languages == ["aa", "zz"]
+    for _, own, _ in rows:
+        assert lang._find(model.keys[-1], lang.grams(own, model.table))[1].all()
+
+
 def test_no_labels(spark):
     empty = docs(spark, [])
     model = lang.train(empty.select("lang", "text"))
