@@ -91,9 +91,8 @@ class Block:
             other = self.ids != own
             if not other.any():
                 continue
-            first = np.flatnonzero(other)
-            first = first[np.argsort(guess[first, j], kind="stable")[: 4 * k]]
-            limit = np.sort(self._distance(first, queries[j]))[min(k, len(first)) - 1]
+            first = self._first(other, guess[:, j], k)
+            limit = self._kth(self.ids[first], self._distance(first, queries[j]), k)
             chosen = np.flatnonzero(other & (low[:, j] <= limit * limit * (1 + 1e-9)))
             chosen = np.union1d(chosen, first)
             distance = self._distance(chosen, queries[j])
@@ -104,6 +103,23 @@ class Block:
             for place in keep:
                 yield int(own), int(self.ids[chosen[place]]), float(distance[place])
 
+    def _first(self, other, guess, k):
+        """The rows of least estimate that hold 4k different ids, or all rows of the block if they hold fewer."""
+        rows = np.flatnonzero(other)
+        count = 4 * k
+        while True:
+            first = rows[np.argpartition(guess[rows], count - 1)[:count]] if count < len(rows) else rows
+            if len(first) == len(rows) or len(np.unique(self.ids[first])) >= 4 * k:
+                return first
+            count *= 4
+
+    @staticmethod
+    def _kth(ids, distance, k):
+        """Distance of the k-th nearest id, each taken at its nearest row; infinite if there are fewer."""
+        order = np.lexsort((distance, ids))
+        nearest = distance[order][np.concatenate([[True], np.diff(ids[order]) != 0])]
+        return np.sort(nearest)[k - 1] if len(nearest) >= k else np.inf
+
     def _distance(self, rows, query):
         gap = self.vectors[rows] - query
         return np.sqrt((gap * gap).sum(axis=1))

@@ -51,6 +51,29 @@ def test_ties_and_copies(spark):
     assert sorted((r.query_id, r.rank, r.vec_id) for r in out) == [(0, k, k) for k in range(1, 6)] + [(40, k + 1, k) for k in range(5)]
 
 
+def test_copies_of_one_id_do_not_crowd_others_out(spark):
+    """50 rows of one id that equal the query's vector under another id: nine other ids are found all the same."""
+    rng = np.random.default_rng(11)
+    near = rng.standard_normal(16)
+    others = rng.standard_normal((60, 16)) * 3
+    ids = [0] + [1] * 50 + list(range(2, 62))
+    vectors = np.concatenate([[near] * 51, others])
+    table = frame(spark, ids, vectors)
+    got = sorted((r.query_id, r.rank, r.vec_id) for r in codes.nearest(table, table.where("vec_id = 0")).collect())
+    once = [0, *range(50, 111)]
+    assert got == brute([ids[k] for k in once], vectors[once], [0], 10)
+
+
+def test_rows_that_stand_several_times(spark):
+    rng = np.random.default_rng(12)
+    vectors = rng.standard_normal((300, 16))
+    ids = list(range(300)) * 12
+    table, asked = frame(spark, ids, np.concatenate([vectors] * 12)), frame(spark, range(0, 300, 30), vectors[::30])
+    got = {(r.query_id, r.rank, r.vec_id) for r in codes.nearest(table, asked).collect()}
+    want = set(brute(range(300), vectors, range(0, 300, 30), 10))
+    assert len(got) == len(want) and len(got & want) >= 0.99 * len(want)
+
+
 def test_awkward_rows(spark):
     ids = [1, 2, 3, 4, 5, 6, 7, None, 8, 8, 9]
     vectors = [[1, 2], None, [], [0, 0], [None, 1], [float("nan"), 1], [float("inf"), 1], [1, 1], [3, 4], [3, 5], [1, 2, 3]]
