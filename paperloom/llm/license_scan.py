@@ -3,7 +3,8 @@
 Every document is reduced to its words (A-Z lower-cased, see `WORDS`).  One automaton over the words, joined by
 single blanks, finds all notice phrases and all `SPDX-License-Identifier` tags in one pass.  The expression after
 a tag is read from the raw text and evaluated: `with` binds closest, then `and`, then `or`, and the value is the
-list of alternatives, each a set of licences that apply together.
+list of alternatives, each a set of licences that apply together.  Exceptions joined by `or` give an alternative each,
+those joined by `and` are one name.
 
 Null or empty text has no words and gives zero counts, null places and empty label strings.  Each row stands for
 itself, so repeated rows give repeated results.  Columns besides the id and the text are not read.  Work is a
@@ -93,8 +94,8 @@ def alternatives(postfix: list[str]) -> list[tuple[str, ...]]:
         elif item == "and":
             stack.append({x | y for x in left for y in right})
         else:
-            (exception,) = min(right, key=sorted)
-            stack.append({frozenset(f"{x}-with-{exception}" for x in one) for one in left})
+            added = {"-and-".join(sorted(names)) for names in right}
+            stack.append({frozenset(f"{x}-with-{names}" for x in one) for one in left for names in added})
         if len(stack[-1]) > MOST_ALTERNATIVES:
             return []
     return sorted(tuple(sorted(one)) for one in stack.pop()) if stack else []

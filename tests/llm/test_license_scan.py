@@ -40,6 +40,18 @@ def test_expressions(text, ways):
     assert scan.alternatives(scan.to_postfix(text)) == ways
 
 
+@pytest.mark.parametrize("text, ways", [
+    ("A WITH (B OR C)", [("a-with-b",), ("a-with-c",)]),
+    ("A WITH (B AND C)", [("a-with-b-and-c",)]),
+    ("(A OR D) WITH (B OR C AND E)", [("a-with-b",), ("a-with-c-and-e",), ("d-with-b",), ("d-with-c-and-e",)]),
+    ("(A AND D) WITH (B OR C)", [("a-with-b", "d-with-b"), ("a-with-c", "d-with-c")]),
+])
+def test_several_exceptions(text, ways):
+    assert scan.alternatives(scan.to_postfix(text)) == ways
+    row = scan.scan_text(f"SPDX-License-Identifier: {text}", scan.automaton())
+    assert row[5] == ",".join(sorted({x for way in ways for x in way})) and row[7] == [text]
+
+
 def test_tags_add_labels():
     row = scan.scan_text("// SPDX-License-Identifier: MIT OR Apache-2.0\ncode under the Apache License", scan.automaton())
     assert row[4] == "apache" and row[5] == "apache,apache-2.0,mit" and row[6] == 1.0
