@@ -2,14 +2,15 @@
 
 A document is contaminated by a benchmark item if one of its windows of the item's length in words is similar to
 it: weighted Jaccard similarity (each shingle counted as often as it occurs) of word shingles of at least
-`PERCENT` / 100, among the windows whose SimHash is within `RADIUS` bits of the item's.
+`PERCENT` / 100.
 
 1.  Shingles of a text meet those of the items.  A similar window shares at least ceil(t (n + n') / (1 + t))
     of its positions with the item, so pairs with fewer common positions are dropped, then windows with fewer.
-2.  The windows left get a SimHash: per bit, the shingles that have it set are summed, and the majority wins.
-    Each fingerprint is cut into `RADIUS` + 1 blocks; two fingerprints within the radius agree in one block at
-    least, so an equi join on (item, block, value) finds all of them, and the distance is counted on those.
-3.  The similarity is exact, from the common shingles.
+2.  The similarity is exact, from the common shingles: a window that reaches `PERCENT` is a leak.
+3.  Leaks get a SimHash (per bit, the shingles that have it set are summed, and the majority wins), whose distance from
+    the item's is reported.  It decides nothing, as similar windows can differ in more bits than any useful radius.
+    A caller who gives a `radius` gets only leaks within it: fingerprints are cut into radius + 1 blocks, two within the
+    radius agree in one block at least, and the distance is counted on those that an equi join on blocks finds.
 
 Words are lower-cased runs of letters, digits and all that is not ASCII.  An item or window with fewer words than a
 shingle is one shingle; a text shorter than an item is one window.  Null or empty texts and items match
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import WORD_PATTERN, bounded, staged
 
-WORDS, PERCENT, RADIUS = 5, 80, 19
+WORDS, PERCENT = 5, 80
+# Distance that leaks seldom exceed; not applied unless a caller asks for it.
+RADIUS = 19
 
 
 def shingles_of(text, k: int):
@@ -75,7 +78,7 @@ def blocks(finger, radius: int):
         for b, (low, high) in enumerate(zip(edges, edges[1:])))))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, radius: int | None = None) -> DataFrame:
     """(doc_id, mark, item_id, window_start, similarity, distance): the best window of each contaminated document and item.
 
     `docs` has doc_id and text, `items` item_id and text; `mark` is the hash of the document's text, for joining back.
@@ -99,7 +102,7 @@ def contaminated(docs: DataFrame, items: DataFrame, radius: int = RADIUS) -> Dat
     return owners.join(named, "mark").select("doc_id", "mark", "item_id", "window_start", "similarity", "distance")
 
 
-def _of_shingle_size(texts: DataFrame, items: DataFrame, k: int, radius: int) -> DataFrame:
+def _of_shingle_size(texts: DataFrame, items: DataFrame, k: int, radius: int | None) -> DataFrame:
     """(mark, item, window_start, similarity, distance) for the items that have shingles of k words."""
     parts = staged(_positions(items, ["item", "words"], k).select("item", "words", "pos", "h"), "shingles")
     known = parts.groupBy("item", "words", "h").agg(F.count("*").cast("int").alias("times"))
@@ -124,18 +127,21 @@ def _of_shingle_size(texts: DataFrame, items: DataFrame, k: int, radius: int) ->
               .where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("own"))))
     fingers = simhash(inside, ["mark", "item", "start"])
     wanted = simhash(parts.select("item", "h"), ["item"])
-    met = (fingers.select("*", blocks(F.col("finger"), radius).alias("part")).select("mark", "item", "start", "finger", "part.*")
-           .join(bounded(wanted.select("item", F.col("finger").alias("other"), blocks(F.col("finger"), radius).alias("part"))
-                          .select("item", "other", "part.*")), ["item", "block", "value"])
-           .select("mark", "item", "start", F.bit_count(F.col("finger").bitwiseXOR(F.col("other"))).alias("distance")).distinct()
-           .where(F.col("distance") <= radius))
+    distance = F.bit_count(F.col("finger").bitwiseXOR(F.col("other"))).alias("distance")
+    if radius is None:
+        met = fingers.join(bounded(wanted.select("item", F.col("finger").alias("other"))), "item").select("mark", "item", "start", distance)
+    else:
+        met = (fingers.select("*", blocks(F.col("finger"), radius).alias("part")).select("mark", "item", "start", "finger", "part.*")
+               .join(bounded(wanted.select("item", F.col("finger").alias("other"), blocks(F.col("finger"), radius).alias("part"))
+                              .select("item", "other", "part.*")), ["item", "block", "value"])
+               .select("mark", "item", "start", distance).distinct().where(F.col("distance") <= radius))
     best = (met.join(windows, ["mark", "item", "start"]).groupBy("mark", "item")
             .agg(F.max(F.struct("similarity", (-F.col("distance")).alias("d"), (-F.col("start")).alias("s"))).alias("top")))
     return best.select("mark", "item", (-F.col("top.s")).alias("window_start"), F.col("top.similarity").alias("similarity"),
                        (-F.col("top.d")).alias("distance"))
 
 
-def clean(docs: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, radius: int | None = None) -> DataFrame:
     """`docs` without the contaminated ones, all columns kept."""
     bad = bounded(staged(contaminated(docs, items, radius).select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "contaminated"))

@@ -73,6 +73,18 @@ def test_against_all_windows(spark, monkeypatch, seed, bound):
         assert len(near) >= 0.97 * len(want) and all(r.distance <= clean.RADIUS for r in near.values())
 
 
+def test_no_leak_is_lost_by_its_fingerprint(spark):
+    """Items of nine words in documents that hold eight of them: 0.8 similar, some with fingerprints far apart."""
+    rng = random.Random(21)
+    bench = [(k, " ".join(f"w{rng.getrandbits(40)}" for _ in range(9))) for k in range(400)]
+    rows = [(k, text.rsplit(" ", 1)[0]) for k, text in bench]
+    got = clean.contaminated(docs(spark, rows), items(spark, bench)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(k, k) for k, _ in bench]
+    assert all(r.similarity == pytest.approx(0.8) for r in got)
+    assert any(r.distance > clean.RADIUS for r in got)
+    assert clean.clean(docs(spark, rows), items(spark, bench)).count() == 0
+
+
 def test_blocks_find_every_pair_within_the_radius(spark):
     rng = random.Random(3)
     pairs = []
