@@ -1,22 +1,22 @@
 """Main text of web pages: site template removal on hashed element subtrees.
 
-A page is read once into blocks of text and the elements that hold them.  Every element subtree outside a declared
-article gets a hash of its tags and texts; Spark counts in how many different pages of a host each hash occurs, and
-subtrees that recur across many pages of their host are deleted.  Where the page declares its article (`article`,
-`main` or role main), the text is that element without the parts marked as menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles or reader comments; nothing else is dropped from it, so a paragraph that
-many articles quote stays.  Where it declares none, the text is the body without marked parts and without the
-recurring subtrees.
+A page is read once into blocks of text and the elements that hold them.  Every block element outside a declared
+article, and every structural container (`div`, `section`, lists, tables) inside one, gets a hash of the tags and texts of
+its subtree; Spark counts in how many different pages of a host each hash occurs, and subtrees that occur in `MIN_PAGES`
+of them are deleted, however many pages the host has.  Where the page declares its article (`article`, `main` or role
+main), the text is that element without the parts marked as menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles or reader comments, and without recurring containers; a paragraph that many articles quote stays.  Where
+it declares none, the text is the body without marked parts and without the recurring subtrees.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are trimmed, empty ones
 dropped, and the rest joined in page order by one line feed.  An inline element or a `br` ends no block
 (`br` counts as white space).  An element that is never closed hides nothing but scripts and styles; a tag cut
 off by the end of the page is no text.
 
-Null or empty html gives an empty text.  A null url is a host of its own.  Identical pages count as one page for the
+Null or empty html gives an empty text.  A null url is a host of its own.  Pages of the same text count as one page for the
 recurrence, so copies of an article never make it a template.  Repeated rows give repeated results; columns
 besides id, url and html are not read.  Memory is one batch of pages; hot hosts are counted by partial
-aggregation, and only pages without a declared article are joined with counts.
+aggregation, and only pages whose text lies in counted subtrees are joined with counts.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import staged
 
-# A subtree is template if at least so many different pages of its host, and such a share of them, hold it.
-MIN_PAGES, MIN_SHARE = 5, 0.2
+# A subtree is template if at least so many different pages of its host hold it.
+MIN_PAGES = 5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -50,6 +50,8 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section summary table tbody td tfoot th thead title tr ul caption".split())
+# Elements inside an article that may be template.
+_CONTAINERS = frozenset("center details div dl ol section table ul".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion menu navbar navigation nav "
@@ -88,16 +90,16 @@ def _marked(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
 
 
 class Page:
-    """Blocks of one page, and the elements outside a declared article.
+    """Blocks of one page, and the elements that may be template.
 
     texts[i] belongs to element nodes[i]; element n has hash hashes[n] and lies in parents[n] (-1: none).
-    If `declared`, the blocks are those of the article and the elements serve the count alone.
+    If `declared`, the blocks are those of the article; elements outside it serve the count alone.
     """
 
     def __init__(self, source: str):
         self.hashes, self.parents = [], []
         self.declared = False
-        inside, outside, nodes = [], [], []
+        inside, outside, inner, nodes = [], [], [], []
         pieces, stack, open_tags, unclosed = [], [], {}, set()
         hidden = articles = 0
         low = source.lower() if source.isascii() else None
@@ -110,6 +112,9 @@ class Page:
             if text and not hidden:
                 if articles:
                     inside.append(text)
+                    inner.append(stack[-1][3])
+                    if stack[-1][3] >= 0:
+                        stack[-1][4].append(text)
                 else:
                     outside.append(text)
                     nodes.append(stack[-1][3] if stack else -1)
@@ -118,11 +123,11 @@ class Page:
 
         def pop():
             nonlocal hidden, articles
-            tag, hides, root, node, parts = stack.pop()
+            tag, hides, root, node, parts, owns = stack.pop()
             open_tags[tag] -= 1
             hidden -= hides
             articles -= root
-            if node >= 0:
+            if owns:
                 digest = xxhash.xxh64_intdigest("\x1f".join([tag, *parts]).encode("utf-8", "replace"))
                 self.hashes[node] = digest - (1 << 63)
                 if stack and stack[-1][3] >= 0:
@@ -200,19 +205,24 @@ class Page:
             self.declared |= root
             if not (block or hides or hidden):
                 continue  # an inline element neither ends a block nor hides anything
-            node = -1
-            if block and not (articles or root or hidden or hides):
-                node = len(self.hashes)
-                self.hashes.append(0)
-                self.parents.append(stack[-1][3] if stack else -1)
-            stack.append([tag, int(hides), int(root), node, []])
+            node, parts, owns = -1, [], False
+            if not (hidden or hides):
+                if block and (tag in _CONTAINERS and not root if articles else not root):
+                    node, owns = len(self.hashes), True
+                    self.hashes.append(0)
+                    self.parents.append(stack[-1][3] if stack else -1)
+                elif articles:  # what it holds belongs to the container around it, if there is one in the article
+                    node, parts = stack[-1][3], stack[-1][4]
+                    if node >= 0:
+                        parts.append(f"\x1d{tag}")
+            stack.append([tag, int(hides), int(root), node, parts, owns])
             open_tags[tag] = open_tags.get(tag, 0) + 1
             hidden += hides
             articles += root
         flush()
         while stack:
             pop()
-        self.texts, self.nodes = (inside, []) if self.declared else (outside, nodes)
+        self.texts, self.nodes = (inside, inner) if self.declared else (outside, nodes)
 
 
     def text(self, templates=frozenset()) -> str:
@@ -258,21 +268,20 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(page_id, url, text) for each row of `pages` (page_id, url, html)."""
     source = F.coalesce(F.col("html").cast("string"), F.lit(""))
     narrow = pages.select("page_id", F.col("url").cast("string").alias("url"), source.alias("html"),
                           host_of(F.col("url").cast("string")).alias("host"), F.xxhash64(source).alias("key"))
     kind = narrow.schema["page_id"].dataType.simpleString()
     parsed = staged(narrow.mapInArrow(_parse, f"page_id {kind}, url string, host string, key long, {_PARSED}"), "pages")
-    hosts = parsed.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    seen = (parsed.select("host", "key", F.explode("hashes").alias("hash")).distinct()
-            .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
-    recurring = (seen.join(hosts, "host").where(F.col("n") >= F.col("pages") * min_share).select("host", "hash"))
-    rest = parsed.where("not declared")
+    recurring = (parsed.select("host", F.xxhash64("texts").alias("same"), F.explode("hashes").alias("hash")).distinct()
+                 .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "hash"))
+    concerned = F.exists("nodes", lambda n: n >= 0)
+    rest = parsed.where(concerned)
     hits = (rest.select("host", "key", F.explode("hashes").alias("hash")).distinct().join(recurring, ["host", "hash"])
             .groupBy("host", "key").agg(F.collect_list("hash").alias("templates")))
     cleaned = (rest.join(hits, ["host", "key"], "left").select("page_id", "url", "texts", "nodes", "hashes", "parents", "templates")
                .mapInArrow(_write, f"page_id {kind}, url string, text string"))
-    whole = parsed.where("declared").select("page_id", "url", F.array_join("texts", "\n").alias("text"))
+    whole = parsed.where(~concerned).select("page_id", "url", F.array_join("texts", "\n").alias("text"))
     return whole.unionByName(cleaned)

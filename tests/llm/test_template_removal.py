@@ -46,6 +46,19 @@ def test_recurring_subtrees_go(spark):
     assert all(out[200 + k] == f"quoted line\n{k}" for k in range(30))  # a declared article keeps what it quotes
 
 
+def test_a_large_host_keeps_no_template(spark):
+    """A notice on 12 of 200 pages of a host goes, in an article or not; wrappers never take the article along."""
+    rows = []
+    for k in range(200):
+        notice = "<div><p>Members only</p><ul><li>Join</ul></div>" if k < 12 else ""
+        own = f"<div><section><p>text {k}</p></section></div><p>quoted line</p>"
+        rows.append((k, f"http://a.org/{k}", f"<div><main>{own}{notice}</main></div>" if k % 2 else f"{notice}<div><p>text {k}</p></div>"))
+    rows += [(300 + k, f"http://b.org/{k}", f"<title>{k}</title><i>{k}</i><article><div><p>copied</p></div></article>") for k in range(9)]
+    out = {r.page_id: r.text for r in html.main_texts(pages(spark, rows)).collect()}
+    assert all(out[k] == (f"text {k}\nquoted line" if k % 2 else f"text {k}") for k in range(200))
+    assert {out[300 + k] for k in range(9)} == {"copied"}
+
+
 def test_awkward_rows(spark):
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     rows = [(1, None, "<p>a"), (None, "no url", None), (2, "http://H.org:80/x", "<p>a"), (2, "http://H.org:80/x", "<p>a"), (3, "http://h.org", deep),
