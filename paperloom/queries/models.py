@@ -79,12 +79,12 @@ def doc_vectors(t):
 
 @query("SELECT true AS complete, true AS finite, true AS laid_out")
 def phrase_word_vectors(t):
-    """Word vectors of a corpus with merged phrases, and the layout of that vocabulary."""
+    """At the defaults of `phrase_words`: word vectors of a corpus with merged phrases, and the layout of that vocabulary."""
     tokens = stored_tokens(t)
-    words = staged(E.word_table(phrase_words(tokens, width=50, iterations=1, partitions=WORKERS, seed=1)), "words")
+    words = staged(E.word_table(phrase_words(tokens, partitions=WORKERS, seed=1)), "words")
     xy = staged(Y.layout(words, key="word"), "layout")
     n, merged = words.count(), words.filter(F.contains("word", F.lit("_"))).count()
-    good = words.filter(~F.exists("vector", lambda x: x.isNull() | F.isnan(x))).count()
+    good = words.filter((F.size("vector") == 100) & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x))).count()
     placed = xy.filter(~F.isnan("x") & ~F.isnan("y")).count()
     return t.spark.range(1).select(
         F.lit(n > 0 and merged > 0).alias("complete"), F.lit(good == n).alias("finite"), F.lit(placed == n).alias("laid_out"))

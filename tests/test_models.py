@@ -102,3 +102,19 @@ def test_bow_drops_unknown_tokens(spark, tokens):
     kept = bow.bag_of_words(counts, vocab).agg(F.sum("cnt")).first()[0]
     stars = counts.filter("token = 'star'").agg(F.sum("cnt")).first()[0]
     assert kept == total - stars
+
+
+def test_phrase_query_trains_at_the_defaults(spark, monkeypatch):
+    from paperloom.queries import models
+
+    asked = {}
+
+    def stop(tokens, **settings):
+        asked.update(settings)
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "stored_tokens", lambda t: None)
+    monkeypatch.setattr(models, "phrase_words", stop)
+    with pytest.raises(InterruptedError):
+        models.phrase_word_vectors(None)
+    assert asked.keys() <= {"partitions", "seed"}  # width, window and iterations are those of phrase_words
