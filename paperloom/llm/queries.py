@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
-from paperloom.llm import (decontamination, jaccard_join, language_id, license_scan, packing, rotated_codes, suffix_dedup,
+from paperloom.llm import (decontamination, jaccard_join, language_id, license_scan, packing, periodic_runs, rotated_codes, suffix_dedup,
                            template_removal, token_files, url_lists)
 from paperloom.llm.common import read_table
 
@@ -120,9 +122,32 @@ def op10_language_id(spark, sf_dir):
         "doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
 
 
+def looped(doc_id, words):
+    """The words of every tenth id by hash, from some word on a repetition of those that follow it."""
+    h = zlib.crc32(str(doc_id).encode())
+    n = len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a: a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op12_periodic_runs(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(docs, prepare=looped)
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.n")).alias("length"),
+        F.col("best.period").alias("period"), F.floor(F.expr("(-best.n * 1000) div best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries():
     made = (op1_license_scan, op2_suffix_dedup, op3_vector_packing, op4_rotated_codes, op5_url_lists, op6_token_files,
-            op7_template_removal, op8_jaccard_join, op9_decontamination, op10_language_id)
+            op7_template_removal, op8_jaccard_join, op9_decontamination, op10_language_id, op12_periodic_runs)
     return {f.__name__: f for f in made}
 
 
