@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 from pyspark.sql import functions as F
 
-from paperloom.llm import (decontamination, jaccard_join, language_id, license_scan, packing, periodic_runs, rotated_codes, suffix_dedup,
-                           template_removal, token_files, url_lists)
+from paperloom.llm import (ball_codes, decontamination, jaccard_join, language_id, license_scan, packing, periodic_runs, rotated_codes,
+                           suffix_dedup, template_removal, token_files, url_lists)
 from paperloom.llm.common import read_table
+from paperloom.operators.skew import fits_broadcast
 
 
 def tokenizer(name: str) -> str:
@@ -145,9 +147,19 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_ball_codes(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = ball_codes.compress(vectors)
+    sums = coded.groupBy("label").agg(F.sum("error").alias("label_error"))
+    sums = F.broadcast(sums) if fits_broadcast(sums) else sums
+    sha = hashlib.sha256(ball_codes.books_text(books).encode()).hexdigest()
+    return (coded.join(sums.withColumnRenamed("label", "of"), F.col("label").eqNullSafe(F.col("of")))
+            .select("vec_id", ball_codes.code_text().alias("code"), "error", "label_error", F.lit(sha).alias("codebooks_sha256")))
+
+
 def queries():
     made = (op1_license_scan, op2_suffix_dedup, op3_vector_packing, op4_rotated_codes, op5_url_lists, op6_token_files,
-            op7_template_removal, op8_jaccard_join, op9_decontamination, op10_language_id, op12_periodic_runs)
+            op7_template_removal, op8_jaccard_join, op9_decontamination, op10_language_id, op12_periodic_runs, op13_ball_codes)
     return {f.__name__: f for f in made}
 
 
