@@ -7,8 +7,8 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from paperloom.llm import (ball_codes, decontamination, jaccard_join, language_id, license_scan, packing, periodic_runs, rotated_codes,
-                           suffix_dedup, template_removal, token_files, url_lists)
+from paperloom.llm import (ball_codes, chunked_tokens, decontamination, jaccard_join, language_id, license_scan, packing, periodic_runs,
+                           rotated_codes, suffix_dedup, template_removal, token_files, url_lists)
 from paperloom.llm.common import read_table
 from paperloom.operators.skew import fits_broadcast
 
@@ -124,6 +124,12 @@ def op10_language_id(spark, sf_dir):
         "doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
 
 
+def op11_chunked_tokens(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunked_tokens.encode(docs, tokenizer("byte_bpe_50k.json"), decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def looped(doc_id, words):
     """The words of every tenth id by hash, from some word on a repetition of those that follow it."""
     h = zlib.crc32(str(doc_id).encode())
@@ -159,7 +165,7 @@ def op13_ball_codes(spark, sf_dir):
 
 def queries():
     made = (op1_license_scan, op2_suffix_dedup, op3_vector_packing, op4_rotated_codes, op5_url_lists, op6_token_files,
-            op7_template_removal, op8_jaccard_join, op9_decontamination, op10_language_id, op12_periodic_runs, op13_ball_codes)
+            op7_template_removal, op8_jaccard_join, op9_decontamination, op10_language_id, op11_chunked_tokens, op12_periodic_runs, op13_ball_codes)
     return {f.__name__: f for f in made}
 
 
