@@ -19,7 +19,7 @@ from paperloom.queries.markup import escaped
 from paperloom.queries.reconciliation import logged
 from paperloom.queries.registry import Tables, query
 from paperloom.session import scratch_path, staged
-from paperloom.sources import archives as A, files, sinks, tables, xml_records as X
+from paperloom.sources import archives as A, files, ranges, sinks, submission_files, tables, xml_records as X
 
 
 def record_xml(t: Tables):
@@ -278,23 +278,56 @@ def _pack(frames):
         yield pd.DataFrame({"path": [f"src/{frame['doc_id'].iloc[0]}.tar"], "content": [outer.getvalue()]})
 
 
-def packed(t: Tables):
-    return t.documents.select("doc_id", "text").mapInPandas(_pack, "path string, content binary")
+def packed(t: Tables, condition="true"):
+    return t.documents.where(condition).select("doc_id", "text").mapInPandas(_pack, "path string, content binary")
 
 
-@query("""
+def land(archives, root: str, group: str) -> None:
+    """Put archives (path, content) into a landing folder as files `root/<group>/...`, over files of the same names."""
+    archives.sparkSession.dataSource.register(submission_files.SubmissionFiles)
+    name = F.concat(F.lit(f"{group}-"), F.regexp_extract("path", "([0-9]+)[.]tar$", 1))
+    archives.select(F.lit(group).alias("archive"), F.lit("tars").alias("submission_id"), F.concat(name, F.lit(".tar")).alias("inner_path"),
+                    "content").write.format(submission_files.FORMAT).mode("append").save(root)
+
+
+ARCHIVE_FILES_SQL = """
 SELECT CAST(doc_id AS VARCHAR) AS submission_id, CASE WHEN doc_id % 4 = 1 THEN doc_id || '.tex' ELSE path END
          AS inner_path,
        CASE WHEN doc_id % 4 <> 1 AND path = 'figs/a.eps' THEN md5('eps') ELSE md5(text) END AS digest
 FROM documents, (VALUES ('ms.tex'), ('figs/a.eps')) v(path)
-WHERE doc_id % 4 <> 0 AND NOT (doc_id % 4 = 1 AND path = 'figs/a.eps')
-  AND doc_id IN (SELECT doc_id FROM labels)""")
+WHERE doc_id % 4 <> 0 AND NOT (doc_id % 4 = 1 AND path = 'figs/a.eps')"""
+
+
+def label_ids(t: Tables):
+    return logged(t).withColumnRenamed("submission_id", "filename_parsed")
+
+
+@query(f"{ARCHIVE_FILES_SQL} AND doc_id IN (SELECT doc_id FROM labels)")
 def archive_files(t):
-    ids = logged(t).withColumnRenamed("submission_id", "filename_parsed")
-    inner = A.explode_archives(packed(t), ids)
+    inner = A.explode_archives(packed(t), label_ids(t))
     return inner.select("submission_id", "inner_path", F.md5("content").alias("digest"))
 
 
+@query(f"{ARCHIVE_FILES_SQL} AND doc_id IN (SELECT doc_id FROM labels)")
+def split_archives(t):
+    """Archives as files, each read by several tasks through an index of its members."""
+    root = scratch_path(t.spark, "landing")
+    land(packed(t), root, "all")
+    inner = ranges.explode_split_archives(t.spark, root, label_ids(t), split_bytes=1 << 18)
+    return inner.select("submission_id", "inner_path", F.md5("content").alias("digest"))
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS submission_id, CASE WHEN doc_id % 4 = 1 THEN doc_id || '.tex' ELSE 'ms.tex' END AS inner_path,
+       md5(text) AS digest FROM documents WHERE doc_id % 4 <> 0""")
+def submission_tree_files(t):
+    """Extracted sources written one file each and found again in the tree."""
+    root = scratch_path(t.spark, "submissions")
+    submission_files.write_submission_files(A.tex_files(A.inner_files(A.spread_members(A.tar_members(packed(t))))), root)
+    tree = files.read_submission_tree(t.spark, root)
+    return tree.select("submission_id", "inner_path", F.md5("content").alias("digest"))
+
+
 @query("""
 SELECT CAST(doc_id AS VARCHAR) AS submission_id, CASE WHEN doc_id % 4 = 0 THEN 'pdf' ELSE 'gz' END AS kind
 FROM documents""")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from paperloom.queries.registry import query
-from paperloom.queries.sources import landed_pages
-from paperloom.queries.sources import RECORDS_SQL
+from paperloom.queries.sources import ARCHIVE_FILES_SQL, RECORDS_SQL, label_ids, land, landed_pages, packed
 from paperloom.session import scratch_path
-from paperloom.streaming import incremental as I
+from paperloom.streaming import incremental as I, landing as L
 
 
 @query("""
@@ -35,3 +35,41 @@ def incremental_harvest(t):
         I.ingest_records(t.spark, pages, f"{root}/table", f"{root}/checkpoint")
     rows = t.spark.read.option("basePath", f"{root}/table").parquet(f"{root}/table/batch=*")
     return rows.select("identifier", "filename_parsed", F.md5("abstract").alias("abstract"))
+
+
+def _dies(batch_id):
+    raise RuntimeError(f"lost after batch {batch_id} was written")
+
+
+def _files(t, table):
+    return L.landed_files(t.spark, table).filter("kind = 'file'").select(
+        "submission_id", "inner_path", F.md5("content").alias("digest"), "attempt")
+
+
+@query(f"""
+SELECT *, 1 AS attempt FROM ({ARCHIVE_FILES_SQL} AND doc_id IN (SELECT doc_id FROM labels))""")
+def archive_stream(t):
+    """Archives land twice.  The first batch dies before it is committed; every archive is in the table once all the same."""
+    root = scratch_path(t.spark, "archives")
+    land(packed(t, "doc_id % 2 = 0"), f"{root}/landing", "even")
+    run = lambda end=None: L.ingest_landed(t.spark, f"{root}/landing", label_ids(t), f"{root}/table", f"{root}/state", before_commit=end)
+    try:
+        run(_dies)
+    except StreamingQueryException:
+        land(packed(t, "doc_id % 2 = 1"), f"{root}/landing", "odd")
+    for _ in range(2):
+        run()
+    return _files(t, f"{root}/table")
+
+
+@query(f"SELECT submission_id, inner_path, digest, CAST(submission_id AS BIGINT) % 2 + 1 AS attempt FROM ({ARCHIVE_FILES_SQL})")
+def archive_retry(t):
+    """Half of the archives land cut off, are reported, and are read again once they are whole."""
+    root = scratch_path(t.spark, "archives")
+    odd = packed(t, "doc_id % 2 = 1")
+    land(packed(t, "doc_id % 2 = 0"), f"{root}/landing", "even")
+    land(odd.withColumn("content", F.expr("substring(content, 1, length(content) * 2 div 3)")), f"{root}/landing", "odd")
+    for _ in range(2):
+        L.ingest_landed(t.spark, f"{root}/landing", None, f"{root}/table", f"{root}/state", split_bytes=1 << 18)
+        land(odd, f"{root}/landing", "odd")
+    return _files(t, f"{root}/table").withColumn("attempt", F.col("attempt").cast("long"))
