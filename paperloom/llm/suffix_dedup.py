@@ -11,8 +11,11 @@ trigger that all its windows contain, then by the whole phrase.  In that order
   * a phrase alone with its core has no window that occurs elsewhere, and is done;
   * a phrase that occurs more than once is removed as a whole;
   * where a core has several different phrases, one occurrence of each of them (the dictionary) has its windows
-    sorted, which finds the parts that different phrases share.
-Occurrences need no further work: only dictionary phrases are looked at window by window, whatever the repetition.
+    sorted, which finds the parts that different phrases share;
+  * phrases of a core with very many of them are first cut into bands of `BAND` windows.  The bytes that all windows of a
+    band contain are its core, so the same three steps are taken once more with cores that are more than twice as long.
+Occurrences need no further work: only dictionary phrases are looked at window by window, whatever the repetition.  What
+is found are runs of windows, at each step: no more than one for a band, however often a text recurs with small changes.
 Equal fingerprints are taken for equal strings: 64 bits for a core, 64 more for a phrase in it, twice 64 for a window.
 
 Texts are UTF-8 bytes; matches never cross documents.  Equal texts are found by their hashes first, and a task
@@ -33,8 +36,9 @@ from paperloom.llm.common import Powers, mixed, staged
 
 WINDOW, REACH, GRAM = 200, 120, 16
 SEGMENT = 1 << 20
-# Dictionary entries of one core that are compared in one task; those of a more crowded core are spread by window.
+# Dictionary entries of one core that are compared together; those of a more crowded core are divided into bands first.
 CROWD = 1000
+BAND = 16
 _one, _two = Powers(0x9E3779B97F4A7C15), Powers(0xD1342543DE82EF95)
 
 
@@ -56,9 +60,18 @@ class Parse:
         place = ((self.at - self.first) << 20 | (self.at - self.last) & 0xFFFFF).astype(np.uint64)
         self.phrase = mixed(phrase + mixed(place))
 
-    def windows(self, starts):
-        ends = starts + self.window
-        return mixed(_one.between(self.one, starts, ends)), mixed(_two.between(self.two, starts, ends))
+    def bands(self, own):
+        """(core, phrase, first, last) of the bands of some phrases; they lie at fixed distances from the trigger, so that
+        equal ones meet."""
+        low, high = (self.at[own] - x[own] for x in (self.last, self.first))
+        count = high // BAND - low // BAND + 1
+        phrase = np.repeat(np.arange(len(own)), count)
+        at, band = self.at[own][phrase], _ranges(low // BAND, count)
+        first, last = at - np.minimum(band * BAND + BAND - 1, high[phrase]), at - np.maximum(band * BAND, low[phrase])
+        near = at - band * BAND
+        core = mixed(_one.between(self.one, near, near + self.window - BAND + 1) + mixed(band.astype(np.uint64)))
+        place = ((near - first) << 20 | (near - last) & 0xFFFFF).astype(np.uint64)
+        return core, mixed(_two.between(self.two, first, last + self.window) + mixed(place)), first, last
 
 
 def _sliding_least(key: np.ndarray, width: int) -> np.ndarray:
@@ -131,12 +144,13 @@ def phrases(texts: DataFrame, window: int, reach: int) -> DataFrame:
     return texts.select("mark", "text").mapInArrow(run, "core long, phrase long, mark long, at long")
 
 
-_ENTRY = [("key", pa.int64()), ("two", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("string", pa.binary())]
+_ENTRY = [("key", pa.int64()), ("phrase", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("string", pa.binary())]
 
 
 def dictionary_entries(chosen: DataFrame, window: int, reach: int) -> DataFrame:
-    """Of chosen phrases (mark, text, few, many): a row with core and string for those of a small core group, else a
-    row with fingerprints for each window, so that a crowded core is spread.  Copies of a text are read once a task."""
+    """Of chosen phrases (mark, text, few, many): a row with core and string for those of a small core group, and for the
+    others one for each band, whose core is what all its windows contain.  Bands alone have a phrase (the hash of their
+    bytes).  Copies of a text are read once a task."""
     def run(batches):
         known = set()
         for batch in batches:
@@ -149,20 +163,19 @@ def dictionary_entries(chosen: DataFrame, window: int, reach: int) -> DataFrame:
                     at = parse.at + offset
                     own = np.flatnonzero(np.isin(at, np.array(few, np.int64)))
                     if len(own):
-                        first, last = parse.first[own] + offset, parse.last[own] + offset
-                        strings = [raw[f: e + window].tobytes() for f, e in zip(first.tolist(), last.tolist())]
-                        yield _rows([_signed(parse.core[own]), pa.nulls(len(own), pa.int64()), np.full(len(own), mark), first,
-                                     last - first + 1, strings], [n for n, _ in _ENTRY], [k for _, k in _ENTRY])
+                        yield rows(mark, raw, parse.core[own], None, parse.first[own] + offset, parse.last[own] + offset)
                     own = np.flatnonzero(np.isin(at, np.array(many, np.int64)))
                     if len(own):
-                        size = parse.last[own] - parse.first[own] + 1
-                        starts = _ranges(parse.first[own], size)
-                        one, two = parse.windows(starts)
-                        yield _rows([_signed(one), _signed(two), np.full(len(starts), mark), starts + offset, np.ones(len(starts), np.int64),
-                                     pa.nulls(len(starts), pa.binary())], [n for n, _ in _ENTRY], [k for _, k in _ENTRY])
+                        core, whole, first, last = parse.bands(own)
+                        yield rows(mark, raw, core, whole, first + offset, last + offset)
+
+    def rows(mark, raw, core, phrase, first, last):
+        strings = [raw[f: e + window].tobytes() for f, e in zip(first.tolist(), last.tolist())]
+        phrase = pa.nulls(len(first), pa.int64()) if phrase is None else _signed(phrase)
+        return _rows([_signed(core), phrase, np.full(len(first), mark), first, last - first + 1, strings], [n for n, _ in _ENTRY], [k for _, k in _ENTRY])
 
     return (chosen.select("mark", "text", "few", "many")
-            .mapInArrow(run, "key long, two long, mark long, start long, windows long, string binary"))
+            .mapInArrow(run, "key long, phrase long, mark long, start long, windows long, string binary"))
 
 
 def _ranges(first, size):
@@ -195,50 +208,43 @@ def _same_in_dictionary(marks, starts, sizes, strings, window):
 
 
 def shared_windows(entries: DataFrame, window: int) -> DataFrame:
-    """(mark, start, n): runs of windows of dictionary entries that stand elsewhere too."""
+    """(mark, start, n): runs of windows of dictionary entries that stand elsewhere too.
+
+    Bands that recur are runs as they are; of each different band of a core one goes on to be compared.
+    """
     names, kinds = ["mark", "start", "n"], [pa.int64()] * 3
+    place = F.struct("mark", "start")
+    bands = entries.where("phrase is not null")
+    kinds_of = bands.groupBy("key", "phrase").agg(
+        F.min(place).alias("least"), F.max(place).alias("most"), F.min_by(F.struct("mark", "start", "windows", "string"), place).alias("one"))
+    again = (bands.select("key", "phrase", "mark", "start", F.col("windows").alias("n"))
+             .join(kinds_of.where("least <> most").select("key", "phrase"), ["key", "phrase"], "left_semi").select("mark", "start", "n"))
+    parts = ["key", "mark", "start", "windows", "string"]
+    single = entries.where("phrase is null").select(*parts).unionByName(kinds_of.select("key", "one.*"))
 
     def run(batches):
         held, size, key = [], 0, None
-        last, kept = None, False  # the last single window, and whether it was returned
         for batch in batches:
-            cut = int(batch.column(5).null_count)
-            strings, singles = batch.slice(0, batch.num_rows - cut), batch.slice(batch.num_rows - cut)
-            if strings.num_rows:
-                keys = strings.column(0).to_numpy()
-                borders = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-                for b, e in zip(borders, borders[1:]):
-                    if held and keys[b] != key and size > 300_000:
-                        yield flush(held)
-                        held, size = [], 0
-                    key = keys[b]
-                    held.append(strings.slice(b, e - b))
-                    size += int(held[-1].column(4).to_numpy().sum())
-            if singles.num_rows:
-                out = []
-                for row in zip(*(singles.column(i).to_pylist() for i in range(4))):
-                    same = last is not None and row[:2] == last[:2]
-                    if same and row != last:
-                        if not kept:
-                            out.append(last[2:])
-                        out.append(row[2:])
-                        kept = True
-                    elif not same:
-                        kept = False
-                    last = row
-                if out:
-                    marks, starts = zip(*out)
-                    yield _rows([list(marks), list(starts), [1] * len(out)], names, kinds)
+            keys = batch.column(0).to_numpy()
+            borders = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
+            for b, e in zip(borders, borders[1:]):
+                if held and keys[b] != key and size > 300_000:
+                    yield flush(held)
+                    held, size = [], 0
+                key = keys[b]
+                held.append(batch.slice(b, e - b))
+                size += int(held[-1].column(3).to_numpy().sum())
         if held:
             yield flush(held)
 
     def flush(held):
         together = pa.Table.from_batches(held).combine_chunks()
-        marks, starts, sizes = (together.column(i).to_numpy() for i in (2, 3, 4))
-        return _rows(_same_in_dictionary(marks, starts, sizes, together.column(5).to_pylist(), window), names, kinds)
+        marks, starts, sizes = (together.column(i).to_numpy() for i in (1, 2, 3))
+        return _rows(_same_in_dictionary(marks, starts, sizes, together.column(4).to_pylist(), window), names, kinds)
 
-    return (entries.repartition("key").sortWithinPartitions(F.col("string").isNull(), "key", "two", "mark", "start")
-            .mapInArrow(run, "mark long, start long, n long"))
+    compared = (single.repartition("key").sortWithinPartitions("key")
+                .mapInArrow(run, "mark long, start long, n long"))
+    return compared.unionByName(again)
 
 
 def removed_bytes(text: str | None, window: int, reach: int, whole: bool, phrase_at, runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -300,7 +306,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         places(F.col("repeated")).alias("repeated"), places(F.col("entry") & (F.col("entries") <= CROWD)).alias("few"),
         places(F.col("entry") & (F.col("entries") > CROWD)).alias("many")), "phrases")
     chosen = texts.join(flags.where("size(few) + size(many) > 0").select("mark", "few", "many"), "mark")
-    shared = (shared_windows(dictionary_entries(chosen, window, reach), window)
+    entries = staged(dictionary_entries(chosen, window, reach), "dictionary")
+    shared = (shared_windows(entries, window)
               .groupBy("mark").agg(F.collect_set(F.struct("start", "n")).alias("runs")))
     nothing, no_runs = F.array().cast("array<bigint>"), F.array().cast("array<struct<start: bigint, n: bigint>>")
     known = (flags.select("mark", "repeated", no_runs.alias("runs"), nothing.alias("copies"))

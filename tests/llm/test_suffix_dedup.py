@@ -43,15 +43,48 @@ def corpus(seed):
     return texts
 
 
-@pytest.mark.parametrize("seed, crowd", [(1, 1000), (2, 1000), (3, 1)])
+@pytest.mark.parametrize("seed, crowd", [(1, 1000), (2, 1000), (3, 1), (4, 0)])
 def test_against_all_windows(spark, monkeypatch, seed, crowd):
-    monkeypatch.setattr(dedup, "CROWD", crowd)  # 1: windows of crowded cores are spread
+    monkeypatch.setattr(dedup, "CROWD", crowd)  # 1 and 0: phrases are cut into bands
     texts = corpus(seed) + [t for _, t in awkward()[:5]] + ["ab" * 300, "ab" * 300 + "c", "é" * 150, "x" + "é" * 150]
     got = {r.doc_id: (r.n_bytes, sum(s["end"] - s["start"] for s in r.spans), bytes(r.kept))
            for r in dedup.find_repeats(docs(spark, list(enumerate(texts)), clashing=True)).collect()}
     assert got == dict(enumerate(brute(texts, 200)))
 
 
+def near_copies(n):
+    rng = random.Random(n)
+    words = sentence(rng, 150).split()
+    texts = []
+    for _ in range(n):
+        own = list(words)
+        for k in rng.sample(range(len(own)), 2):
+            own[k] = sentence(rng, 1)
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_rows_grow_with_a_group_of_near_copies(spark, monkeypatch):
+    """The rows found grow in proportion, on both sides of the number from which phrases are cut into bands."""
+    made = {}
+    found = dedup.shared_windows
+
+    def counted(entries, window):
+        rows = found(entries, window)
+        made["runs"] = rows.count()
+        return rows
+
+    monkeypatch.setattr(dedup, "shared_windows", counted)
+    rows = {}
+    for n in (500, 2000):
+        texts = near_copies(n)
+        got = {r.doc_id: (r.n_bytes, sum(s["end"] - s["start"] for s in r.spans), bytes(r.kept))
+               for r in dedup.find_repeats(docs(spark, list(enumerate(texts)))).collect()}
+        assert got == dict(enumerate(brute(texts, 200)))
+        rows[n] = made["runs"]
+    assert rows[2000] <= 6 * rows[500]
+
+
 def test_segments_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(dedup, "SEGMENT", 500)
     texts = corpus(5)
