@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from paperloom.functions.fields import first_category
 from paperloom.functions.paths import base_name, stem
+from paperloom.operators.skew import lookup
 from paperloom.operators.windows import first_per_group
+from paperloom.session import staged
 
-LONGEST_ANCHOR = 32
+# Characters of the grams that substring membership looks identifiers up by, and what a cell of a frequent gram holds.
+GRAM = 6
+CELL_IDS, CELL_TEXTS = 1024, 16_384
 
 
 def known_members(members: DataFrame, identifiers: DataFrame, member_key: str = "submission_id",
@@ -31,55 +35,67 @@ def contained_members(members: DataFrame, identifiers: DataFrame, member_key: st
     With `dot_is_wildcard` a dot in the member id matches any one character, as
     it does in a regular expression; every other character stands for itself.
 
-    This is not done by comparing every member with every identifier.  Each
-    member id has an anchor, its longest stretch without a wildcard (the first
-    32 characters of it).  Identifiers are cut into pieces of just the anchor
-    lengths that occur, members meet them in an equi join on the piece, and the
-    full test is checked inside the join.
+    Identifiers are looked up by grams, stretches of up to `GRAM` characters.  Grams that members have are counted over all
+    identifiers, and a member is looked up at its rarest one; wildcards leave grams out.  A member that has a gram that no
+    identifier has is done, and so is one that is a gram itself.  The others meet the identifiers of their rarest gram,
+    where the full test is made inside a semi join; a gram that many have on both sides is split into a grid of cells,
+    so that a cell holds no more than `CELL_IDS` members and `CELL_TEXTS` identifiers on average.
     """
-    wildcard = dot_is_wildcard
-    ids = members.select(F.col(member_key).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
-    texts = identifiers.select(F.col(id_key).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+    named = members.select(F.col(member_key).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    texts = staged(identifiers.select(F.col(id_key).alias("_text")).filter(F.col("_text").isNotNull()).distinct(), "identifiers")
 
-    stretches = F.split("_id", r"\.") if wildcard else F.array("_id")
-    longest = F.reduce(
-        stretches, F.lit(""), lambda best, s: F.when(F.length(s) > F.length(best), s).otherwise(best)
-    )
-    anchored = ids.withColumn("_anchor", F.left(longest, F.lit(LONGEST_ANCHOR)))
+    stretches = F.split("_id", r"\.") if dot_is_wildcard else F.array("_id")
+    longest = F.array_max(F.transform(stretches, lambda s: F.length(s)))
     test = F.contains("_text", "_id")
-    if wildcard:
+    pattern = F.lit(None).cast("string")
+    if dot_is_wildcard:
         # each stretch is quoted, so only the dots keep a special meaning
-        quoted = F.concat(
-            F.lit(r"(?s)\Q"), F.array_join(F.split("_id", r"\."), r"\E[^\n]\Q"), F.lit(r"\E")
-        )
-        anchored = anchored.withColumn("_pattern", quoted)
+        pattern = F.concat(F.lit(r"(?s)\Q"), F.array_join(stretches, r"\E[^\n]\Q"), F.lit(r"\E"))
         test = F.expr("_text rlike _pattern")
-
-    with_anchor = anchored.filter(F.col("_anchor") != "")
-    lengths = with_anchor.agg(
-        F.coalesce(F.collect_set(F.length("_anchor")), F.array().cast("array<int>"))
-    ).scalar()
-    pieces = F.flatten(F.transform(
-        F.filter("_lengths", lambda n: n <= F.length("_text")),
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.length("_text") - n + 1),
-            lambda at: F.substring(F.col("_text"), at, n),
-        ),
-    ))
-    cut = texts.withColumn("_lengths", lengths).select("_text", F.explode(F.array_distinct(pieces)).alias("_anchor"))
-    matched = with_anchor.join(
-        cut, (with_anchor["_anchor"] == cut["_anchor"]) & test, "left_semi"
-    ).select("_id")
+    size = F.least(longest, F.lit(GRAM))
+    ids = staged(named.select("_id", pattern.alias("_pattern"), size.alias("_size"),
+                              F.array_distinct(F.flatten(F.transform(stretches, lambda s: _grams(s, F.array(size))))).alias("_grams")), "members")
 
     # ids that are empty or all wildcards only ask for an identifier long enough
     longest_text = texts.agg(F.max(F.length("_text"))).scalar()
-    bare = anchored.filter(
-        (F.col("_anchor") == "") & (F.length("_id") <= longest_text)
-    ).select("_id")
-    found = matched.unionByName(bare).select(F.col("_id").alias(member_key))
+    bare = ids.filter((F.col("_size") == 0) & (F.length("_id") <= longest_text)).select("_id")
+
+    id_grams = ids.select("_id", F.explode("_grams").alias("_gram"))
+    sizes = ids.filter("_size > 0").agg(F.coalesce(F.collect_set("_size"), F.array().cast("array<int>"))).scalar()  # at most GRAM
+
+    def text_grams(columns, kept):
+        cut = texts.withColumn("_sizes", sizes).select(*columns, F.explode(F.array_distinct(_grams(F.col("_text"), F.col("_sizes")))).alias("_gram"))
+        return cut.join(kept, "_gram", "left_semi")
+
+    counts = staged(text_grams([], id_grams.select("_gram").distinct()).groupBy("_gram").agg(F.count("*").alias("_texts")), "gram-counts")
+    met = lookup(id_grams, counts, "_gram", ["_id"], how="left")
+    rarest = met.groupBy("_id").agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("_texts"), "_gram")).alias("_r")).filter("_r._texts > 0")
+    looked = staged(rarest.select("_id", "_r.*").join(ids.select("_id", "_pattern"), "_id"), "rarest")
+    itself = looked.filter(F.col("_gram") == F.col("_id")).select("_id")
+
+    asked = looked.filter(F.col("_gram") != F.col("_id"))
+    grid = staged(asked.groupBy("_gram").agg(F.count("*").alias("_ids"), F.first("_texts").alias("_texts")).select(
+        "_gram", F.ceil(F.col("_ids") / CELL_IDS).alias("_rows"), F.ceil(F.col("_texts") / CELL_TEXTS).alias("_columns")), "gram-grid")
+    some = lookup(text_grams(["_text"], grid.select("_gram")), grid, "_gram", ["_text"])
+    some = some.select("_gram", "_text", F.pmod(F.xxhash64("_text"), "_columns").alias("_column"),
+                       F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_rows") - 1)).alias("_row"))
+    asking = lookup(asked.drop("_texts"), grid, "_gram", ["_id"])
+    asking = asking.select("_gram", "_id", "_pattern", F.pmod(F.xxhash64("_id"), "_rows").alias("_row"),
+                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_columns") - 1)).alias("_column"))
+    same = (asking["_gram"] == some["_gram"]) & (asking["_row"] == some["_row"]) & (asking["_column"] == some["_column"])
+    matched = asking.join(some, same & test, "left_semi").select("_id")
+
+    found = itself.unionByName(matched).unionByName(bare).select(F.col("_id").alias(member_key))
     return members.join(found, member_key, "left_semi")
 
 
+def _grams(text, sizes):
+    """All stretches of a text of the given sizes."""
+    return F.flatten(F.transform(
+        F.filter(sizes, lambda n: (n > 0) & (n <= F.length(text))),
+        lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda at: F.substring(text, at, n))))
+
+
 def pending(work: DataFrame, key: str, *done: DataFrame, done_key: str | None = None) -> DataFrame:
     """Work whose key appears in none of the `done` tables (outputs, logs, mirrors)."""
     for table in done:

@@ -1,10 +1,19 @@
-"""Vector lookup and exact nearest neighbours."""
+"""Vector lookup, exact nearest neighbours of some rows, and close ones of all rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paperloom.functions.vectors import cosine_distance, cosine_similarity
+from paperloom.operators.skew import lookup
+from paperloom.session import staged
+
+#: Projection tables, rows of a bucket, and how many bits a crowded bucket may be divided by.
+TABLES, BUCKET, MORE_BITS = 16, 512, 12
 
 
 def vector_of(vectors: DataFrame, value, key: str = "doc_id") -> DataFrame:
@@ -45,3 +54,143 @@ def neighbourhood(vectors: DataFrame, value, layout: DataFrame, n: int = 10, key
     close = nearest(vectors, value, n, key, vector)
     itself = vector_of(vectors, value, key).select(key, F.lit(1.0).alias("similarity"))
     return itself.unionByName(close).join(layout, key)
+
+
+def unit_vectors(vectors: DataFrame, key: str = "doc_id", vector: str = "vector") -> DataFrame:
+    """(key, unit): rows with a direction, each divided by its length; null or non-finite components have none."""
+    cells = F.transform(vector, lambda x: x.cast("double"))
+    length = F.sqrt(F.aggregate(cells, F.lit(0.0), lambda s, x: s + x * x))
+    rows = vectors.select(F.col(key), cells.alias("_cells"), length.alias("_length"))
+    rows = rows.filter((F.col("_length") > 0) & (F.col("_length") < float("inf")))
+    return rows.select(key, F.transform("_cells", lambda x: x / F.col("_length")).alias("unit"))
+
+
+def projection_codes(units: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
+    """`units` with codes: for each table the signs of `bits` random projections, the first one highest."""
+    def run(batches):
+        planes = None
+        for batch in batches:
+            cells = _matrix(batch.column("unit"))
+            if planes is None:
+                planes = np.random.default_rng(seed).normal(size=(cells.shape[1], tables * bits))
+            signs = (cells @ planes > 0).reshape(len(cells), tables, bits)
+            codes = signs @ (np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64))
+            ends = pa.array(np.arange(0, codes.size + 1, tables), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(ends, pa.array(codes.ravel()))], [*batch.schema.names, "codes"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in units.schema)
+    return units.mapInArrow(run, f"{kinds}, codes array<bigint>")
+
+
+def _matrix(lists) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def bucket_places(coded: DataFrame, tables: int, bits: int, least_bits: int, bucket: int) -> DataFrame:
+    """(table, code, depth, pieces): how many bits of a code name its bucket, and into how many pieces by key it is dealt.
+
+    A bucket of more than `bucket` rows is divided by further bits; one that all bits leave too large, as equal vectors do,
+    by a hash of the key.  Buckets of equal leading bits have at most 2 ** MORE_BITS different codes, so windows are bounded.
+    """
+    counts = coded.select(F.posexplode("codes").alias("table", "code")).groupBy("table", "code").agg(F.count("*").alias("rows"))
+    depth, rows = F.lit(None), F.col("rows")
+    for more in range(least_bits, bits + 1):
+        held = F.sum("rows").over(Window.partitionBy("table", F.shiftright("code", bits - more)))
+        depth = F.coalesce(depth, F.when(held <= bucket, F.lit(more)))
+    pieces = F.when(depth.isNull(), F.ceil(rows / bucket)).otherwise(F.lit(1))
+    return counts.select("table", "code", F.coalesce(depth, F.lit(bits)).alias("depth"), pieces.cast("bigint").alias("pieces"))
+
+
+def nearest_all(vectors: DataFrame, n: int = 10, key: str = "doc_id", vector: str = "vector", tables: int = TABLES,
+                bucket: int = BUCKET, seed: int = 7) -> DataFrame:
+    """(key, rank, neighbour, similarity): for every row with a direction the n most similar rows found, by cosine.
+
+    Rows are dealt into buckets by the signs of random projections, `tables` times over; within a bucket similarities are
+    exact.  The number of leading bits follows the number of rows, and crowded buckets are divided, so the work is about
+    rows x tables x bucket.  A task keeps n rows for each of its rows, so only those reach the shuffle that merges tables.
+    Ties go to the smaller key.  More tables or larger buckets find more; up to `bucket` rows, all are found.
+    """
+    units = staged(unit_vectors(vectors, key, vector), "units")
+    total = units.count()
+    first = max(0, math.ceil(math.log2(max(total, 1) / bucket)))
+    bits = max(1, first + MORE_BITS)
+    coded = staged(projection_codes(units, tables, bits, seed), "codes")
+    places = staged(bucket_places(coded, tables, bits, first, bucket), "buckets")
+    rows = coded.select(F.col(key).alias("key"), "unit", F.posexplode("codes").alias("table", "code"))
+    dealt = lookup(rows, places, ["table", "code"], ["key"])
+    cells = [F.col("table"), F.col("depth"), F.expr(f"shiftright(code, cast({bits} - depth as int))").alias("start"),
+             F.pmod(F.xxhash64("key"), "pieces").alias("piece")]
+    kind = units.schema[key].dataType.simpleString()
+
+    def closest(table: pa.Table) -> pa.Table:
+        keys, unit = table.column("key").combine_chunks(), _matrix(table.column("unit").combine_chunks())
+        order = np.asarray(pa.compute.rank(keys, sort_keys="ascending", tiebreaker="dense"))
+        found = [[], [], []]
+        for k in range(0, len(unit), 256):
+            near = unit[k: k + 256] @ unit.T
+            near[order[k: k + 256, None] == order[None, :]] = -np.inf
+            by = np.lexsort((np.broadcast_to(order, near.shape), -near), axis=1)[:, :n]
+            best = np.take_along_axis(near, by, axis=1)
+            one, _ = (real := best > -np.inf).nonzero()
+            found[0].append(one + k)
+            found[1].append(by[real])
+            found[2].append(best[real])
+        one, two, near = (np.concatenate(x) for x in found)
+        return pa.table({"key": keys.take(pa.array(one)), "neighbour": keys.take(pa.array(two)), "similarity": pa.array(near)})
+
+    pairs = dealt.select("key", "unit", *cells).groupBy("table", "depth", "start", "piece").applyInArrow(
+        closest, f"key {kind}, neighbour {kind}, similarity double")
+    return _ranked(pairs.groupBy("key", "neighbour").agg(F.max("similarity").alias("similarity")), n, key)
+
+
+def _ranked(pairs: DataFrame, n: int, key: str) -> DataFrame:
+    """The best n of the few neighbours found for each key."""
+    listed = pairs.groupBy("key").agg(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("far"), "neighbour"))).alias("found"))
+    ranked = listed.select("key", F.posexplode(F.slice("found", 1, n)).alias("at", "one"))
+    return ranked.select(F.col("key").alias(key), (F.col("at") + 1).alias("rank"), "one.neighbour", (-F.col("one.far")).alias("similarity"))
+
+
+def nearest_exact(asked: DataFrame, vectors: DataFrame, n: int = 10, key: str = "doc_id", vector: str = "vector",
+                  block: int = 1024) -> DataFrame:
+    """As `nearest_all`, exactly, for the rows of `asked` against all of `vectors`.
+
+    The asked rows are taken in blocks; each task compares what it reads with one block after another and keeps n rows for
+    each asked one, so nothing but those moves.  Meant for a stated set of rows, as a measure of what `nearest_all` finds.
+    """
+    spark = vectors.sparkSession
+    units = staged(unit_vectors(vectors, key, vector), "units")
+    kind = units.schema[key].dataType.simpleString()
+    asking = staged(unit_vectors(asked, key, vector).repartition(max(1, math.ceil(asked.count() / block)), key).withColumn(
+        "_block", F.spark_partition_id()), "asked")
+    blocks = [r._block for r in asking.select("_block").distinct().orderBy("_block").collect()]
+
+    def against(own):
+        shared = spark.sparkContext.broadcast(own)
+
+        def run(batches):
+            keys, unit = shared.value
+            best = None
+            for batch in batches:
+                near = np.array(unit) @ _matrix(batch.column(1)).T
+                others = np.array(batch.column(0).to_pylist())
+                near[np.array(keys)[:, None] == others[None, :]] = -np.inf
+                names = np.broadcast_to(others, near.shape)
+                if best is not None:
+                    near, names = np.concatenate([best[0], near], axis=1), np.concatenate([best[1], names], axis=1)
+                by = np.lexsort((names, -near), axis=1)[:, :n]
+                best = np.take_along_axis(near, by, axis=1), np.take_along_axis(names, by, axis=1)
+            if best is not None:
+                row, column = (best[0] > -np.inf).nonzero()
+                yield pa.RecordBatch.from_pydict({"key": [keys[r] for r in row.tolist()], "neighbour": best[1][row, column].tolist(),
+                                                  "similarity": best[0][row, column]})
+
+        return units.mapInArrow(run, f"key {kind}, neighbour {kind}, similarity double")
+
+    found = None
+    for b in blocks:
+        rows = asking.filter(F.col("_block") == b).collect()
+        pairs = against(([r[key] for r in rows], [r.unit for r in rows]))
+        found = pairs if found is None else found.unionByName(pairs)
+    if found is None:
+        return spark.createDataFrame([], f"{key} {kind}, rank int, neighbour {kind}, similarity double")
+    return _ranked(found, n, key)

@@ -8,6 +8,7 @@ from paperloom.models.embeddings import document_vectors, idf_weights
 from paperloom.operators import grid as G, similarity as S
 from paperloom.queries.registry import Tables, query
 from paperloom.queries.texts import TOKENS_SQL, token_table
+from paperloom.session import staged
 from paperloom.sources.sinks import vector_lines
 
 
@@ -40,6 +41,32 @@ def nearest_docs(t):
     return S.nearest(vectors(t), 7, 10).withColumn("similarity", F.round("similarity", 6))
 
 
+_EXACT = f"""
+  SELECT * FROM (SELECT q.vec_id AS doc_id, e.vec_id AS neighbour, {_COS} AS similarity,
+      row_number() OVER (PARTITION BY q.vec_id ORDER BY {_COS} DESC, e.vec_id) AS rank
+    FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 10"""
+
+
+@query(f"SELECT doc_id, CAST(rank AS INTEGER) AS rank, neighbour, round(similarity, 6) AS similarity FROM ({_EXACT})")
+def nearest_exact(t):
+    found = S.nearest_exact(vectors(t).filter("doc_id % 20 = 0"), vectors(t), 10)
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("""
+SELECT CAST(count(*) AS BIGINT) AS documents, CAST(count(*) * least(10, count(*) - 1) AS BIGINT) AS neighbours,
+       CAST(count(*) FILTER (WHERE vec_id % 20 = 0) AS BIGINT) AS asked, true AS recalled, true AS exact FROM embeddings""")
+def nearest_all(t):
+    """Neighbours of all documents; of ids divisible by 20, at least nine in ten of the exact ones are among them."""
+    found = staged(S.nearest_all(vectors(t), 10), "nearest")
+    want = S.nearest_exact(vectors(t).filter("doc_id % 20 = 0"), vectors(t), 10).withColumnRenamed("similarity", "want")
+    both = want.join(found, ["doc_id", "neighbour"], "left")
+    recall = both.agg(F.countDistinct("doc_id").alias("asked"), (F.count("similarity") >= 0.9 * F.count("*")).alias("recalled"),
+                      F.coalesce(F.max(F.abs(F.col("similarity") - F.col("want"))) < 1e-9, F.lit(False)).alias("exact"))
+    return found.agg(F.countDistinct("doc_id").alias("documents"), F.count("*").alias("neighbours")).select(
+        "documents", "neighbours", *(recall.select(c).scalar().alias(c) for c in recall.columns))
+
+
 @query("""
 SELECT vec_id AS doc_id, generate_subscripts(embedding, 1) - 1 AS pos, unnest(embedding) AS value
 FROM embeddings WHERE vec_id = 7""")

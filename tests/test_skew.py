@@ -1,6 +1,7 @@
 """Large groups: salted lookups, chunked fills, deep top-k and dense ids against plain answers."""
 
 import random
+import re
 
 from pyspark.sql import Window, functions as F
 
@@ -97,6 +98,32 @@ def test_contained_members_brute_force(spark):
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
+def test_members_of_one_long_start(spark, monkeypatch):
+    """Ids that all share a start longer than any gram are told apart by what is rare in them."""
+    monkeypatch.setattr(reconcile, "CELL_IDS", 16)
+    monkeypatch.setattr(reconcile, "CELL_TEXTS", 8)
+    start = "https://archive.example.org/abstracts/of/"
+    assert len(start) > 40
+    texts = [f"{start}{k:05d}v{k % 3}" for k in range(400)]
+    ids = [f"{start}{k:05d}" for k in range(0, 800, 5)] + [f"{start}.....v2", f"{start}....0v1", f"{start}9...."]
+    members = spark.createDataFrame([(i,) for i in ids], "submission_id string")
+    known = spark.createDataFrame([(t,) for t in texts], "filename_parsed string")
+    got = [r.submission_id for r in reconcile.contained_members(members, known).collect()]
+    assert sorted(got) == sorted([f"{start}{k:05d}" for k in range(0, 400, 5)] + [f"{start}.....v2", f"{start}....0v1"])
+
+
+def test_frequent_grams_are_split_into_cells(spark, monkeypatch):
+    monkeypatch.setattr(reconcile, "CELL_IDS", 16)
+    monkeypatch.setattr(reconcile, "CELL_TEXTS", 8)
+    texts = [f"abcdef-{'x' * (k % 9)}{k}" for k in range(300)]
+    ids = [f"abcdef.{'x' * n}.{d}" for n in range(12) for d in range(10)]
+    members = spark.createDataFrame([(i,) for i in ids], "submission_id string")
+    known = spark.createDataFrame([(t,) for t in texts], "filename_parsed string")
+    want = sorted(i for i in ids if any(re.search(i.replace("-", "[-]"), t) for t in texts))
+    got = reconcile.contained_members(members, known)
+    assert sorted(r.submission_id for r in got.collect()) == want and 20 < len(want) < len(ids)
+
+
 def test_reconcile_partitions_the_ids(spark):
     left = spark.createDataFrame([(i,) for i in "aabcx"], "id string")
     right = spark.createDataFrame([(i,) for i in "bddd"], "id string")
