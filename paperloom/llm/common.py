@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import lru_cache
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,37 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+@lru_cache(maxsize=1)
+def _libc():
+    try:
+        return ctypes.CDLL(None)
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory of this process to the system, as far as its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run):
+    """A function of Arrow batches that gives memory back when a task ends.
+
+    A worker process serves the tasks of all stages, one after another; what a stage's largest batch took would else stay
+    with it, and add to what the next stages need.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     bounded_batches(spark)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import Powers, bounded, components, mixed, staged
+from paperloom.llm.common import Powers, bounded, components, mixed, released, staged
 
 WORDS, PERCENT = 5, 80
 SKETCH = 1 << 18          # counters of the sketch
@@ -124,7 +124,7 @@ def classes_and_sketch(docs: DataFrame, size: int, percent: int) -> DataFrame:
             [pa.nulls(len(slots), kinds[0]), pa.nulls(len(slots), kinds[1]), pa.nulls(len(slots), kinds[2]),
              pa.array(sketch[slots], kinds[3]), pa.array(slots, kinds[4])], names)
 
-    return staged(docs.mapInArrow(run, "doc_id long, mark long, cid long, n long, slot int"), "classes")
+    return staged(docs.mapInArrow(released(run), "doc_id long, mark long, cid long, n long, slot int"), "classes")
 
 
 def prefix_rows(docs: DataFrame, frequency: np.ndarray, usual: float, size: int, percent: int) -> DataFrame:
@@ -152,7 +152,7 @@ def prefix_rows(docs: DataFrame, frequency: np.ndarray, usual: float, size: int,
                 yield _arrow([_signed(np.concatenate(tokens)), np.concatenate(cids), np.concatenate(shares)],
                              ["token", "cid", "asks"], [pa.int64()] * 3)
 
-    return docs.mapInArrow(run, "token long, cid long, asks long")
+    return docs.mapInArrow(released(run), "token long, cid long, asks long")
 
 
 def _keys(batches):
@@ -205,7 +205,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             yield _arrow([cids, [len(s) for s in sets], bits, [s.tobytes() for s in sets]],
                          ["cid", "n", "bits", "shingles"], [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()])
 
-    return staged(members.mapInArrow(run, "cid long, n long, bits array<long>, shingles binary"), "sets")
+    return staged(members.mapInArrow(released(run), "cid long, n long, bits array<long>, shingles binary"), "sets")
 
 
 def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -224,7 +224,7 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
                               (F.min("cid").over(by_token) != F.max("cid").over(by_token)).alias("several"))
               .where("several"))
     keys = staged(shared.groupBy("cid").agg(F.collect_list(F.struct("token", "df", "least", "asks")).alias("rows"))
-                  .mapInArrow(_keys, "token long, cid long"), "keys")
+                  .mapInArrow(released(_keys), "token long, cid long"), "keys")
     several = keys.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     wanted = (members.join(keys.join(several, "token", "left_semi").select("cid").distinct(), "cid", "left_semi").groupBy("cid")
               .agg(F.min(F.struct("mark", "doc_id")).alias("one"))
@@ -251,7 +251,7 @@ def near_duplicate_components(docs: DataFrame, size: int = WORDS, percent: int =
         named = plausible.select(F.col("a").alias("cid")).unionByName(plausible.select(F.col("b").alias("cid"))).distinct()
         moved = sets.select("cid", "shingles").join(bounded(staged(named, "named")), "cid", "left_semi")
         x, y = moved.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), moved.select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
-        return staged(plausible.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long"), "edges")
+        return staged(plausible.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(released(_verify(percent)), "a long, b long"), "edges")
 
     edges, labels = [], None
 

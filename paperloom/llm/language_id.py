@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.common import released
+
 ORDER = 4
 SYMBOLS = 200
 DISCOUNT = 0.75
@@ -232,7 +234,7 @@ def _letter_counts(batches):
 def train(labelled: DataFrame) -> Model:
     """Model of a DataFrame (lang, text): all its rows are counted, rows of null language left aside."""
     known = labelled.where("lang is not null").select("lang", F.col("text").cast("string").alias("text"))
-    letters = (known.select("text").mapInArrow(_letter_counts, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
+    letters = (known.select("text").mapInArrow(released(_letter_counts), "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
                .orderBy(F.desc("n"), "point"))
     seen = [row.point for row in letters.collect()]  # no more than there are letters
     kind = _kind(symbol_table(seen))[0]
@@ -257,9 +259,9 @@ def train(labelled: DataFrame) -> Model:
                 [pa.array([lang for lang, _ in own], pa.string()), pa.array([keys[x].tobytes() for _, x in own], pa.binary()),
                  pa.array([counts[x].tobytes() for _, x in own], pa.binary())], ["lang", "grams", "counts"])
 
-    counted = known.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = known.mapInArrow(released(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     parts = {}
-    for row in counted.mapInArrow(pack, "lang string, grams binary, counts binary").collect():
+    for row in counted.mapInArrow(released(pack), "lang string, grams binary, counts binary").collect():
         parts.setdefault(row.lang, []).append((row.grams, row.counts))
     tables = {}
     for lang in sorted(parts):
@@ -310,4 +312,4 @@ def score(docs: DataFrame, model: Model, slack: float = 2.0, width: float = 8.0,
                                              [*["text", *others][first:], "lang_pred", "score", "entropy", "rejected"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[first:])
-    return narrow.mapInArrow(run, f"{kinds}, lang_pred string, score double, entropy double, rejected boolean")
+    return narrow.mapInArrow(released(run), f"{kinds}, lang_pred string, score double, entropy double, rejected boolean")

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.common import released
 from paperloom.llm.token_ids import Encoder, shared_encoder
 
 LENGTH, SEGMENTS, POOL = 2048, 256, 2048
@@ -186,4 +187,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = LE
         packer.finish()
         yield from out()
 
-    return narrow.mapInArrow(run, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary")
+    return narrow.mapInArrow(released(run), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import Powers, mixed, staged
+from paperloom.llm.common import Powers, mixed, released, staged
 
 WINDOW, REACH, GRAM = 200, 120, 16
 SEGMENT = 1 << 20
@@ -141,7 +141,7 @@ def phrases(texts: DataFrame, window: int, reach: int) -> DataFrame:
                 core, phrase, mark, at = (np.concatenate(x) for x in zip(*parts))
                 yield _rows([_signed(core), _signed(phrase), mark, at], ["core", "phrase", "mark", "at"], [pa.int64()] * 4)
 
-    return texts.select("mark", "text").mapInArrow(run, "core long, phrase long, mark long, at long")
+    return texts.select("mark", "text").mapInArrow(released(run), "core long, phrase long, mark long, at long")
 
 
 _ENTRY = [("key", pa.int64()), ("phrase", pa.int64()), ("mark", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("string", pa.binary())]
@@ -175,7 +175,7 @@ def dictionary_entries(chosen: DataFrame, window: int, reach: int) -> DataFrame:
         return _rows([_signed(core), phrase, np.full(len(first), mark), first, last - first + 1, strings], [n for n, _ in _ENTRY], [k for _, k in _ENTRY])
 
     return (chosen.select("mark", "text", "few", "many")
-            .mapInArrow(run, "key long, phrase long, mark long, start long, windows long, string binary"))
+            .mapInArrow(released(run), "key long, phrase long, mark long, start long, windows long, string binary"))
 
 
 def _ranges(first, size):
@@ -243,7 +243,7 @@ def shared_windows(entries: DataFrame, window: int) -> DataFrame:
         return _rows(_same_in_dictionary(marks, starts, sizes, together.column(4).to_pylist(), window), names, kinds)
 
     compared = (single.repartition("key").sortWithinPartitions("key")
-                .mapInArrow(run, "mark long, start long, n long"))
+                .mapInArrow(released(run), "mark long, start long, n long"))
     return compared.unionByName(again)
 
 
@@ -278,10 +278,38 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Columns of `docs` with one of these names are replaced.
     """
+    docs = docs.drop("n_bytes", "spans", "kept")
+    others = [c for c in docs.columns if c != "text"]
+    joined = _known_repeats(docs, window)
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches):
+        for batch in batches:
+            sizes, spans, kept = [], [], []
+            for raw, begin, end, left in _removed(batch, window):
+                sizes.append(len(raw))
+                spans.append([{"start": b, "end": e} for b, e in zip(begin.tolist(), end.tolist())])
+                kept.append(left)
+            yield _rows([batch.column(0), sizes, spans, kept], ["own", "n_bytes", "spans", "kept"], [None, pa.int64(), span, pa.binary()])
+
+    own = joined.schema["own"].dataType.simpleString()
+    return (joined.mapInArrow(released(run), f"own {own}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary")
+            .select(*(F.col("own")[c].alias(c) for c in others), "n_bytes", "spans", "kept"))
+
+
+def _removed(batch, window):
+    """(bytes, span starts, span ends, bytes kept) of the rows of `_known_repeats`."""
+    for text, check, repeated, runs, same in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
+        raw, begin, end = removed_bytes(text, window, window * REACH // WINDOW, bool(same) and check in same, repeated, runs)
+        keep = zip(np.concatenate([[0], end]).tolist(), np.concatenate([begin, [len(raw)]]).tolist())
+        yield raw, begin, end, b"".join(raw[b:e].tobytes() for b, e in keep)
+
+
+def _known_repeats(docs: DataFrame, window: int) -> DataFrame:
+    """(own, text, check, repeated, runs, copies) of all documents, `own` being the other columns."""
     reach = window * REACH // WINDOW
     if window - reach < GRAM:
         raise ValueError("windows are too short for the rolling hash")
-    docs = docs.drop("n_bytes", "spans", "kept")
     others = [c for c in docs.columns if c != "text"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.select(F.struct(*others, F.lit(0).alias("_")).alias("own"), text.alias("text"), F.xxhash64(text).alias("mark"),
@@ -315,35 +343,17 @@ def find_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
              .unionByName(copies.select("mark", nothing.alias("repeated"), no_runs.alias("runs"), F.array("check").alias("copies")))
              .groupBy("mark").agg(*(F.flatten(F.collect_list(c)).alias(c) for c in ("repeated", "runs", "copies"))))
     known = staged(known, "repeats")
-    joined = marked.join(known, "mark", "left").select("own", "text", "check", "repeated", "runs", "copies")
-
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-
-    def run(batches):
-        for batch in batches:
-            sizes, spans, kept = [], [], []
-            for text, check, repeated, runs, same in zip(*(batch.column(i).to_pylist() for i in range(1, 6))):
-                raw, begin, end = removed_bytes(text, window, reach, bool(same) and check in same, repeated, runs)
-                sizes.append(len(raw))
-                spans.append([{"start": b, "end": e} for b, e in zip(begin.tolist(), end.tolist())])
-                keep = zip(np.concatenate([[0], end]).tolist(), np.concatenate([begin, [len(raw)]]).tolist())
-                kept.append(b"".join(raw[b:e].tobytes() for b, e in keep))
-            yield _rows([batch.column(0), sizes, spans, kept], ["own", "n_bytes", "spans", "kept"], [None, pa.int64(), span, pa.binary()])
-
-    own = joined.schema["own"].dataType.simpleString()
-    return (joined.mapInArrow(run, f"own {own}, n_bytes long, spans array<struct<start: bigint, end: bigint>>, kept binary")
-            .select(*(F.col("own")[c].alias(c) for c in others), "n_bytes", "spans", "kept"))
+    return marked.join(known, "mark", "left").select("own", "text", "check", "repeated", "runs", "copies")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` with the repeated bytes cut out of the text; a character cut in part goes as a whole."""
-    def decode(batches):
+    joined = _known_repeats(docs, window)
+
+    def run(batches):
         for batch in batches:
-            texts = [x.decode("utf-8", "ignore") for x in batch.column(1).to_pylist()]
+            texts = [left.decode("utf-8", "ignore") for *_, left in _removed(batch, window)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["own", "text"])
 
-    found = find_repeats(docs, window)
-    others = [c for c in docs.columns if c != "text"]
-    packed = found.select(F.struct(*others, F.lit(0).alias("_")).alias("own"), "kept")
-    cut = packed.mapInArrow(decode, f"own {packed.schema['own'].dataType.simpleString()}, text string")
+    cut = joined.mapInArrow(released(run), f"own {joined.schema['own'].dataType.simpleString()}, text string")
     return cut.select(*(F.col("own")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns))
