@@ -2,22 +2,48 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom import schemas as S
+from paperloom.sources.csv_splits import csv_records
 
 # Abstracts hold newlines and quotes: fields are quoted, quotes are doubled.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
-def read_records_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_records_csv(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
     """Metadata CSV with every id a string and a parsed retrieval time.
 
-    Columns are matched by name, file by file: files are read in groups of equal
-    header lines, so a folder may hold several column orders.
+    Columns are matched by name, file by file, so a folder may hold several column orders.  A file is read by many tasks,
+    line ends in its fields notwithstanding (`paperloom.sources.csv_splits`); with `split=False` by one, which also takes
+    quotes inside fields that are not quoted.
     """
+    if not split:
+        return _read_whole(spark, path)
+    records = csv_records(spark, path)
+    headers = [r.header for r in records.select("header").distinct().collect()]  # no more than there are column orders
+    if not headers:
+        return spark.createDataFrame([], S.RECORDS)
+    row = reduce(lambda other, h: F.when(F.col("header") == h, _fields(h)).otherwise(other), headers, F.lit(None))
+    return records.select(row.alias("r")).select(
+        *(F.col("r")[f.name].cast(f.dataType).alias(f.name) for f in S.RECORDS))
+
+
+def _fields(header: str):
+    """The record fields of a text below a header, as a struct of strings."""
+    names = next(csv.reader([header]))
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    parsed = F.from_csv("text", schema, {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    # inside a lambda the text is parsed once for all fields
+    return F.transform(F.array(parsed), lambda r: F.struct(
+        *((r[f.name] if f.name in names else F.lit(None).cast("string")).alias(f.name) for f in S.RECORDS)))[0]
+
+
+def _read_whole(spark: SparkSession, path: str) -> DataFrame:
+    """Files one by one, in groups of equal header lines."""
     heads = (
         spark.read.option("wholetext", False).text(path)
         .filter(F.col("_metadata.file_block_start") == 0)
