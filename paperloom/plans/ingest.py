@@ -21,11 +21,13 @@ def refresh_records(spark: SparkSession, pages: str, table: str, spec: str | Non
     `paperloom.streaming.incremental.ingest_records` adds only what is new.
     """
     new = harvest_window(xml_records.read_records(spark, pages), spec=spec)
-    if sinks.current_version(spark, table) is None:
-        return sinks.write_snapshot(new, table)
-    old = sinks.read_snapshot(spark, table)
-    merged = upsert(old, new) if once_per_record else append_records(old, new)
-    return sinks.write_snapshot(merged, table)
+
+    def merged(old):
+        if old is None:
+            return new
+        return upsert(old, new) if once_per_record else append_records(old, new)
+
+    return sinks.update_snapshot(spark, table, merged)
 
 
 @dataclass

@@ -366,16 +366,37 @@ def snapshot_table(t):
     """A table rewritten from its own current version."""
     root = scratch_path(t.spark, "snapshots")
     sinks.write_snapshot(t.documents.select("doc_id", F.lit("x").alias("note")), root)
-    grown = sinks.read_snapshot(t.spark, root).unionByName(t.labels.select("doc_id", F.lit("y").alias("note")))
-    sinks.write_snapshot(grown, root)
+    new = t.labels.select("doc_id", F.lit("y").alias("note"))
+    sinks.update_snapshot(t.spark, root, lambda old: old.unionByName(new))
     return sinks.read_snapshot(t.spark, root)
 
 
 @query("""
-SELECT CAST(doc_id AS VARCHAR) AS submission_id FROM documents WHERE doc_id % 4 <> 0""")
+SELECT doc_id, 'documents' AS note, CAST(2 AS BIGINT) AS version FROM documents
+UNION ALL SELECT doc_id, 'labels', 2 FROM labels""")
+def two_writers(t):
+    """Two writers start from the same version; the slower one makes its table again, and both are in it."""
+    root = scratch_path(t.spark, "snapshots")
+    slow, fast = ((frame.select("doc_id", F.lit(name).alias("note"))) for name, frame in (("documents", t.documents), ("labels", t.labels)))
+    grown = lambda old, new: new if old is None else old.unionByName(new)
+
+    def make(old):
+        if old is None:  # meanwhile the other one publishes
+            sinks.update_snapshot(t.spark, root, lambda now: grown(now, fast))
+        return grown(old, slow)
+
+    version = sinks.update_snapshot(t.spark, root, make)
+    return sinks.read_snapshot(t.spark, root).withColumn("version", F.lit(version).cast("long"))
+
+
+@query("""
+SELECT CAST(doc_id AS VARCHAR) AS submission_id, CASE WHEN doc_id % 2 = 0 THEN 'even.tar' ELSE 'odd.tar' END AS tarfile
+FROM documents WHERE doc_id % 4 <> 0""")
 def written_submission_log(t):
     path = scratch_path(t.spark, "sublog")
-    sinks.write_submission_log(A.tar_members(packed(t), with_content=False), path)
-    return t.spark.read.parquet(path).select("submission_id")
+    for name, condition in (("even", "doc_id % 2 = 0"), ("odd", "doc_id % 2 = 1")):
+        archives = packed(t, condition).withColumn("path", F.lit(f"src/{name}.tar"))
+        sinks.write_submission_log(A.tar_members(archives, with_content=False), path)
+    return t.spark.read.parquet(path).select("submission_id", "tarfile")
 
 

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperloom.session import discard
+from paperloom.sources.storage import create_once, list_names, read_bytes
 from paperloom.sources.tables import CSV_OPTIONS
 
 
@@ -18,43 +20,58 @@ def write_records(records: DataFrame, path: str, fmt: str = "parquet") -> None:
         writer.format(fmt).save(path)
 
 
-def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write a new version of a table below `root` and then publish it.
+class SnapshotConflict(RuntimeError):
+    """Another writer has published the version that this one meant to."""
 
-    The new data may derive from the current version.  A version becomes
-    visible only when its entry in the version list is written, so a job that
-    dies half-way leaves the current version in place.  Each writer has a folder
-    of its own: two that take the same number do not write over each other, and
-    readers agree on one of them.
+
+def update_snapshot(spark: SparkSession, root: str, make, tries: int = 20) -> int:
+    """Publish `make(current table or None)` as the next version below `root`; returns its number.
+
+    Writers compare and set: a version's entry is created only if there is none, by one writer.  The loser drops what it has
+    written and makes its table again, from the version that won, so no writer's rows are lost.  Data go to a folder of
+    the writer's own first; a job that dies leaves the current version as it is.
+    """
+    for _ in range(tries):
+        version = current_version(spark, root)
+        df = make(None if version is None else read_snapshot(spark, root, version))
+        try:
+            return write_snapshot(df, root, version or 0)
+        except SnapshotConflict:
+            continue
+    raise SnapshotConflict(f"{tries} other writers were faster below {root}")
+
+
+def write_snapshot(df: DataFrame, root: str, base: int | None = None) -> int:
+    """Write a new version of a table below `root` and publish it; returns its number.
+
+    `base` is the version that `df` derives from (0 for none): if another one has been published since, nothing is published
+    and SnapshotConflict is raised.  Without it the table replaces whatever version is there by then.
     """
     spark = df.sparkSession
-    version = (current_version(spark, root) or 0) + 1
-    folder = f"version={version}-{os.urandom(6).hex()}"
-    df.write.parquet(f"{root}/data/{folder}")
-    entry = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(folder).alias("folder"))
-    entry.write.mode("append").parquet(f"{root}/versions")
-    return version
+    folder = os.urandom(8).hex()
+    data = f"{root}/data/{folder}"
+    df.write.parquet(data)
+    while True:
+        version = (current_version(spark, root) or 0 if base is None else base) + 1
+        if create_once(spark, f"{root}/versions/{version:012d}", folder.encode()):
+            return version
+        if base is not None:
+            discard(spark, data)
+            raise SnapshotConflict(f"version {version} below {root} is another writer's")
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Number of the published version, None where there is no table yet."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(f"{root}/versions").agg(F.max("version")).first()[0]
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" in str(problem):
-            return None
-        raise
+    names = [name for name in list_names(spark, f"{root}/versions") if name.isdigit()]
+    return int(max(names)) if names else None
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The published version of a table."""
-    if current_version(spark, root) is None:
+def read_snapshot(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The published version of a table, or an earlier one."""
+    version = version or current_version(spark, root)
+    if version is None:
         raise FileNotFoundError(f"no published version below {root}")
-    entries = spark.read.parquet(f"{root}/versions")
-    folder = entries.agg(F.max(F.struct("version", "folder"))["folder"]).first()[0]
-    return spark.read.parquet(f"{root}/data/{folder}")
+    return spark.read.parquet(f"{root}/data/{read_bytes(spark, f'{root}/versions/{version:012d}').decode()}")
 
 
 def write_tokens(tokens: DataFrame, path: str, mode: str = "append") -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import posixpath
 import re
 
@@ -32,3 +33,61 @@ def inside(*parts: str) -> str | None:
     if path.startswith(("/", "../")) or path in ("..", "."):
         return None
     return path
+
+
+# The following run on the driver and go through Spark's own file systems, whatever store a path is in.
+
+
+def _hadoop(spark, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def create_once(spark, path: str, content: bytes) -> bool:
+    """Create a small file with its content, whole or not at all; False where there is one already.
+
+    Of several writers one succeeds.  Locally a link is made, which fails if the name is taken; other stores refuse to
+    create a file that is there.
+    """
+    local = re.match(r"file:/*(/.*)", path)
+    if local or "://" not in path:
+        place = local[1] if local else path
+        os.makedirs(os.path.dirname(place), exist_ok=True)
+        own = f"{os.path.dirname(place)}/.{os.urandom(8).hex()}"
+        with open(own, "wb") as file:
+            file.write(content)
+        try:
+            os.link(own, place)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(own)
+    from py4j.protocol import Py4JJavaError
+
+    system, where = _hadoop(spark, path)
+    try:
+        out = system.create(where, False)
+    except Py4JJavaError as problem:
+        if "AlreadyExists" in str(problem.java_exception):
+            return False
+        raise
+    out.write(content)
+    out.close()
+    return True
+
+
+def list_names(spark, folder: str) -> list[str]:
+    """Names of the files in a folder; none where there is no folder."""
+    system, where = _hadoop(spark, folder)
+    return sorted(s.getPath().getName() for s in system.listStatus(where)) if system.exists(where) else []
+
+
+def read_bytes(spark, path: str) -> bytes:
+    """A small file."""
+    system, where = _hadoop(spark, path)
+    stream = system.open(where)
+    try:
+        return bytes(stream.readAllBytes())
+    finally:
+        stream.close()

@@ -91,3 +91,33 @@ def test_archive_stream_is_retried_whole(spark, tmp_path, archive_dir):  # noqa:
     failed = got.filter(F.col("kind") == "not_tar")
     assert [r.tar_name for r in failed.collect()] == ["fake.tar"]  # reported, not dropped
     assert got.count() == 5 + failed.count()
+
+
+def test_two_threads_append_and_both_are_in_the_table(spark, tmp_path):
+    from threading import Barrier, Thread
+
+    root, start, versions = str(tmp_path / "table"), Barrier(4), []
+
+    def append(k):
+        new = spark.range(k * 10, k * 10 + 10)
+        start.wait()
+        versions.append(sinks.update_snapshot(spark, root, lambda old: new if old is None else old.unionByName(new)))
+
+    threads = [Thread(target=append, args=(k,)) for k in range(4)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(versions) == [1, 2, 3, 4] and sinks.current_version(spark, root) == 4
+    assert sorted(r.id for r in sinks.read_snapshot(spark, root).collect()) == list(range(40))
+    assert [sinks.read_snapshot(spark, root, v).count() for v in (1, 2, 3)] == [10, 20, 30]
+
+
+def test_a_stale_writer_publishes_nothing(spark, tmp_path):
+    root = str(tmp_path / "table")
+    assert sinks.write_snapshot(spark.range(3), root, 0) == 1
+    with pytest.raises(sinks.SnapshotConflict):
+        sinks.write_snapshot(spark.range(9), root, 0)
+    assert sinks.read_snapshot(spark, root).count() == 3
+    assert sinks.write_snapshot(spark.range(5), root) == 2  # replaces whatever is there
+    assert len([p for p in (tmp_path / "table" / "data").iterdir()]) == 2  # what the stale one wrote is gone
