@@ -8,17 +8,12 @@ from paperloom.models import embeddings, layout as layouts, topics
 from paperloom.operators.grid import grid_by_category
 from paperloom.operators.phrases import detect_ngrams
 from paperloom.operators.reconcile import attach_category
-from paperloom.session import staged
 
 
 def topic_report(tokens: DataFrame, k: int = 3, passes: int = 50, terms: int = 3,
-                 min_df: float = 1.0, seed: int = 0) -> DataFrame:
+                 min_df: int = 1, seed: int = 0) -> DataFrame:
     """Tokens -> vectors -> LDA -> the strongest terms of each topic."""
-    vectorizer, vectors = topics.count_vectors(tokens, min_df)
-    vectors = staged(vectors.select("doc_id", "features"), "features")
-    model = topics.train_topics(vectors, k, passes, seed)
-    vocab = topics.vocabulary_table(tokens.sparkSession, vectorizer)
-    return topics.topic_terms(model, vocab, terms)
+    return topics.corpus_topics(tokens, k, passes, terms, seed, min_df=min_df)
 
 
 def phrase_words(tokens: DataFrame, width: int = 100, window: int = 10, **settings):

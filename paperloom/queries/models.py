@@ -20,18 +20,12 @@ from paperloom.session import scratch_path, staged
 WORKERS = 8
 
 
-def _topics(t, k=3):
-    tokens = stored_tokens(t)
-    vectorizer, counted = topics.count_vectors(tokens)
-    return tokens, vectorizer, topics.train_topics(staged(counted.select("doc_id", "features"), "features"), k=k, passes=50, seed=1)
-
-
 @query("""
 SELECT topic, "rank", true AS known, true AS weighted FROM (VALUES (0), (1), (2)) a(topic), (VALUES (1), (2), (3)) b("rank")""")
 def lda_topics(t):
     """Three topics, fifty passes over all documents: terms are corpus words, weights fall and lie within 0 and 1."""
-    tokens, vectorizer, model = _topics(t)
-    terms = topics.topic_terms(model, topics.vocabulary_table(t.spark, vectorizer), 3)
+    tokens = stored_tokens(t)
+    terms = topics.corpus_topics(tokens, 3, 50, 3, seed=1)
     words = B.corpus_counts(tokens).select(F.col("token").alias("term"), F.lit(True).alias("known"))
     following = F.max("weight").over(Window.partitionBy("topic").orderBy("rank").rowsBetween(1, 1))
     checked = terms.withColumn("next", following).join(words, "term", "left")
@@ -40,13 +34,30 @@ def lda_topics(t):
         ((F.col("weight") > 0) & (F.col("weight") <= 1) & F.coalesce(F.col("next") <= F.col("weight"), F.lit(True))).alias("weighted"))
 
 
+def _of_three_subjects(tokens):
+    """Each document's words as words of one of three subjects, told by their lengths: six to a subject."""
+    subject = F.pmod(F.col("doc_id"), F.lit(3)).cast("string")
+    return tokens.withColumn("tokens", F.transform("tokens", lambda w: F.concat(
+        F.lit("w"), (F.length(w) % 6).cast("string"), F.lit("_"), subject)))
+
+
+@query(f"""
+SELECT DISTINCT ((doc_id % 3) + 3) % 3 AS subject, 'w' || length(token) % 6 || '_' || ((doc_id % 3) + 3) % 3 AS term
+FROM (SELECT doc_id, unnest(tokens) AS token FROM ({TOKENS_SQL}))""")
+def planted_topics(t):
+    """Of a corpus of three subjects with words of their own, the topics are the subjects: each one's six strongest terms."""
+    terms = topics.corpus_topics(_of_three_subjects(stored_tokens(t)), 3, 50, 6, seed=2)
+    strongest = F.min_by("term", "rank").over(Window.partitionBy("topic"))
+    return terms.select(F.substring_index(strongest, "_", -1).cast("long").alias("subject"), "term")
+
+
 @query(f"SELECT count(DISTINCT token) AS terms, 5 AS topics FROM (SELECT unnest(tokens) AS token FROM ({TOKENS_SQL}))")
 def stored_topics(t):
     """A topic model written and read back has its vocabulary and its topics."""
-    _, _, model = _topics(t, 5)
+    model, _ = topics.train_corpus_topics(stored_tokens(t), 5, 10, seed=1)
     path = scratch_path(t.spark, "topics")
     topics.save_model(model, path)
-    back = topics.load_topics(path)
+    back = topics.load_topics(path, spread=True)
     return t.spark.range(1).select(F.lit(back.vocabSize()).cast("long").alias("terms"), F.lit(back.describeTopics(1).count()).cast("int").alias("topics"))
 
 

@@ -33,6 +33,17 @@ def test_topics_separate_the_subjects(spark, tokens, tmp_path):
     assert analyse.topic_report(tokens, k=2, passes=1, terms=2).count() == 4
 
 
+def test_spread_topics_hold_no_vocabulary_on_the_driver(spark, tokens, monkeypatch, tmp_path):
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: pytest.fail("a table was made of driver rows"))
+    got = topics.corpus_topics(tokens, k=2, passes=30, n=3, seed=3).collect()
+    sets = {frozenset(r.term for r in got if r.topic == k) for k in (0, 1)}
+    assert sets == {frozenset({"star", "galaxy", "dust"}), frozenset({"gene", "cell", "protein"})}
+    model, vocab = topics.train_corpus_topics(tokens, 2, 5, seed=3, min_df=2)
+    assert vocab.count() == 6
+    topics.save_model(model, str(tmp_path / "em"))
+    assert topics.load_topics(str(tmp_path / "em"), spread=True).vocabSize() == 6
+
+
 def test_word_and_document_vectors(spark, tokens, tmp_path):
     path = str(tmp_path / "w2v")
     model = E.words_or_train(tokens, path, width=8, window=2, min_count=1, iterations=5, seed=1)
