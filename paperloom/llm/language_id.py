@@ -15,7 +15,7 @@ Calibration: per language, mean and standard deviation of the cross-entropy of t
 their own language.  A text is rejected when it has no letter, or its entropy exceeds the mean by more than
 `slack + width * deviation / sqrt(letters / 100)`, wide enough that the language's own texts, short or noisy, stay.
 
-Null text or text without a letter gets `und`, score 0 and is rejected.  Without any labelled text the
+Null text or text without a letter, one of marks and digits too, gets `und`, score 0 and is rejected.  Without any labelled text the
 model is empty and every text gets `und`.  Repeated rows are scored alike; columns besides id and text are not read.
 """
 
@@ -56,6 +56,13 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     return lower, letter
 
 
+@lru_cache(maxsize=1)
+def _real_letters() -> np.ndarray:
+    """For each code point whether it is a letter by itself: marks are not."""
+    lower, letter = _letters()
+    return letter & np.fromiter((unicodedata.category(chr(p))[0] == "L" if letter[p] else False for p in range(_POINTS)), bool, _POINTS)
+
+
 def _codes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
 
@@ -91,8 +98,9 @@ def _units(codes: np.ndarray) -> np.ndarray:
 def grams(text: str | None, table: np.ndarray) -> np.ndarray:
     """Keys of the ORDER-grams that end at each letter or blank after the first; runs of blanks count once."""
     kind, bits = _kind(table)
-    codes = table[_codes(text)]
-    if not codes.any():
+    points = _codes(text)
+    codes = table[points]
+    if not codes.any() or not (text.isascii() or _real_letters()[points].any()):  # marks alone are no letters
         return np.empty(0, kind)
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)

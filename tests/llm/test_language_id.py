@@ -69,6 +69,13 @@ def test_rejection(spark, model):
     assert out[5].lang_pred == "aa" and not out[5].rejected
 
 
+def test_marks_alone_are_no_letters(spark, model):
+    rows = [(1, "\u0301"), (2, "12 \u0308\u0301 34"), (3, "\u0301a"), (4, "\u4e00\u0301")]
+    out = {r.doc_id: r for r in lang.score(docs(spark, rows).select("doc_id", "text"), model).collect()}
+    assert [(out[k].lang_pred, out[k].score, out[k].rejected) for k in (1, 2)] == [("und", 0.0, True)] * 2
+    assert out[3].lang_pred in SYLLABLES and out[4].lang_pred in SYLLABLES
+
+
 def test_awkward_rows(spark, model):
     rows = awkward()
     out = lang.score(docs(spark, rows).select("doc_id", "text"), model)
