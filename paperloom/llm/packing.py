@@ -6,8 +6,8 @@ left, both scaled by the limits, among those that fit in every dimension; once n
 the rest.  Examples longer than a sequence give whole sequences first.
 
 A task packs the rows it reads, with a pool of at most `POOL` examples by demand, so nothing is shuffled and memory is
-bounded; its last, partly filled sequence is dealt out into sequences whose lengths are powers of two, which need no
-padding.  A sequence id joins the task's partition and its own count, so a task that runs again gives the same ids.
+bounded.  A sequence that another limit than that on tokens leaves partly filled, and a task's last one, is dealt out
+into sequences whose lengths are powers of two, which need no padding.  A sequence id joins the task's partition and its own count, so a task that runs again gives the same ids.
 
 Null text is an empty example of its end id alone.  Repeated rows are packed each on their own.  Loss-bearing tokens
 are all tokens, unless a column names how many of the last tokens bear loss; null there counts as none.
@@ -124,17 +124,20 @@ class Packer:
                     scaled[best] = demand[best] / self.limits
                 if left[0] == 0 or left[1] == 0 or count == 0:
                     break
-            if offset < self.size and count == 0:
+            if offset < self.size:
                 self._split(offset)
             self.sequence += 1
         self.pool = [items[k] for k in np.flatnonzero(free)]
 
     def _split(self, total: int) -> None:
-        """Deal the last, partly filled sequence out into sequences of powers of two."""
+        """Deal a partly filled sequence, the last one put, out into sequences of powers of two."""
         if total & (total - 1) == 0:
             return
-        own = [p for p in self.ready if p[3] == self.sequence]
-        self.ready = [p for p in self.ready if p[3] != self.sequence]
+        first = len(self.ready)
+        while first and self.ready[first - 1][3] == self.sequence:
+            first -= 1
+        own = self.ready[first:]
+        del self.ready[first:]
         room, offset = 1 << (total.bit_length() - 1), 0
         for example, start, n, _, _ in own:
             while n:
@@ -159,6 +162,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = LE
     frees them, which suits a pipeline whose other stages use the same workers.
     """
     limits = (length, segments, length if loss_tokens is None else loss_tokens)
+    if min(limits) < 1:
+        raise ValueError("a sequence takes at least one token, one segment and one loss-bearing token")
     bears = F.col(loss_column).cast("long") if loss_column else F.lit(-1).cast("long")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.coalesce(bears, F.lit(0)).alias("bears"))

@@ -74,6 +74,7 @@ def test_limits_hold_in_every_dimension(items):
         placed[own.doc_id].append((start, n))
         assert np.frombuffer(own.piece(start, n), "<u4").tolist() == list(range(start, start + n))
     assert all(a <= 64 and b <= 4 and c <= 40 for a, b, c in totals.values())
+    assert all(a & (a - 1) == 0 for a, _, _ in totals.values())  # no padding, whichever limit ends a sequence
     for k, (n, _) in enumerate(items):
         at = 0
         for start, length in sorted(placed[k]):
@@ -82,6 +83,23 @@ def test_limits_hold_in_every_dimension(items):
         assert at == n
 
 
+def test_short_examples_leave_no_padding():
+    packer = packing.Packer((2048, 256, 2048))
+    for k in range(5000):
+        packer.add(packing.Example(k, np.arange(1 + k % 3)))
+    packer.finish()
+    totals = {}
+    for _, _, n, sequence, _ in packer.ready:
+        totals[sequence] = totals.get(sequence, 0) + n
+    assert sum(totals.values()) == sum(1 + k % 3 for k in range(5000))
+    assert all(t & (t - 1) == 0 and t <= 2048 for t in totals.values()) and len(totals) < 120
+
+
+def test_limits_below_one_are_refused(spark):
+    with pytest.raises(ValueError):
+        packing.pack(docs(spark, [(1, "a")]), tokenizer(FILES[0]), loss_tokens=0)
+
+
 def test_loss_column(spark):
     frame = docs(spark, [(1, "a b c d e f"), (2, "x y z")]).withColumn("bears", F.lit(2))
     pieces = packing.pack(frame, tokenizer(FILES[0]), loss_column="bears").toPandas()
