@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.operators.indexing import dense_index
-from paperloom.operators.skew import MAX_HEAVY, lookup
+from paperloom.operators.skew import MOST_HEAVY, TASK_ROWS, lookup
 
 
 def each_token(tokens: DataFrame, *keys: str, column: str = "tokens") -> DataFrame:
@@ -64,10 +64,12 @@ def bag_of_words(counts: DataFrame, vocab: DataFrame, key: str = "doc_id") -> Da
     """(document, term_id, cnt); tokens outside the vocabulary are dropped.
 
     A common term has one row in most documents, so a lookup too large to
-    broadcast spreads the terms whose document frequency makes them heavy.
+    broadcast spreads such terms, over as many salts as their document frequency asks for.
     """
     total = vocab.agg(F.sum("doc_freq")).scalar()
-    heavy = vocab.filter(F.col("doc_freq") * MAX_HEAVY > total).select(F.col("term").alias("token"))
+    hold = F.greatest(F.lit(TASK_ROWS), total / MOST_HEAVY)
+    heavy = vocab.filter(F.col("doc_freq") > hold).select(
+        F.col("term").alias("token"), F.ceil(F.col("doc_freq") / hold).alias("_salts"))
     ids = vocab.select(F.col("term").alias("token"), "term_id")
     found = lookup(counts, ids, "token", [key], heavy)
     return found.select(key, "term_id", "cnt")

@@ -1,4 +1,4 @@
-"""Lookups that stay balanced when one key holds a large share of the rows."""
+"""Lookups that stay balanced when some keys hold a large share of the rows."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MAX_HEAVY = 512
 SALTS = 32
+# Rows of one key that a task should hold, keys that a sketch follows, and how many of them may count as heavy.
+TASK_ROWS, TRACKED, MOST_HEAVY = 1_000_000, 1 << 17, 1 << 14
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 << 20
 
@@ -24,6 +26,21 @@ def heavy_keys(facts: DataFrame, keys, weight: Column | None = None,
     return counts.filter(F.col("_n") * max_keys > total).select(*keys)
 
 
+def heavy_hitters(facts: DataFrame, keys, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(_key, _salts): hashes of the keys with more rows than a task should hold, and how many tasks' worth they have.
+
+    Rows are counted by a frequent-items sketch of fixed size: each task fills one, and these are merged, so nothing
+    is shuffled by key.  The sketch misses no key with more than one in `MOST_HEAVY` of the rows; in a table so
+    large that this is more than `task_rows`, that is what a task holds.  So there are at most `MOST_HEAVY` rows.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    seen = facts.select(F.xxhash64(*keys).alias("_key")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(_key, {MOST_HEAVY}, {TRACKED})").alias("top")).first()
+    hold = max(task_rows, seen.n // MOST_HEAVY)
+    found = [(item["item"], -(-item["count"] // hold)) for item in seen.top or [] if item["count"] > hold]
+    return facts.sparkSession.createDataFrame(found, "_key bigint, _salts bigint")
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """About what a row takes in memory: text by its bytes, the rest by fixed widths."""
     total = F.lit(16)
@@ -55,7 +72,7 @@ def lookup(facts: DataFrame, dim: DataFrame, keys, salt_by: list, heavy: DataFra
     if fits_broadcast(dim, broadcast_rows):
         return facts.join(F.broadcast(dim), keys, how)
     if heavy is None:
-        heavy = heavy_keys(facts, keys)
+        heavy = heavy_hitters(facts, keys)
     return salted_lookup(facts, dim, keys, heavy, salt_by, how)
 
 
@@ -65,19 +82,21 @@ def salted_lookup(
 ) -> DataFrame:
     """Join `facts` to `dim` (unique on `keys`) with heavy keys spread over salts.
 
-    Rows of a heavy key get a salt from a hash of `salt_by`; the one matching
-    dimension row is repeated once per salt.  Only heavy dimension rows are
-    repeated, so `dim` grows by less than max_keys x salts rows.  The salt is a
-    hash, not a random number: a task that is run again gives the same rows.
+    `heavy` names keys, by their columns or by `_key`, the hash of these; its column `_salts` says how many salts each
+    gets, `salts` without it.  Rows of a heavy key get a salt from a hash of `salt_by`; the one matching dimension row
+    is repeated once per salt.  Only heavy dimension rows are repeated, so `dim` grows by no more rows than heavy keys
+    have salts.  The salt is a hash, not a random number: a task that is run again gives the same rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    marks = F.broadcast(heavy.select(*keys).distinct().withColumn("_heavy", F.lit(True)))
-    salt = F.when(
-        F.col("_heavy"), F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    ).otherwise(0)
-    left = facts.join(marks, keys, "left").withColumn("_salt", salt).drop("_heavy")
-    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = dim.join(marks, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    named = heavy if "_key" in heavy.columns else heavy.withColumn("_key", F.xxhash64(*keys))
+    many = F.col("_salts") if "_salts" in heavy.columns else F.lit(salts).cast("bigint")
+    marks = F.broadcast(named.groupBy("_key").agg(F.max(many).alias("_salts")))
+
+    def marked(df):
+        return df.withColumn("_key", F.xxhash64(*keys)).join(marks, "_key", "left").drop("_key")
+
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*salt_by), F.col("_salts"))).otherwise(F.lit(0).cast("bigint"))
+    left = marked(facts).withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
+    right = marked(dim).withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

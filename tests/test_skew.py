@@ -45,6 +45,25 @@ def test_salted_rows_are_spread(spark):
     assert len(parts) >= 6
 
 
+def test_salts_follow_measured_weights(spark):
+    """One key far above what a task should hold, and hundreds just under one in 512 of the rows."""
+    rows = [(k, -1) for k in range(60_000)] + [(k, k % 400) for k in range(60_000, 136_000)]
+    facts = spark.createDataFrame(rows, "id long, k long").repartition(6)
+    assert 76_000 / 400 < len(rows) / 512
+    hitters = {r._key: r._salts for r in skew.heavy_hitters(facts, "k", task_rows=1000).collect()}
+    assert list(hitters.values()) == [60]
+    fine = skew.heavy_hitters(facts, "k", task_rows=50)
+    assert sorted(r._salts for r in fine.collect()) == [4] * 400 + [1200]
+    dim = spark.createDataFrame([(k, k * 2) for k in range(-1, 390)], "k long, v long")
+    for how in ("inner", "left"):
+        got = skew.salted_lookup(facts, dim, "k", fine, ["id"], how)
+        assert got.select("id", "k", "v").exceptAll(facts.join(dim, "k", how).select("id", "k", "v")).count() == 0
+        assert got.count() == facts.join(dim, "k", how).count()
+    two = skew.heavy_hitters(facts.withColumn("j", F.lit("x")), ["k", "j"], task_rows=10_000)
+    assert [r._salts for r in two.collect()] == [6]
+    assert skew.heavy_hitters(facts.limit(0), "k").count() == 0
+
+
 def test_fill_forward_one_hot_group(spark):
     random.seed(5)
     rows = [("a" if random.random() < 0.7 else "b", i, str(i) if random.random() < 0.02 else None) for i in range(4000)]
