@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paperloom.operators.bow import corpus_counts
 from paperloom.operators.skew import lookup
-from paperloom.session import staged
+from paperloom.session import staged, staged_by
 
 MIN_COUNT = 5
 THRESHOLD = 10.0
@@ -145,11 +145,12 @@ def detect_ngrams(tokens: DataFrame, rounds: int = 2, key: str = "doc_id", colum
                   min_count: int = MIN_COUNT, threshold: float = THRESHOLD):
     """Repeat detection on the rewritten text; two rounds reach four words.
 
+    Texts are stored by document; if `tokens` is such a table (`paperloom.session.staged_by`), no round moves them.
     Returns the rewritten documents and the phrase table of each round.
     """
     tables = []
     for _ in range(rounds):
         phrases = phrase_scores(tokens, column, min_count, threshold)
         tables.append(phrases)
-        tokens = staged(apply_phrases(tokens, phrases, key, column), "ngrams")
+        tokens = staged_by(apply_phrases(tokens, phrases, key, column), key, "ngrams")
     return tokens, tables

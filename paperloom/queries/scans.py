@@ -17,8 +17,9 @@ from paperloom.queries.markup import PAPER_TEXT_SQL, papers
 from paperloom.queries.reconciliation import logged
 from paperloom.queries.registry import Tables, query
 from paperloom.queries.sources import RECORDS_SQL, packed, record_xml
+from paperloom.queries.terms import stored_tokens
 from paperloom.queries.texts import TOKENS_SQL, digest, token_table
-from paperloom.session import scratch_path, staged
+from paperloom.session import scratch_path, staged, staged_by
 from paperloom.sources import archives as A, files, sinks, tables, xml_records as X
 
 
@@ -223,7 +224,7 @@ FROM each LEFT JOIN best ON token = word GROUP BY doc_id"""
 @query(NORMALISED_SQL)
 def normalised_words(t):
     """Stop list, punctuation, lemma, split; the corpus's own words serve as the lexicon."""
-    tokens = staged(t.documents.select("doc_id", T.stop_free_words("text", STOP).alias("tokens")), "tokens")
+    tokens = staged_by(t.documents.select("doc_id", T.stop_free_words("text", STOP).alias("tokens")), "doc_id", "tokens")
     words = staged(tokens.select(F.explode("tokens").alias("word")).distinct(), "words")
     lemmas = staged(L.lemma_table(words, words), "lemmas")
     found = L.lemmatise(tokens, lemmas)
@@ -234,7 +235,7 @@ def normalised_words(t):
        "WHERE w NOT IN (SELECT DISTINCT lower(p_name) FROM part) AND length(w) > 2 GROUP BY doc_id")
 def words_of_no_list(t):
     """A stop list as a table: the short words of the corpus and the names of parts."""
-    tokens = staged(token_table(t).select("doc_id", "tokens"), "tokens")
+    tokens = stored_tokens(t)
     short = tokens.select(F.explode("tokens").alias("word")).filter(F.length("word") <= 2)
     listed = staged(short.unionByName(t.part.select(F.lower("p_name").alias("word"))).distinct(), "stop")
     kept = filters.without_words(tokens, listed)

@@ -8,7 +8,7 @@ from paperloom.functions.text import word_runs
 from paperloom.operators import bow as B, lemmas as L, phrases as P
 from paperloom.queries.registry import query
 from paperloom.queries.texts import TOKENS_SQL, digest, token_table
-from paperloom.session import staged
+from paperloom.session import staged, staged_by
 
 COUNTS_SQL = f"""
   SELECT doc_id, token, count(*) AS cnt
@@ -109,8 +109,8 @@ def phrase_scores(t):
 
 
 def stored_tokens(t):
-    """Tokens as a stored table: phrase detection reads them several times."""
-    return staged(token_table(t).select("doc_id", "tokens"), "tokens")
+    """Tokens as a table stored by document: what is found in them comes to them, and they stay where they are."""
+    return staged_by(token_table(t).select("doc_id", "tokens"), "doc_id", "tokens")
 
 
 @query(f"""{PHRASES_SQL}

@@ -100,6 +100,21 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def staged_by(df: DataFrame, key: str, name: str = "stage", buckets: int | None = None) -> DataFrame:
+    """`staged`, dealt into buckets by `key` and sorted in them, so that what is grouped by the key later meets these rows in place.
+
+    For tables with wide rows, such as token arrays: they are shuffled once, when they are stored, or not at all if they are
+    dealt by the key already.  There are as many buckets as shuffle partitions unless `buckets` says otherwise.  The table
+    is external, in the session's catalogue under a name of its own.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = os.path.basename(path).replace("-", "_")
+    df.repartition(count, key).write.bucketBy(count, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a stage table that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
