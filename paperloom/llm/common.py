@@ -18,6 +18,8 @@ __all__ = ["bounded", "bounded_batches", "components", "read_table", "scratch_pa
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Rows of a table of a few narrow columns that may be broadcast.
 BROADCAST_ROWS = 200_000
+# Settings of the C library's mallopt (fixed numbers of its interface).
+_TRIM_THRESHOLD, _MMAP_THRESHOLD = -1, -3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -35,6 +37,16 @@ def _libc():
         return None
 
 
+@lru_cache(maxsize=1)
+def _sparing() -> None:
+    """Let this process hold little memory that it has freed: large blocks apart, Arrow without a pool of its own."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    tune = getattr(_libc(), "mallopt", None)
+    if tune is not None:
+        for setting in (_TRIM_THRESHOLD, _MMAP_THRESHOLD):
+            tune(setting, 1 << 20)
+
+
 def give_back() -> None:
     """Return freed memory of this process to the system, as far as its allocators can."""
     pa.default_memory_pool().release_unused()
@@ -50,6 +62,7 @@ def released(run):
     with it, and add to what the next stages need.
     """
     def wrapped(batches):
+        _sparing()
         try:
             yield from run(batches)
         finally:
