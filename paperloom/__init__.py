@@ -9,6 +9,6 @@ Sub-packages
     streaming  incremental, exactly-once versions of the flows
 """
 
-from paperloom.session import build_session, shared_checkpoint
+from paperloom.session import build_session
 
-__all__ = ["build_session", "shared_checkpoint"]
+__all__ = ["build_session"]

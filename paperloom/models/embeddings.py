@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paperloom.operators.bow import each_token, term_counts
 from paperloom.operators.skew import lookup
+from paperloom.session import staged
 
 
 def train_words(tokens: DataFrame, width: int = 300, window: int = 5, min_count: int = 5,
@@ -69,8 +70,11 @@ def document_vectors(tokens: DataFrame, words: DataFrame, key: str = "doc_id", c
 
 
 def infer_vectors(model: Word2VecModel, tokens: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Vectors of documents, seen or unseen, with the trained model itself."""
-    return model.transform(tokens).select(key, vector_to_array("vector").alias("vector"))
+    """Vectors of documents, seen or unseen, by a trained model.
+
+    The model's words are stored as a table and joined, as in `document_vectors`, so they may be of any size.
+    """
+    return document_vectors(tokens, staged(word_table(model), "words"), key)
 
 
 def idf_weights(tokens: DataFrame, column: str = "tokens") -> DataFrame:

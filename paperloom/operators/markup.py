@@ -26,14 +26,6 @@ def failed_documents(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
     return parsed.filter(F.col("error").isNotNull()).select(key, "error")
 
 
-def citations_of(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
-    return parsed.select(key, F.explode("citations").alias("c")).select(key, "c.*")
-
-
-def bibitems_of(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
-    return parsed.select(key, F.explode("bibitems").alias("b")).select(key, "b.*")
-
-
 def classify_citations(resolved: DataFrame) -> DataFrame:
     """Add `use`: parenthetical, in_text, or null where a citation is not counted."""
     textual = F.col("cite_class").isin(*C.TEXTUAL_CLASSES) & F.col("cite_key").isNotNull()

@@ -210,23 +210,8 @@ def unconverted(submissions: DataFrame, outputs: DataFrame, logs: DataFrame,
     return pending(keyed, "submission_id", outputs, logs)
 
 
-def resolve_citations(citations: DataFrame, bibitems: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Citations with the label of the first bibliography item of that key.
-
-    `found` tells an item without a label from no item at all.
-    """
-    first = first_per_group(
-        bibitems.select(key, F.col("key").alias("cite_key"), "pos", "label"),
-        [key, "cite_key"], ["pos"],
-    ).select(key, "cite_key", "label", F.lit(True).alias("found"))
-    cited = citations.select(key, "pos", F.col("class").alias("cite_class"), F.col("key").alias("cite_key"))
-    return cited.join(first, [key, "cite_key"], "left").withColumn(
-        "found", F.coalesce("found", F.lit(False))
-    )
-
-
 __all__ = [
     "attach_category", "contained_members", "conversion_outcome", "corpus_categories",
     "empty_submissions", "known_members", "missing_ids", "missing_rows", "pending", "reconcile",
-    "resolve_citations", "restart_archives", "source_tier", "unconverted",
+    "restart_archives", "source_tier", "unconverted",
 ]

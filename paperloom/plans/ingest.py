@@ -85,9 +85,3 @@ def plan_sources(spark: SparkSession, origin: DataFrame, local_prefix: str | Non
         else origin.limit(0).select("path")
     )
     return source_tier(origin, local, mirror)
-
-
-def outcome_report(submissions: DataFrame, logs: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Counts of converted, failed and pending submissions."""
-    state = conversion_outcome(submissions, logs, outputs)
-    return state.groupBy("outcome").agg(F.count("*").alias("submissions"))

@@ -76,16 +76,43 @@ def word_neighbours(t):
         (F.coalesce(F.col("above") >= F.col("similarity"), F.lit(True)) & F.col("similarity").between(-1.0001, 1.0001)).alias("ordered"))
 
 
+@query(f"""
+SELECT DISTINCT ((doc_id % 3) + 3) % 3 AS subject, 'w' || length(token) % 6 || '_' || ((doc_id % 3) + 3) % 3 AS word, CAST(5 AS BIGINT) AS near
+FROM (SELECT doc_id, unnest(tokens) AS token FROM ({TOKENS_SQL}))""")
+def planted_neighbours(t):
+    """Of a corpus of three subjects with six words each, a word's five nearest are the other words of its subject."""
+    tokens = _of_three_subjects(stored_tokens(t))
+    words = staged(E.word_table(E.train_words(tokens, width=100, window=5, min_count=1, iterations=5, partitions=WORKERS, seed=1)), "words")
+    found = S.nearest_all(words, 5, key="word")
+    subject = lambda c: F.substring_index(c, "_", -1)
+    return found.groupBy("word").agg(F.count_if(subject("word") == subject("neighbour")).alias("near")).select(
+        subject("word").cast("long").alias("subject"), "word", "near")
+
+
+@query(f"""
+SELECT token AS word, CAST(50 AS BIGINT) AS width FROM (SELECT unnest(tokens) AS token FROM ({TOKENS_SQL}))
+GROUP BY token HAVING count(*) >= 5""")
+def stored_words(t):
+    """A word model is trained and stored; asked for again, with other settings, it is the stored one that comes."""
+    tokens = stored_tokens(t)
+    path = scratch_path(t.spark, "words")
+    E.words_or_train(tokens, path, width=50, window=5, min_count=5, iterations=2, partitions=WORKERS, seed=1)
+    again = E.words_or_train(tokens, path, width=10, min_count=10**9)
+    return E.word_table(again).select("word", F.size("vector").cast("long").alias("width"))
+
+
 @query("SELECT doc_id, CAST(100 AS BIGINT) AS width, true AS agrees FROM documents")
 def doc_vectors(t):
-    """100 wide, four iterations: a document's vector is the mean over its words of the stored word table."""
+    """100 wide, four iterations: a document's vector is the mean of its words', here taken cell by cell."""
     tokens = stored_tokens(t)
     model = E.train_words(tokens, width=100, window=5, min_count=1, iterations=4, partitions=WORKERS, seed=1)
-    words = staged(E.word_table(model), "words")
-    means = E.document_vectors(tokens, words).select("doc_id", F.col("vector").alias("mean"))
-    both = E.infer_vectors(model, tokens).join(means, "doc_id")
+    words = E.word_table(model)
+    cells = (B.term_counts(tokens).join(words, F.col("token") == F.col("word")).select("doc_id", "cnt", F.posexplode("vector").alias("pos", "value"))
+             .groupBy("doc_id", "pos").agg((F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("value")))
+    means = cells.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda c: c["value"]).alias("mean"))
+    both = E.infer_vectors(model, tokens).join(means, "doc_id", "left")
     gap = F.aggregate(F.zip_with("vector", "mean", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda s, v: F.greatest(s, v))
-    return both.select("doc_id", F.size("vector").cast("long").alias("width"), F.coalesce(gap < 1e-4, F.col("mean").isNull()).alias("agrees"))
+    return both.select("doc_id", F.coalesce(F.size("vector").cast("long"), F.lit(100)).alias("width"), F.coalesce(gap < 1e-4, F.col("mean").isNull()).alias("agrees"))
 
 
 @query("SELECT true AS complete, true AS finite, true AS laid_out")

@@ -20,7 +20,7 @@ from paperloom.queries.sources import RECORDS_SQL, packed, record_xml
 from paperloom.queries.terms import stored_tokens
 from paperloom.queries.texts import TOKENS_SQL, digest, token_table
 from paperloom.session import scratch_path, staged, staged_by
-from paperloom.sources import archives as A, files, sinks, tables, xml_records as X
+from paperloom.sources import archives as A, files, sinks, submission_files, tables, xml_records as X
 
 
 @query("SELECT DISTINCT p_brand AS brand FROM part")
@@ -49,20 +49,25 @@ def whole_files(t):
     return files.read_documents(t.spark, path).select(F.md5("text").alias("digest"))
 
 
-@query("SELECT count(*) AS elements FROM nation")
+def _supplier_files(t, suffix, content):
+    """One file for each supplier, below one folder."""
+    path = scratch_path(t.spark, "files")
+    t.spark.dataSource.register(submission_files.SubmissionFiles)
+    number = F.col("s_suppkey").cast("string")
+    t.supplier.select(F.lit("suppliers").alias("archive"), F.lit("all").alias("submission_id"), F.concat(number, F.lit(suffix)).alias("inner_path"),
+                      F.encode(content, "utf-8").alias("content")).write.format(submission_files.FORMAT).mode("append").save(path)
+    return path
+
+
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS doc_id, '<one><name>' || s_name || '</name></one>' AS xml FROM supplier")
 def markup_files(t):
-    path = scratch_path(t.spark, "markup")
-    t.nation.select("n_name").write.format("xml").option("rootTag", "all").option("rowTag", "one").save(path)
-    read = files.read_markup(t.spark, path)
-    return read.agg(F.sum(F.regexp_count("xml", F.lit("<one>"))).alias("elements"))
+    path = _supplier_files(t, ".xml", F.concat(F.lit("<one><name>"), "s_name", F.lit("</name></one>")))
+    return files.read_markup(t.spark, path)
 
 
-@query("SELECT 'part' AS prefix, count(DISTINCT p_brand) AS files FROM part")
+@query("SELECT CAST(s_suppkey AS VARCHAR) AS submission_id FROM supplier")
 def written_outputs(t):
-    path = scratch_path(t.spark, "outputs")
-    t.part.select("p_brand", "p_name").repartition("p_brand").write.partitionBy("p_brand").text(path)
-    found = files.output_inventory(t.spark, path, ".txt")
-    return found.groupBy(F.substring_index("submission_id", "-", 1).alias("prefix")).agg(F.count("*").alias("files"))
+    return files.output_inventory(t.spark, _supplier_files(t, ".zip", F.col("s_name")), ".zip")
 
 
 @query("SELECT 'n=' || s_nationkey AS archive, 's=' || s_suppkey AS submission_id, md5(s_name || chr(10)) AS digest FROM supplier")

@@ -63,12 +63,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{os.urandom(6).hex()}"
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise `df` reliably, so rows and partitions no longer change."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per context.
 
