@@ -2,8 +2,9 @@
 
 A page is read once into blocks of text and the elements that hold them.  Every block element outside a declared
 article, and every structural container (`div`, `section`, lists, tables) inside one, gets a hash of the tags and texts of
-its subtree; Spark counts in how many different pages of a host each hash occurs, and subtrees that occur in `MIN_PAGES`
-of them are deleted, however many pages the host has.  Where the page declares its article (`article`, `main` or role
+its subtree; Spark counts in how many different pages of a host each hash occurs.  Containers that occur in `MIN_PAGES` of them
+are deleted, however many pages the host has; single paragraphs, headings and the like, which pages may share by chance or
+by quoting, only if a share of `MIN_SHARE` of the host's pages holds them as well.  Where the page declares its article (`article`, `main` or role
 main), the text is that element without the parts marked as menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles or reader comments, and without recurring containers; a paragraph that many articles quote stays.  Where
 it declares none, the text is the body without marked parts and without the recurring subtrees.
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.common import staged
 
-# A subtree is template if at least so many different pages of its host hold it.
-MIN_PAGES = 5
+# A subtree is template if at least so many different pages of its host hold it, and one that is no container only if
+# they are this share of the host's pages.
+MIN_PAGES, MIN_SHARE = 5, 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -45,7 +47,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 _DROPPED = frozenset(
     "nav footer aside form script style textarea title noscript template iframe svg button select dialog menu "
-    "object canvas math head xmp noembed noframes".split())
+    "object canvas head xmp noembed noframes".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search "
@@ -58,6 +60,11 @@ _MARKS = frozenset(
     "sidebar breadcrumb breadcrumbs cookie cookies consent gdpr notice notices popup modal newsletter subscribe "
     "comment comments disqus respond replies footer masthead social share sharing related recommended widget login "
     "signup pagination pager".split())
+# What else a class name of several words may hold if one of its words is a mark: names of places, forms and numbers.
+_LAYOUT = frozenset(
+    "area bar block body bottom box btn button buttons col column container content form global group head header icon "
+    "icons inner item items js left line link links list main mobile module outer page panel primary region right "
+    "root row secondary section site slot sticky top unit user wrap wrapper".split())
 # What a start tag closes, and the elements in which the open one stays.
 _CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -82,13 +89,22 @@ def _marked(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
                 if value.strip() in _ROLES:
                     return True, False
             elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-                if not _MARKS.isdisjoint(_SPLIT.split(value)):
+                if _names_mark(value):
                     return True, False
-            elif name in ("class", "id") and tag == "article" and not {"comment", "comments", "reply"}.isdisjoint(_SPLIT.split(value)):
+            elif name in ("class", "id") and tag == "article" and _names_mark(value, frozenset({"comment", "comments", "reply"})):
                 return True, False
     return False, main
 
 
+def _names_mark(value: str, marks=_MARKS) -> bool:
+    """Whether a class or id names a marked part: a mark alone, or with words of layout.  `notice-of-motion` does not."""
+    for name in value.split():
+        words = {w for w in _SPLIT.split(name) if w}
+        if words & marks and words <= marks | _LAYOUT:
+            return True
+    return False
+
+
 class Page:
     """Blocks of one page, and the elements that may be template.
 
@@ -129,7 +145,7 @@ class Page:
             articles -= root
             if owns:
                 digest = xxhash.xxh64_intdigest("\x1f".join([tag, *parts]).encode("utf-8", "replace"))
-                self.hashes[node] = digest - (1 << 63)
+                self.hashes[node] = (digest & ~1 | (tag in _CONTAINERS)) - (1 << 63)  # odd: a container
                 if stack and stack[-1][3] >= 0:
                     stack[-1][4].append(f"\x1e{digest:x}")
 
@@ -268,15 +284,20 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text) for each row of `pages` (page_id, url, html)."""
     source = F.coalesce(F.col("html").cast("string"), F.lit(""))
     narrow = pages.select("page_id", F.col("url").cast("string").alias("url"), source.alias("html"),
                           host_of(F.col("url").cast("string")).alias("host"), F.xxhash64(source).alias("key"))
     kind = narrow.schema["page_id"].dataType.simpleString()
     parsed = staged(narrow.mapInArrow(_parse, f"page_id {kind}, url string, host string, key long, {_PARSED}"), "pages")
-    recurring = (parsed.select("host", F.xxhash64("texts").alias("same"), F.explode("hashes").alias("hash")).distinct()
-                 .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "hash"))
+    different = parsed.select("host", F.xxhash64("texts").alias("same"), "hashes")
+    frequent = (different.select("host", "same", F.explode("hashes").alias("hash")).distinct()
+                .groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages))
+    sizes = different.select("host", "same").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    container = F.pmod("hash", F.lit(2)) == 1
+    recurring = (frequent.where(container).select("host", "hash")
+                 .unionByName(frequent.where(~container).join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "hash")))
     concerned = F.exists("nodes", lambda n: n >= 0)
     rest = parsed.where(concerned)
     hits = (rest.select("host", "key", F.explode("hashes").alias("hash")).distinct().join(recurring, ["host", "hash"])

@@ -28,6 +28,71 @@ def test_text_of_a_page(source, want):
     assert html.Page(source or "").text() == want
 
 
+def test_words_in_class_names_are_no_marks():
+    kept = ["<div class='related-work'>a</div>", "<p class='notice-of-motion'>b</p>", "<section id='comment-on-theorem'>c</section>",
+            "<div class='social-science'>d</div>", "<p>e <math><mi>x</mi></math>"]
+    gone = [f"<div class='{c}'>no</div>" for c in ("ad", "box ad-box", "site-nav", "cookie-notice", "comment-list", "share-buttons", "sidebar-right")]
+    assert html.Page("<article>" + "".join(kept + gone) + "</article>").text() == "a\nb\nc\nd\ne x"
+
+
+def brute(rows, min_pages, min_share):
+    """Texts of pages of <div>, <p> and text alone, by counting subtrees as they are written."""
+    import collections
+    import re
+
+    def subtrees(source):
+        out, stack = [], []
+        for m in re.finditer(r"<(/?)(div|p)>", source):
+            if not m[1]:
+                stack.append(m.start())
+            else:
+                out.append(source[stack.pop(): m.end()])
+        return out
+
+    hosts, counts = collections.defaultdict(set), collections.defaultdict(set)
+    text = lambda source: [x for x in re.split(r"</?(?:div|p)>", source) if x]
+    for _, url, source in rows:
+        host = url.split("/")[2]
+        hosts[host].add(tuple(text(source)))
+        for tree in subtrees(source):
+            counts[host, tree].add(tuple(text(source)))
+    out = {}
+    for key, url, source in rows:
+        host = url.split("/")[2]
+        gone = {tree for tree in subtrees(source) if len(counts[host, tree]) >= min_pages and (
+            tree.startswith("<div>") or len(counts[host, tree]) >= min_share * len(hosts[host]))}
+        for tree in sorted(gone, key=len, reverse=True):
+            source = source.replace(tree, "<p></p>")
+        out[key] = "\n".join(text(source))
+    return out
+
+
+def test_counts_against_brute_force(spark):
+    """Pages that declare no article, made of a few shared subtrees: what goes is what is counted."""
+    import random
+
+    rng = random.Random(11)
+    rows = []
+    for k in range(240):
+        host = rng.choice("abbbcccccc")
+        parts = [f"<p>own {k} {j}</p>" for j in range(rng.randrange(1, 4))]
+        for j in range(12):
+            if rng.random() < (j + 1) / 30:
+                parts.insert(rng.randrange(len(parts) + 1), f"<p>line {j}</p>" if j % 2 else f"<div><p>box {j}</p><div><p>in {j}</p></div></div>")
+        rows.append((k, f"http://{host}.org/{k}", "".join(parts)))
+    got = {r.page_id: r.text for r in html.main_texts(pages(spark, rows)).collect()}
+    want = brute(rows, html.MIN_PAGES, html.MIN_SHARE)
+    assert got == want
+    lines = [t for text in want.values() for t in text.split("\n")]
+    assert any(t.startswith("line") for t in lines) and not any(t == "box 10" for t in lines)
+
+
+def test_a_stock_sentence_on_a_few_pages_stays(spark):
+    rows = [(k, f"http://a.org/{k}", f"<p>story {k}</p>" + ("<p>He was never seen again.</p>" if k < 9 else "")) for k in range(200)]
+    out = {r.page_id: r.text for r in html.main_texts(pages(spark, rows)).collect()}
+    assert all(out[k] == f"story {k}\nHe was never seen again." for k in range(9))
+
+
 def test_recurring_subtrees_go(spark):
     import random
 
