@@ -62,9 +62,10 @@ _MARKS = frozenset(
     "signup pagination pager".split())
 # What else a class name of several words may hold if one of its words is a mark: names of places, forms and numbers.
 _LAYOUT = frozenset(
-    "area bar block body bottom box btn button buttons col column container content form global group head header icon "
-    "icons inner item items js left line link links list main mobile module outer page panel primary region right "
-    "root row secondary section site slot sticky top unit user wrap wrapper".split())
+    "area article bar block blog body bottom box btn button buttons col column container content count entry form global group head "
+    "header icon icons inner item items js label left line link links list main mobile module news outer page panel post "
+    "primary reader readers region right root row secondary section site slot sticky story text title tools top unit user "
+    "wrap wrapper".split())
 # What a start tag closes, and the elements in which the open one stays.
 _CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),

@@ -31,7 +31,7 @@ def test_text_of_a_page(source, want):
 def test_words_in_class_names_are_no_marks():
     kept = ["<div class='related-work'>a</div>", "<p class='notice-of-motion'>b</p>", "<section id='comment-on-theorem'>c</section>",
             "<div class='social-science'>d</div>", "<p>e <math><mi>x</mi></math>"]
-    gone = [f"<div class='{c}'>no</div>" for c in ("ad", "box ad-box", "site-nav", "cookie-notice", "comment-list", "share-buttons", "sidebar-right")]
+    gone = [f"<div class='{c}'>no</div>" for c in ("ad", "box ad-box", "site-nav", "cookie-notice", "comment-list", "share-buttons", "sidebar-right", "article-footer", "reader-comments")]
     assert html.Page("<article>" + "".join(kept + gone) + "</article>").text() == "a\nb\nc\nd\ne x"
 
 
