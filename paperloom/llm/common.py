@@ -2,75 +2,23 @@
 
 from __future__ import annotations
 
-import ctypes
-from functools import lru_cache
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.memory import bounded_batches, give_back, released
 from paperloom.session import scratch_path, shared_dir, ship_package, staged
 
-__all__ = ["bounded", "bounded_batches", "components", "read_table", "scratch_path", "shared_dir", "staged", "words_column"]
+__all__ = ["bounded", "bounded_batches", "components", "give_back", "read_table", "released", "scratch_path", "shared_dir", "staged",
+           "words_column"]
 
 # Runs of ASCII letters and digits and of anything outside ASCII.
 WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Rows of a table of a few narrow columns that may be broadcast.
 BROADCAST_ROWS = 200_000
-# Settings of the C library's mallopt (fixed numbers of its interface).
-_TRIM_THRESHOLD, _MMAP_THRESHOLD = -1, -3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound Arrow batches by rows and by bytes, so that a Python worker never holds more than one small batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-
-
-@lru_cache(maxsize=1)
-def _libc():
-    try:
-        return ctypes.CDLL(None)
-    except OSError:
-        return None
-
-
-@lru_cache(maxsize=1)
-def _sparing() -> None:
-    """Let this process hold little memory that it has freed: large blocks apart, Arrow without a pool of its own."""
-    pa.set_memory_pool(pa.system_memory_pool())
-    tune = getattr(_libc(), "mallopt", None)
-    if tune is not None:
-        for setting in (_TRIM_THRESHOLD, _MMAP_THRESHOLD):
-            tune(setting, 1 << 20)
-
-
-def give_back() -> None:
-    """Return freed memory of this process to the system, as far as its allocators can."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(_libc(), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
-def released(run):
-    """A function of Arrow batches that gives memory back when a task ends.
-
-    A worker process serves the tasks of all stages, one after another; what a stage's largest batch took would else stay
-    with it, and add to what the next stages need.
-    """
-    def wrapped(batches):
-        _sparing()
-        try:
-            yield from run(batches)
-        finally:
-            give_back()
-
-    return wrapped
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     bounded_batches(spark)

@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paperloom.memory import bounded_batches
 from paperloom.session import ship_package
 
 _PLANS: dict[str, Callable] = {}
@@ -19,6 +20,7 @@ class Tables:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark, self._directory = spark, directory.rstrip("/")
         ship_package(spark)
+        bounded_batches(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

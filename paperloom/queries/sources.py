@@ -14,6 +14,7 @@ import tarfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from paperloom.memory import released
 from paperloom.operators.aggregates import harvest_progress
 from paperloom.queries.markup import escaped
 from paperloom.queries.reconciliation import logged
@@ -279,7 +280,7 @@ def _pack(frames):
 
 
 def packed(t: Tables, condition="true"):
-    return t.documents.where(condition).select("doc_id", "text").mapInPandas(_pack, "path string, content binary")
+    return t.documents.where(condition).select("doc_id", "text").mapInPandas(released(_pack), "path string, content binary")
 
 
 def land(archives, root: str, group: str) -> None:

@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from paperloom import schemas as S
 from paperloom.functions.paths import base_name, ends_with_any, member_kind, stem
+from paperloom.memory import released
 
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 # Kinds of rows that report an archive or a member that could not be read.
 FAILURE_KINDS = ("not_tar", "error")
 _UNREADABLE = (tarfile.TarError, OSError, EOFError, zlib.error)
@@ -83,7 +84,7 @@ def tar_members(
         except _UNREADABLE as problem:
             yield path, None, "error" if opened else "not_tar", str(problem), None
 
-    sliced = archives.select("path", "content").mapInPandas(slice_members, _SLICED)
+    sliced = archives.select("path", "content").mapInPandas(released(slice_members), _SLICED)
     return sliced.select(
         base_name("path").alias("tar_name"),
         "member_name",
@@ -183,7 +184,7 @@ def inner_files(members: DataFrame, suffixes=None, recursive: bool = False) -> D
     )
     return packed.select(
         "tar_name", "member_name", "submission_id", "kind", "error", "content"
-    ).mapInPandas(unpack, S.INNER_FILES)
+    ).mapInPandas(released(unpack), S.INNER_FILES)
 
 
 def tex_files(files: DataFrame, suffixes=(".tex", ".ltx")) -> DataFrame:
