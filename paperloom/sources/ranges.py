@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions.paths import base_name, member_kind, stem
+from paperloom.memory import released
 from paperloom.sources.archives import _UNREADABLE, BATCH_BYTES, inner_files, wanted_members
 from paperloom.sources.files import list_objects
 from paperloom.sources.storage import file_system
@@ -77,6 +78,15 @@ def _walk(path, wanted, name_part):
         yield path, None, None, None, "error" if opened else "not_tar", str(problem)
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows that name work, dealt to as many tasks as shuffles have.
+
+    The number is given on purpose: the rows are short whatever lies behind them, so without it adaptive execution would
+    merge them all into one task.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def index_archives(listing: DataFrame, suffixes=(".gz", ".pdf"), name_part: str | None = None) -> DataFrame:
     """(path) of archives -> (path, member_name, header, ending, kind, error), a row for each wanted member.
 
@@ -101,7 +111,7 @@ def index_archives(listing: DataFrame, suffixes=(".gz", ".pdf"), name_part: str
         if rows:
             yield batch()
 
-    return listing.select("path").repartition("path").mapInArrow(run, _INDEX)
+    return _dealt(listing.select("path"), "path").mapInArrow(released(run), _INDEX)
 
 
 def member_ranges(index: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -141,8 +151,7 @@ def read_ranges(ranges: DataFrame, suffixes=(".gz", ".pdf"), name_part: str | No
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), _MEMBERS)], schema=_MEMBERS)
 
-    dealt = ranges.select("path", "start", "last").repartition("path", "start")
-    return dealt.mapInArrow(run, "path string, member_name string, kind string, error string, content binary")
+    return _dealt(ranges.select("path", "start", "last"), "path", "start").mapInArrow(released(run), "path string, member_name string, kind string, error string, content binary")
 
 
 def split_members(spark: SparkSession, listing: DataFrame, suffixes=(".gz", ".pdf"), name_part: str | None = None,
