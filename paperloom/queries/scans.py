@@ -22,6 +22,9 @@ from paperloom.queries.texts import TOKENS_SQL, digest, token_table
 from paperloom.session import scratch_path, staged, staged_by
 from paperloom.sources import archives as A, files, sinks, submission_files, tables, xml_records as X
 
+# The folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 @query("SELECT DISTINCT p_brand AS brand FROM part")
 def object_listing(t):
@@ -73,7 +76,14 @@ def written_outputs(t):
 @query("SELECT 'n=' || s_nationkey AS archive, 's=' || s_suppkey AS submission_id, md5(s_name || chr(10)) AS digest FROM supplier")
 def submission_tree(t):
     path = scratch_path(t.spark, "tree")
-    t.supplier.select(F.col("s_nationkey").alias("n"), F.col("s_suppkey").alias("s"), "s_name").write.partitionBy("n", "s").text(path)
+    folder = lambda name, c: F.concat(F.lit(f"{name}="), F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)))
+    lines = t.supplier.groupBy(folder("n", "s_nationkey").alias("archive"), folder("s", "s_suppkey").alias("submission_id")).agg(
+        F.array_join(F.collect_list(F.coalesce("s_name", F.lit(""))), "\n").alias("lines"))
+    # a number of its own, as rows this short would all be merged into one task; tasks commit their files themselves
+    dealt = lines.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "archive", "submission_id")
+    t.spark.dataSource.register(submission_files.SubmissionFiles)
+    dealt.select("archive", "submission_id", F.lit("lines.txt").alias("inner_path"), F.concat("lines", F.lit("\n")).cast("binary").alias(
+        "content")).write.format(submission_files.FORMAT).mode("append").save(path)
     tree = files.read_submission_tree(t.spark, path, ".txt")
     return tree.select("archive", "submission_id", F.md5("content").alias("digest"))
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paperloom import constants as C
 from paperloom.functions.paths import stem
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def list_objects(spark: SparkSession, prefix: str, suffix: str | None = ".tar") -> DataFrame:
     """Objects below a prefix: path, length, modification time.
@@ -88,12 +90,14 @@ def read_submission_tree(spark: SparkSession, root: str, suffix: str = ".tex") -
     Files that lie directly in an archive directory belong to no submission and
     are left out.
     """
-    scan = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(root)
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+    # folders are listed when the scan is made: by as many tasks as shuffles have, not by one for each folder
+    held = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        scan = reader.load(root)
+    finally:
+        spark.conf.set(LISTING_TASKS, held)
     cleaned = root.rstrip("/").rsplit("/", 1)[-1]
     inside = F.regexp_extract("path", rf"/{_quoted(cleaned)}/([^/]+)/([^/]+)/(.+)$", 3)
     return scan.select(
