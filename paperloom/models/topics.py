@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paperloom.models import spread_topics
 from paperloom.operators.bow import bag_of_words, term_counts, vocabulary
-from paperloom.session import scratch_path, shared_dir, staged
+from paperloom.session import staged
 
 # What MLlib takes for a vocabulary without a bound.
 UNBOUNDED = (1 << 31) - 1
@@ -41,34 +41,14 @@ def train_topics(vectors: DataFrame, k: int = 3, passes: int = 50, seed: int = 0
     return lda.fit(vectors)
 
 
-def term_vectors(bag: DataFrame, terms: int, key: str = "doc_id") -> DataFrame:
-    """(document, features): sparse vectors of a bag of words (document, term_id, cnt) over `terms` terms.
+def train_spread_topics(bag: DataFrame, terms: int, k: int = 3, passes: int = 50, seed: int = 0, key: str = "doc_id",
+                        concentration: float = 1.1) -> spread_topics.SpreadTopics:
+    """LDA by expectation maximisation on a bag of words (document, term_id, cnt) over `terms` terms.
 
-    The parts of a vector are written as a table and read back as vectors, so they are put together without Python.
-    """
-    spark = bag.sparkSession
-    listed = bag.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "cnt"))).alias("pairs"))
-    parts = F.struct(
-        F.lit(0).cast("tinyint").alias("type"), F.lit(terms).cast("int").alias("size"),
-        F.transform("pairs", lambda p: p["term_id"].cast("int")).alias("indices"),
-        F.transform("pairs", lambda p: p["cnt"].cast("double")).alias("values"))
-    path = scratch_path(spark, "term-vectors")
-    table = listed.select(key, parts.alias("features"))
-    table.write.parquet(path)
-    return spark.read.schema(T.StructType([table.schema[key], T.StructField("features", VectorUDT())])).parquet(path)
-
-
-def train_spread_topics(vectors: DataFrame, k: int = 3, passes: int = 50, seed: int = 0, column: str = "features",
-                        concentration: float = 1.1):
-    """LDA by expectation maximisation on the graph of documents and terms.
-
-    Topic weights of a document or a term live at its vertex, so nothing of the size of the vocabulary is on the driver.
-    The graph is written to the shared folder every ten passes, so lineage stays short.
+    Topic weights of documents and terms lie in blocks, so nothing of the size of the vocabulary is on the driver.
     The nearer `concentration` is to 1, the fewer topics a document and the fewer terms a topic has.
     """
-    shared_dir(vectors.sparkSession)
-    return LDA(k=k, maxIter=passes, optimizer="em", seed=seed, checkpointInterval=10, featuresCol=column,
-               docConcentration=[concentration], topicConcentration=concentration).fit(vectors)
+    return spread_topics.train(bag, terms, k, passes, seed, key, concentration)
 
 
 def train_corpus_topics(tokens: DataFrame, k: int = 3, passes: int = 50, seed: int = 0, key: str = "doc_id", min_df: int = 1):
@@ -76,7 +56,7 @@ def train_corpus_topics(tokens: DataFrame, k: int = 3, passes: int = 50, seed: i
     counts = staged(term_counts(tokens, key), "term-counts")
     vocab = staged(vocabulary(counts), "vocabulary")
     bag = bag_of_words(counts, vocab.filter(F.col("doc_freq") >= min_df), key)
-    return train_spread_topics(term_vectors(bag, vocab.count(), key), k, passes, seed), vocab.select("term_id", "term")
+    return train_spread_topics(bag, vocab.count(), k, passes, seed, key), vocab.select("term_id", "term")
 
 
 def corpus_topics(tokens: DataFrame, k: int = 3, passes: int = 50, n: int = 10, seed: int = 0, key: str = "doc_id",
@@ -103,11 +83,14 @@ def topic_terms(model, vocab: DataFrame, n: int = 10) -> DataFrame:
 
 
 def save_model(model, path: str) -> None:
+    if isinstance(model, spread_topics.SpreadTopics):
+        model.table.write.mode("overwrite").parquet(path)
+        return
     model.write().overwrite().save(path)
 
 
 def load_topics(path: str, spread: bool = False):
     """A stored model, of `train_topics` or, with `spread`, of `train_spread_topics`."""
-    from pyspark.ml.clustering import DistributedLDAModel, LocalLDAModel
+    from pyspark.ml.clustering import LocalLDAModel
 
-    return (DistributedLDAModel if spread else LocalLDAModel).load(path)
+    return spread_topics.SpreadTopics(SparkSession.active().read.parquet(path)) if spread else LocalLDAModel.load(path)
