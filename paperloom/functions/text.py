@@ -100,7 +100,8 @@ def stop_free_words(text, stopwords: Iterable[str]) -> Column:
     `the`.  Lemmas are attached by `paperloom.operators.lemmas`.
     """
     kept = drop_stopwords(whitespace_words(F.lower(_col(text))), stopwords)
-    return whitespace_words(strip_punctuation(F.array_join(kept, " ")))
+    plain = F.transform(kept, strip_punctuation)
+    return F.filter(plain, lambda w: w != "")
 
 
 def clean_abstract(text, stopwords: Iterable[str]) -> Column:

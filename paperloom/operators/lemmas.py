@@ -6,10 +6,14 @@ A lexicon of nouns (column `word`) and a table of irregular forms
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.functions.text import noun_rule_candidates
-from paperloom.operators.skew import lookup
+from paperloom.operators.skew import fits_broadcast, lookup
+from paperloom.operators.word_codes import TABLE_BYTES, TABLE_ROWS, WordTable, coded
 
 
 def lemma_table(words: DataFrame, lexicon: DataFrame, irregular: DataFrame | None = None) -> DataFrame:
@@ -37,11 +41,56 @@ def lemma_table(words: DataFrame, lexicon: DataFrame, irregular: DataFrame | Non
     return best.select("word", F.col("best.lemma").alias("lemma")).filter("word <> lemma")
 
 
+class LemmaTable:
+    """Words and their lemmas, as every task holds them."""
+
+    def __init__(self, words: pa.Array, lemmas: pa.Array):
+        whole = pa.array(words.is_valid().to_numpy(zero_copy_only=False) & lemmas.is_valid().to_numpy(zero_copy_only=False))
+        words, lemmas = words.filter(whole), lemmas.filter(whole)
+        self.table = WordTable(words)
+        self.lemmas = lemmas.take(pa.array(np.argsort(self.table.places(words))))
+
+    def replaced(self, names: pa.Array) -> pa.Array:
+        """The lemma of each word that has one, else the word."""
+        if not len(self.lemmas):
+            return names
+        at = self.table.places(names)
+        return pc.if_else(pa.array(at >= 0), self.lemmas.take(pa.array(np.maximum(at, 0))), names)
+
+
+def _replacing(table):
+    """A function of token arrays that replaces the words of `table`."""
+    @F.arrow_udf("array<string>")
+    def replaced(lists: pa.Array) -> pa.Array:
+        names, place, lengths = coded(lists)
+        words = pa.concat_arrays([table.value.replaced(names), pa.nulls(1, names.type)]).take(pa.array(place))
+        offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), words, mask=lists.is_null())
+
+    return replaced.asNondeterministic()  # else a filter on the result would have it made twice
+
+
 def lemmatise(tokens: DataFrame, lemmas: DataFrame, key: str = "doc_id", column: str = "tokens") -> DataFrame:
     """Replace the tokens that have a lemma.
 
-    `lemmas` should be a stored table, as its size is looked at.  Only the
-    distinct words of a document travel to the lookup; they come back
+    `lemmas` should be a stored table, as its size is looked at.  It is sent to
+    every task, and words are replaced where they are read; beyond some millions
+    of lemmas the words are joined to it.  Rows without a key are left alone.
+    """
+    pairs = lemmas.select("word", "lemma")
+    if not fits_broadcast(pairs, TABLE_ROWS, TABLE_BYTES):
+        return _lemmatise_joined(tokens, lemmas, key, column)
+    found = pairs.toArrow()
+    sides = [found[c].cast(pa.string()).combine_chunks() for c in ("word", "lemma")]
+    table = tokens.sparkSession.sparkContext.broadcast(LemmaTable(*sides))
+    replaced = F.when(F.col(key).isNotNull(), _replacing(table)(F.col(column))).otherwise(F.col(column))
+    return tokens.select(key, *(c for c in tokens.columns if c != key)).withColumn(column, replaced)
+
+
+def _lemmatise_joined(tokens: DataFrame, lemmas: DataFrame, key: str, column: str) -> DataFrame:
+    """`lemmatise` for a table of any size.
+
+    Only the distinct words of a document travel to the lookup; they come back
     as one small map per document, applied in place, so token arrays keep their
     order and are never rebuilt from rows.
     """

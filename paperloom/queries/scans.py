@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import fields, text as T
 from paperloom.functions.markup import register_markup_function
 from paperloom.operators import filters, lemmas as L, topk
+from paperloom.operators.word_codes import word_counts
 from paperloom.plans.parse import parse_corpus
 from paperloom.queries.markup import PAPER_TEXT_SQL, papers
 from paperloom.queries.reconciliation import logged
@@ -240,7 +241,7 @@ FROM each LEFT JOIN best ON token = word GROUP BY doc_id"""
 def normalised_words(t):
     """Stop list, punctuation, lemma, split; the corpus's own words serve as the lexicon."""
     tokens = staged_by(t.documents.select("doc_id", T.stop_free_words("text", STOP).alias("tokens")), "doc_id", "tokens")
-    words = staged(tokens.select(F.explode("tokens").alias("word")).distinct(), "words")
+    words = staged(word_counts(tokens).select(F.col("token").alias("word")), "words")
     lemmas = staged(L.lemma_table(words, words), "lemmas")
     found = L.lemmatise(tokens, lemmas)
     return found.filter(F.size("tokens") > 0).select("doc_id", *digest(F.col("tokens")))
