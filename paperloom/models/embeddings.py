@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.models import skipgram
+from paperloom.models.word_means import TASK_BYTES, document_means, tasks_for, vector_table, weighted_means
 from paperloom.operators.bow import each_token, term_counts
 from paperloom.operators.similarity import nearest, vector_of
-from paperloom.operators.skew import lookup
+from paperloom.operators.skew import heavy_hitters, salted_lookup
+from paperloom.operators.word_codes import rows_by_key
 from paperloom.session import staged
 
 
@@ -55,30 +56,52 @@ def document_vectors(tokens: DataFrame, words: DataFrame, key: str = "doc_id", c
                      weights: DataFrame | None = None) -> DataFrame:
     """(doc_id, vector): mean of the vectors of a document's words.
 
-    Built as a join so that the word table may be of any size.  A word counts as
-    often as it occurs; `weights` (word, weight), such as idf, scales it.
-    Documents without a known word get a null vector.
+    A word counts as often as it occurs; `weights` (word, weight), such as idf, scales it.  Documents without a known
+    word get a null vector.  A table of words of up to `word_codes.TABLE_BYTES` is sent to every task, and a document's
+    vectors are summed where it is read; a larger one is joined, so it may be of any size.
     """
-    counts = term_counts(tokens, key, column).select(
-        key, F.col("token").alias("word"), F.col("cnt").cast("double").alias("n")
-    )
-    table = words.select("word", F.col("vector").cast("array<double>").alias("vector"))
-    if weights is not None:  # both have one row per word, so no hot key meets vectors
-        table = table.join(weights.select("word", "weight"), "word")
-    found = lookup(counts, table, "word", [key])
-    if weights is not None:
-        found = found.withColumn("n", F.col("n") * F.col("weight"))
-    # a JVM aggregate over whole vectors: rows are not multiplied by the width
-    vectors = found.groupBy(key).agg(
-        Summarizer.mean(array_to_vector("vector"), F.col("n")).alias("vector")
-    ).select(key, vector_to_array("vector").alias("vector"))
+    table = words.select("word", "vector").filter("word IS NOT NULL AND vector IS NOT NULL")
+    if weights is None:
+        table = table.withColumn("weight", F.lit(1.0))
+    else:
+        table = table.join(weights.select("word", F.col("weight").cast("double").alias("weight")), "word")
+    held = vector_table(table)
+    if held is None:
+        return _joined_vectors(tokens, table, key, column)
+    rows, repeated = rows_by_key(tokens.select(key, column), key)
+    vector = F.when(F.col(key).isNotNull(), F.col("vector")).alias("vector")
+    made = document_means(rows, held, key, column).select(key, vector)
+    if repeated is None:
+        return made
+    parts = staged(document_means(repeated, held, key, column), "row-means")
+    known = parts.filter("n > 0")
+    tasks = tasks_for(known.count(), held.value.vectors.shape[1], _shuffles(tokens))
+    return made.unionByName(parts.select(key).join(weighted_means(known, key, tasks), key, "left"))
+
+
+def _shuffles(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _joined_vectors(tokens: DataFrame, table: DataFrame, key: str, column: str) -> DataFrame:
+    """`document_vectors` for a table (word, vector, weight) of any size.
+
+    Every count meets its word's vector, so counts and what they find are dealt to as many tasks as their number asks for.
+    """
+    counts = staged(term_counts(tokens, key, column).select(key, F.col("token").alias("word"), "cnt"), "counts")
+    width = table.agg(F.max(F.size("vector"))).first()[0] or 0
+    tasks = tasks_for(counts.count(), width, _shuffles(tokens))
+    heavy = heavy_hitters(counts, "word", TASK_BYTES // (8 * width + 96))
+    table = table.withColumn("vector", F.col("vector").cast("array<double>"))
+    found = salted_lookup(counts, table, "word", heavy, [key], partitions=tasks)
+    vectors = weighted_means(found.select(key, "vector", (F.col("cnt") * F.col("weight")).alias("n")), key, tasks)
     return tokens.select(key).join(vectors, key, "left")
 
 
 def infer_vectors(model: WordVectors, tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     """Vectors of documents, seen or unseen, by a trained model.
 
-    The model's words are stored as a table and joined, as in `document_vectors`, so they may be of any size.
+    The model's words are looked up as in `document_vectors`, so they may be of any size.
     """
     return document_vectors(tokens, word_table(model), key)
 

@@ -78,14 +78,15 @@ def lookup(facts: DataFrame, dim: DataFrame, keys, salt_by: list, heavy: DataFra
 
 def salted_lookup(
     facts: DataFrame, dim: DataFrame, keys, heavy: DataFrame, salt_by: list,
-    how: str = "inner", salts: int = SALTS,
+    how: str = "inner", salts: int = SALTS, partitions: int | None = None,
 ) -> DataFrame:
     """Join `facts` to `dim` (unique on `keys`) with heavy keys spread over salts.
 
     `heavy` names keys, by their columns or by `_key`, the hash of these; its column `_salts` says how many salts each
     gets, `salts` without it.  Rows of a heavy key get a salt from a hash of `salt_by`; the one matching dimension row
     is repeated once per salt.  Only heavy dimension rows are repeated, so `dim` grows by no more rows than heavy keys
-    have salts.  The salt is a hash, not a random number: a task that is run again gives the same rows.
+    have salts.  The salt is a hash, not a random number: a task that is run again gives the same rows.  `partitions`
+    says how many tasks the rows are dealt to, where what they find is much wider than they are.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     named = heavy if "_key" in heavy.columns else heavy.withColumn("_key", F.xxhash64(*keys))
@@ -97,6 +98,8 @@ def salted_lookup(
 
     salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*salt_by), F.col("_salts"))).otherwise(F.lit(0).cast("bigint"))
     left = marked(facts).withColumn("_salt", salt).drop("_salts")
+    if partitions:
+        left = left.repartition(partitions, *keys, "_salt")
     copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_salts", F.lit(1)) - 1)
     right = marked(dim).withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

@@ -11,6 +11,9 @@ from paperloom.queries.texts import TOKENS_SQL, token_table
 from paperloom.session import staged
 from paperloom.sources.sinks import vector_lines
 
+# Lines that a task should gather into documents.
+LINES = 2_000_000
+
 
 def vectors(t: Tables):
     return t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
@@ -86,10 +89,13 @@ SELECT o_orderkey AS doc_id, round(sum(value), 6) + 0 AS total, round(max(value)
 FROM orders LEFT JOIN means ON o_orderkey = doc_id GROUP BY o_orderkey""")
 def mean_vectors(t):
     """Orders as documents, their parts as words, part numbers of the vector table as known words."""
-    bags = t.lineitem.groupBy(F.col("l_orderkey").alias("doc_id")).agg(
-        F.collect_list(F.col("l_partkey").cast("string")).alias("tokens")
-    )
-    documents = t.orders.select(F.col("o_orderkey").alias("doc_id")).join(bags, "doc_id", "left")
+    lines, orders = t.lineitem, t.orders
+    tasks = -(-lines.count() // LINES)
+    if tasks > t.spark.sparkContext.defaultParallelism:  # else Spark may merge shuffle partitions into tasks of any size
+        lines, orders = lines.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
+    bags = lines.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.collect_list("l_partkey").alias("parts"))
+    documents = orders.select(F.col("o_orderkey").alias("doc_id")).join(bags, "doc_id", "left").select(
+        "doc_id", F.col("parts").cast("array<string>").alias("tokens"))
     words = t.embeddings.select(F.col("vec_id").cast("string").alias("word"), F.col("embedding").alias("vector"))
     made = document_vectors(documents, words)
     total = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x)
