@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paperloom.models import embeddings as E, word_means as M
-from paperloom.queries import queries
+from paperloom.queries import models, queries
 from paperloom.session import staged
 from tests.test_in_place import exchanges
 
@@ -93,3 +93,15 @@ def test_lines_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
     dealt = run(spark, str(tmp_path))
     assert len(plain) == 61 and sorted(map(str, dealt.collect())) == plain
     assert not any("vector" in moved for moved in exchanges(dealt.filter("doc_id >= 0")) if "n#" not in moved)
+
+
+def test_a_table_too_large_for_a_task_is_read_in_blocks(spark, monkeypatch):
+    """No exchange has a vector, and tasks that hold few tokens read the blocks again."""
+    for name, value in (("TABLE_BYTES", 0), ("BLOCK_BYTES", 64), ("HELD_TOKENS", 3)):
+        monkeypatch.setattr(M, name, value)
+    held = M.vector_table(words(spark).withColumn("weight", F.lit(1.0)))
+    assert isinstance(held, M.SpreadTable) and held.blocks > 1 and sorted(w for t in held.tables() for w in t.table.words.to_pylist()) == ["a", "b", "c"]
+    frame = E.document_vectors(table(spark), words(spark))
+    assert not exchanges(frame) and got(frame) == want(ROWS, WORDS)
+    sums = {r.doc_id: (r.sums, r.n) for r in M.document_sums(table(spark), held, models._cell_by_cell, "doc_id").collect()}
+    assert sums[1] == ([9.0, 2.0], 3.0) and sums[3] == sums[4] == ([0.0, 0.0], 0.0) and sums[5] == ([2.5, -1.0], 4.0)
