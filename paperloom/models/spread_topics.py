@@ -41,39 +41,58 @@ def _together(rows, topics: int):
     return np.frombuffer(b"".join(r[2] for r in rows), np.int64), np.frombuffer(b"".join(r[3] for r in rows), np.float64).reshape(-1, topics)
 
 
+def _numbered(ids):
+    """Different ids, ascending, and the place of each id among them; ids are numbers of terms, so a table of these is small."""
+    if not len(ids):
+        return ids, np.zeros(0, np.int64)
+    held = np.zeros(int(ids.max()) + 1, bool)
+    held[ids] = True
+    names = np.flatnonzero(held)
+    place = np.empty(len(held), np.int32)
+    place[names] = np.arange(len(names))
+    return names, place[ids]
+
+
 def _pass(topics: int, seed: int, terms: int, totals, concentration: float, size: int, counts_at_once: int):
     """(a block's documents, weights of its documents and terms) -> their next weights; at first topics are drawn."""
     def run(docs, state):
         if not docs.num_rows:
             return _table([])
-        docs = docs.sort_by("doc").combine_chunks()
+        docs = docs.combine_chunks()
+        if (np.diff(docs["doc"].to_numpy()) < 0).any():
+            docs = docs.sort_by("doc").combine_chunks()
         block = docs["block"][0].as_py()
         lists, counts = (docs[c].chunk(0) for c in ("terms", "counts"))
         doc = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        names, term = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        names, term = _numbered(lists.flatten().to_numpy())
         cnt = counts.flatten().to_numpy().astype(np.float64)
-        of_doc, of_term = np.zeros((len(lists), topics)), np.zeros((len(names), topics))
+        of_doc, of_term = np.zeros((len(lists), topics)), np.zeros((topics, len(names)))
         random = np.random.default_rng([seed, block])
         if totals is not None:
             held = {"own": [], "terms": []}
             for source, kind, first, ids, data in zip(*(state[c].to_pylist() for c in ("source", "kind", "first", "ids", "data"))):
                 held[kind].append((source, first, ids, data))
-            own = _together(held["own"], topics)[1] + (concentration - 1)
+            own = np.ascontiguousarray((_together(held["own"], topics)[1] + (concentration - 1)).T)
             ids, weights = _together(held["terms"], topics)
             given = np.empty((len(names), topics))
             given[np.searchsorted(names, ids)] = weights
-            given = (given + (concentration - 1)) / (np.asarray(totals) + (concentration - 1) * terms)
+            given = np.ascontiguousarray(((given + (concentration - 1)) / (np.asarray(totals) + (concentration - 1) * terms)).T)
         for k in range(0, len(cnt), counts_at_once):
             part = slice(k, k + counts_at_once)
-            d, t, c = doc[part], term[part], cnt[part, None]
-            gamma = random.random((len(d), topics)) if totals is None else given[t] * own[d]
-            gamma *= c / gamma.sum(axis=1, keepdims=True)
+            d, t, c = doc[part], term[part], cnt[part]
             lo, hi = (d[0], d[-1] + 1) if len(d) else (0, 0)
+            if totals is None:
+                gamma = [*random.random((len(d), topics)).T]
+            else:
+                gamma = [given[z][t] * own[z][d] for z in range(topics)]
+            share = c / sum(gamma[1:], gamma[0])
             for z in range(topics):
-                of_doc[lo:hi, z] += np.bincount(d - lo, gamma[:, z], hi - lo)
-                of_term[:, z] += np.bincount(t, gamma[:, z], len(names))
+                gamma[z] *= share
+                of_doc[lo:hi, z] += np.bincount(d - lo, gamma[z], hi - lo)
+                of_term[z] += np.bincount(t, gamma[z], len(names))
         out = list(_rows(block, block, "own", np.arange(len(of_doc)), of_doc))
         out += _rows(-1, block, "total", np.zeros(1), of_doc.sum(axis=0, keepdims=True))
+        of_term = np.ascontiguousarray(of_term.T)
         parts = names // size
         for place in np.unique(parts):
             mine = parts == place
@@ -159,7 +178,7 @@ def train(bag: DataFrame, terms: int, k: int, passes: int, seed: int, key: str =
         if before is not None:
             discard(spark, before)
         before = made.inputFiles()[0].rsplit("/", 1)[0]
-        totals = np.sum([np.frombuffer(r.data) for r in made.filter("kind = 'total'").select("data").toLocalIterator()], axis=0).tolist()
+        totals = np.sum([np.frombuffer(r.data) for r in made.filter("kind = 'total'").select("source", "data").orderBy("source").collect()], axis=0).tolist()
         sums = made.filter("kind = 'terms'").repartitionById(ranges, F.col("target").cast("int"))
         state = made.filter("kind = 'own'").unionByName(sums.mapInArrow(_sent_back(k, RANGE_TERMS), _ROWS))
     return SpreadTopics(staged(sums.mapInArrow(_weights(k, RANGE_TERMS), "term_id long, weights array<double>"), "topic-terms"))

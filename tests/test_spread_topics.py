@@ -57,3 +57,16 @@ def test_a_stored_model_comes_back(spark, tmp_path):
     described = back.describeTopics(4).collect()
     assert back.vocabSize() == 9 and len(described) == 3
     assert all(len(r.termIndices) == 4 and sorted(r.termWeights, reverse=True) == r.termWeights for r in described)
+
+
+def test_terms_are_numbered():
+    for ids in ([7, 3, 3, 9, 0, 7], [5], []):
+        names, place = S._numbered(np.array(ids, np.int64))
+        want = np.unique(np.array(ids, np.int64), return_inverse=True)
+        assert names.tolist() == want[0].tolist() and place.tolist() == want[1].tolist()
+
+
+def test_totals_come_in_one_job_a_pass(spark, monkeypatch):
+    bag = spark.createDataFrame(COUNTS, "doc_id int, term_id long, cnt long")
+    monkeypatch.setattr(type(bag), "toLocalIterator", lambda *a, **k: 1 / 0)  # a job for each block
+    assert S.train(bag, 9, 2, 1, seed=1).vocabSize() == 9
